@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import token_files
+from . import secret_ledger, token_files
 
 _QUERIES = {
+    "op9_secret_ledger": secret_ledger.op9_secret_ledger,
     "op7_token_files": token_files.op7_token_files,
 }
 _SQL: dict[str, str] = {}
