@@ -1,18 +1,20 @@
 """Flat token-id files (operator 7).
 
 Documents are range-partitioned by id; each task writes one flat file of little-endian
-unsigned 32-bit ids and one index of 64-bit offsets, under names of its own attempt. The
-manifest row that a task returns names the files of the attempt that counts, so a lost
+unsigned ids (16-bit where the vocabulary fits, else 32-bit) and one index of 64-bit offsets,
+under names of its own attempt. The manifest row that a task returns names the files of the attempt that counts, so a lost
 executor only leaves unread files behind. The manifest (one row a partition) is written;
 a running sum over it gives each partition's base. Reading maps the files into memory.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,22 +26,60 @@ from pyspark.sql import functions as F
 from . import shared
 
 #: Words kept with their ids in a worker's memory; the cache is emptied beyond that.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 
-MANIFEST = "part int, ids_path string, index_path string, n_docs long, n_ids long"
+MANIFEST = "part int, dtype string, ids_path string, index_path string, n_docs long, n_ids long"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+#: What a tokenizer's file must say for WordIds to hold: lower case, white space and all other
+#: separators dropped, letters in runs, bytes written as characters.
+SEPARABLE = {
+    "normalizers": ["NFC", "Replace", "Lowercase"],
+    "split": ("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "Removed", True),
+}
+#: Bytes that byte-level tokenizers write as characters from 256 on; all others stay as they are.
+_SHIFTED = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
+
+
+def separable(tokenizer_json: str) -> bool:
+    """Whether a text's ids are those of its parts between spaces and line ends, in order."""
+    spec = json.loads(tokenizer_json)
+    try:
+        kinds = [x["type"] for x in spec["normalizer"]["normalizers"]]
+        split, level = spec["pre_tokenizer"]["pretokenizers"]
+        how = (split["pattern"]["Regex"], split["behavior"], split["invert"])
+        plain = level["type"] == "ByteLevel" and not level["add_prefix_space"] and not level["use_regex"]
+        return kinds == SEPARABLE["normalizers"] and how == SEPARABLE["split"] and plain and spec["post_processor"] is None and spec["model"]["type"] == "BPE"
+    except (KeyError, TypeError, ValueError):
+        return False
+
+
 class WordIds(dict):
-    """Word -> its ids as bytes. White space always ends a token of this kind of tokenizer, so
-    a text's ids are those of its parts between spaces and line ends, in order."""
+    """Word -> its ids as bytes, for a tokenizer that is separable()."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, dtype: str):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.pieces, self.code = tokenizer, tokenizer.model.tokenize, {"<u2": "H", "<u4": "I"}[dtype]
+
+    def packed(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes() if word else b""
+        letters = word.isalpha()
+        if letters and (word.isascii() or max(word) < "\u0100"):  # in NFC; lower case is one character for one
+            low = word.lower()
+            if low == word:
+                ids = self.packed([t.id for t in self.pieces(word if word.isascii() else word.encode().decode("latin-1").translate(_SHIFTED))])
+            else:
+                ids = self[low]
+        elif len(word) > 1 and word[-1] in ".,;:!?" and word[:-1].isalpha():
+            ids = self[word[:-1]] + self[word[-1]]
+        else:
+            ids = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids) if word else b""
         self[word] = ids
         return ids
 
@@ -74,7 +114,11 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, pa
         from tokenizers import Tokenizer
 
         part = TaskContext.get().partitionId()
-        words, end = WordIds(Tokenizer.from_file(tokenizer_path)), np.asarray([end_id], "<u4").tobytes()
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        top = max(end_id + 1, tokenizer.get_vocab_size(with_added_tokens=True))
+        dtype = "<u2" if top <= 1 << 16 else "<u4"
+        words, end, width = WordIds(tokenizer, dtype), np.asarray([end_id], dtype).tobytes(), int(dtype[-1])
+        by_word = separable(tokenizer.to_str())
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}"
         store, path = _open(name)
         ids_out, doc_ids, known, offsets, at = None, [], [], [0], 0
@@ -86,9 +130,10 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, pa
             doc_ids.append(column.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
             known.append(np.asarray(column.is_valid()).astype("u1"))
             for text in batch.column(1):
-                ids = words.encode(text.as_py()) + end
+                text = text.as_py()
+                ids = (words.encode(text) if by_word else words.packed(tokenizer.encode(text, add_special_tokens=False).ids)) + end
                 ids_out.write(ids)
-                at += len(ids) // 4
+                at += len(ids) // width
                 offsets.append(at)
         if ids_out is None:
             return
@@ -98,7 +143,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, pa
             out.write(np.concatenate(doc_ids).tobytes())
             out.write(np.concatenate(known).tobytes())
         yield pa.RecordBatch.from_pydict(
-            {"part": pa.array([part], pa.int32()), "ids_path": [name + ".ids"], "index_path": [name + ".idx"], "n_docs": pa.array([len(offsets) - 1], pa.int64()), "n_ids": pa.array([at], pa.int64())}
+            {"part": pa.array([part], pa.int32()), "dtype": [dtype], "ids_path": [name + ".ids"], "index_path": [name + ".idx"], "n_docs": pa.array([len(offsets) - 1], pa.int64()), "n_ids": pa.array([at], pa.int64())}
         )
 
     manifest = shared.written(ordered.mapInArrow(encode, MANIFEST), "manifest")
@@ -125,8 +170,8 @@ def read(manifest: DataFrame) -> DataFrame:
                 index = mapped(file["index_path"], "u1")
                 offsets = index[: 8 * (n + 1)].view("<i8")
                 doc_ids, known = index[8 * (n + 1) : 16 * n + 8].view("<i8"), index[16 * n + 8 :].view(bool)
-                ids = mapped(file["ids_path"], "<u4")
-                crc = [zlib.crc32(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                ids = mapped(file["ids_path"], file["dtype"])
+                crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield pa.RecordBatch.from_pydict(
                     {"doc_id": pa.array(np.array(doc_ids), pa.int64(), mask=~known), "start": pa.array(offsets[:-1] + file["base"], pa.int64()), "n_tokens": pa.array(np.diff(offsets), pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
                 )
