@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import secret_ledger, token_files
+from . import language_id, secret_ledger, token_files
 
 _QUERIES = {
     "op9_secret_ledger": secret_ledger.op9_secret_ledger,
     "op7_token_files": token_files.op7_token_files,
+    "op10_language_id": language_id.op10_language_id,
 }
 _SQL: dict[str, str] = {}
 
