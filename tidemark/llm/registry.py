@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from . import language_id, secret_ledger, token_files
+from . import language_id, licenses, packing, secret_ledger, token_files
 
 _QUERIES = {
-    "op9_secret_ledger": secret_ledger.op9_secret_ledger,
+    "op4_packing": packing.op4_packing,
+    "op6_license_digests": licenses.op6_license_digests,
     "op7_token_files": token_files.op7_token_files,
+    "op9_secret_ledger": secret_ledger.op9_secret_ledger,
     "op10_language_id": language_id.op10_language_id,
 }
-_SQL: dict[str, str] = {}
 
 
 def queries():
@@ -17,4 +18,7 @@ def queries():
 
 
 def oracle_sql():
-    return dict(_SQL)
+    return {
+        "op4_packing": packing.oracle(),
+        "op6_license_digests": licenses.oracle(),
+    }
