@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import language_id, licenses, packing, secret_ledger, token_files
+from . import decontaminate, language_id, licenses, packing, secret_ledger, token_files
 
 _QUERIES = {
+    "op2_template_windows": decontaminate.op2_template_windows,
     "op4_packing": packing.op4_packing,
     "op6_license_digests": licenses.op6_license_digests,
     "op7_token_files": token_files.op7_token_files,
@@ -19,6 +20,7 @@ def queries():
 
 def oracle_sql():
     return {
+        "op2_template_windows": decontaminate.oracle(),
         "op4_packing": packing.oracle(),
         "op6_license_digests": licenses.oracle(),
     }
