@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, licenses, packing, secret_ledger, token_files
+from . import decontaminate, language_id, licenses, packing, quality, secret_ledger, token_files
 
 _QUERIES = {
+    "op1_quality_mil": quality.op1_quality_mil,
     "op2_template_windows": decontaminate.op2_template_windows,
     "op4_packing": packing.op4_packing,
     "op6_license_digests": licenses.op6_license_digests,
