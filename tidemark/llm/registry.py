@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, licenses, packing, quality, secret_ledger, token_files
+from . import decontaminate, language_id, licenses, ngram_join, packing, quality, secret_ledger, token_files
 
 _QUERIES = {
     "op1_quality_mil": quality.op1_quality_mil,
@@ -10,6 +10,7 @@ _QUERIES = {
     "op4_packing": packing.op4_packing,
     "op6_license_digests": licenses.op6_license_digests,
     "op7_token_files": token_files.op7_token_files,
+    "op8_token_groups": ngram_join.op8_token_groups,
     "op9_secret_ledger": secret_ledger.op9_secret_ledger,
     "op10_language_id": language_id.op10_language_id,
 }

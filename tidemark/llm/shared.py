@@ -36,6 +36,8 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.tidemark_path = path
+    # Spark drops the shuffle files of finished steps when the JVM collects what refers to them.
+    df.sparkSession.sparkContext._jvm.System.gc()
     return out
 
 
