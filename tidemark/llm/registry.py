@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, licenses, neighbours, ngram_join, packing, quality, secret_ledger, token_files
+from . import decontaminate, language_id, licenses, neighbours, ngram_join, packing, quality, repeats, secret_ledger, token_files
 
 _QUERIES = {
     "op1_quality_mil": quality.op1_quality_mil,
     "op2_template_windows": decontaminate.op2_template_windows,
+    "op3_repeated_bytes": repeats.op3_repeated_bytes,
     "op4_packing": packing.op4_packing,
     "op5_nn_descent": neighbours.op5_nn_descent,
     "op6_license_digests": licenses.op6_license_digests,
