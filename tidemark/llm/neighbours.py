@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import graph, shared
+from . import batching, graph, shared
 
 THRESHOLD = 0.95
 #: Similarity that a neighbour has at least; below it, an entry leads nowhere.
@@ -57,24 +57,6 @@ def unit(rows) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each value of column 0, which come together."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        if not len(keys):
-            continue
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            piece = batch.slice(a, b - a)
-            if held and held[-1].column(0)[0].as_py() != keys[a]:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(piece)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 EDGES = "a long, b long, sim double"
 
 
@@ -113,7 +95,7 @@ def bucket_edges(vectors: DataFrame, n: int, seed: int, tables: int, floor: floa
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, sims, held = [], [], [], 0
-        for run in runs(batches):
+        for run in batching.runs(batches):
             if run.num_rows < 2:
                 continue
             nodes, vecs = run.column(1).to_numpy(), run.column(2)
@@ -225,7 +207,7 @@ def counted(members: DataFrame, threshold: float) -> DataFrame:
     keyed = _grouped_by(asks.unionByName(told), F.col("pair")).select("__key", "asks", "node", "many", "vec")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches):
+        for run in batching.runs(batches):
             asks = run.column(1).to_numpy(zero_copy_only=False).astype(bool)
             x, many = unit(run.column(4)), run.column(3).to_numpy()
             links = (x[asks] @ x[~asks].T >= threshold) @ many[~asks]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from . import graph, shared, shingles
+from . import batching, graph, shared, shingles
 
 WIDTH = 5
 PERCENT = 80
@@ -28,6 +28,10 @@ PERCENT = 80
 FIRST_SHARE, SECOND_SHARE = 0.05, 0.2
 #: Smallest values under as many hash functions, by pairs the keys under which similar sets meet.
 SKETCH = 32
+#: Share of equal smallest values with its leader that a set has at least to be in its group.
+ALIKE = 0.4
+#: Sets of a group that are opened together, and columns of a table of tokens.
+PORTION, COLUMNS = 512, 16_384
 _SEEDS = np.random.default_rng(8).integers(1, 1 << 63, SKETCH, dtype=np.uint64)
 
 
@@ -121,47 +125,105 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
 
 
-def _stars(sets: DataFrame, percent: int) -> DataFrame:
-    """Verified links of sets with the leader of a bucket of sets that agree in two smallest values: these make the groups."""
-    light = shared.written(_sketches(sets), "sketches")
-    keys = F.array(*[F.struct(F.lit(i).alias("i"), F.xxhash64(F.col("mins")[2 * i], F.col("mins")[2 * i + 1]).alias("k")) for i in range(SKETCH // 4)])
-    keyed = light.select("cid", "n", F.explode(keys).alias("key"))
-    leaders = keyed.groupBy("key").agg(F.min("cid").alias("leader"), F.count("*").alias("members")).where("members > 1").drop("members")
-    pairs = keyed.join(leaders, "key").where("cid <> leader").select("cid", "leader").distinct()
+def _grouped(sets: DataFrame, percent: int) -> DataFrame:
+    """sets (cid, n, met, tokens) with grp, the leader of a group of similar sets, and portion, a part of it of bounded size.
+
+    Sets meet in buckets of two equal smallest values. A bucket's leader is the set of which most
+    tokens are met elsewhere: of edited copies, the original. Leaders are groups of their own.
+    """
+    light = shared.written(_sketches(sets).join(sets.select("cid", (F.col("met") / F.col("n")).alias("shared")), "cid"), "sketches")
+    keys = F.array(*[F.struct(F.lit(i).alias("i"), F.xxhash64(F.col("mins")[2 * i], F.col("mins")[2 * i + 1]).alias("k")) for i in range(SKETCH // 2)])
+    keyed = light.select("cid", F.struct("shared", "cid").alias("rank"), F.explode(keys).alias("key"))
+    leaders = keyed.groupBy("key").agg(F.max("rank").alias("lead"), F.count("*").alias("members")).where("members > 1").drop("members")
+    pairs = keyed.join(leaders, "key").where("cid <> lead.cid AND rank < lead").select("cid", "lead").distinct().withColumn("leader", F.col("lead.cid"))
     agree = F.aggregate(F.zip_with("mins", "other", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     near = pairs.join(light.select("cid", "mins"), "cid").join(light.select(F.col("cid").alias("leader"), F.col("mins").alias("other")), "leader")
-    chosen = near.where(agree * 100 >= (percent - 15) * SKETCH).groupBy("cid").agg(F.max_by("leader", F.struct(agree, -F.col("leader"))).alias("b"))
-    out = shared.written(_verified(chosen.select(F.col("cid").alias("a"), "b"), sets, percent), "stars")
+    chosen = near.where(agree >= SKETCH * ALIKE).groupBy("cid").agg(F.max_by("leader", "lead").alias("leader"))
+    chosen = shared.written(chosen, "leaders")
+    lead = chosen.select(F.col("leader").alias("cid")).distinct().withColumn("leads", F.lit(True))
+    named = sets.join(chosen, "cid", "left").join(lead, "cid", "left")
+    named = named.withColumn("grp", F.when(F.col("leads"), F.col("cid")).otherwise(F.coalesce("leader", "cid"))).drop("leader", "leads")
+    sizes = named.groupBy("grp").agg(F.ceil(F.count("*") / PORTION).alias("parts"))
+    portion = F.xxhash64("grp", F.pmod(F.xxhash64("cid"), F.col("parts")))
+    out = shared.written(named.join(sizes, "grp").withColumn("portion", portion).select("cid", "n", "grp", "portion", "tokens"), "grouped")
     shared.drop_written(light)
     return out
 
 
-def _grouped(sets: DataFrame, links: DataFrame) -> DataFrame:
-    """sets with grp: the component of the links that each is in."""
-    found = graph.components(links).select(F.col("node").alias("cid"), F.col("component").alias("__grp"))
-    return sets.drop("grp").join(found, "cid", "left").withColumn("grp", F.coalesce("__grp", "cid")).drop("__grp")
+def _labelled(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The smallest id that each row and column of a table of links reaches; ids: of the rows, then of the columns."""
+    n, top = len(linked), np.iinfo(np.int64).max
+    rows, cols = ids[:n].copy(), ids[n:].copy()
+    while True:
+        new_cols = np.minimum(cols, np.where(linked, rows[:, None], top).min(axis=0, initial=top))
+        new_rows = np.minimum(rows, np.where(linked, new_cols[None, :], top).min(axis=1, initial=top))
+        if (new_cols == cols).all() and (new_rows == rows).all():
+            return np.concatenate([rows, cols])
+        rows, cols = new_rows, new_cols
+
+
+def open_block(asks: list[np.ndarray], holds: list[np.ndarray], ask_ids: np.ndarray, hold_ids: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (as id and smallest id reached) between asking sets and the sets of one group portion.
+
+    First the bound: an asking set of which the portion's token union holds too little stays out.
+    """
+    union = np.unique(np.concatenate(holds))
+    ids = np.concatenate([ask_ids, hold_ids])
+    inside = [a[union[np.minimum(np.searchsorted(union, a), len(union) - 1)] == a] for a in asks]
+    open_to = np.flatnonzero([len(x) * 100 >= percent * len(a) for x, a in zip(inside, asks, strict=True)])
+    linked = np.zeros((len(asks), len(holds)), bool)
+    if len(open_to):
+        used = np.unique(np.concatenate([inside[i] for i in open_to]))
+        both = np.zeros((len(open_to), len(holds)), np.float32)
+        for at in range(0, len(used), COLUMNS):
+            part = used[at : at + COLUMNS]
+            x, y = (np.zeros((len(rows), len(part)), np.float32) for rows in (open_to, holds))
+            for table, rows in ((x, [inside[i] for i in open_to]), (y, holds)):
+                for k, r in enumerate(rows):
+                    r = r[np.searchsorted(r, part[0]) : np.searchsorted(r, part[-1], "right")]
+                    col = np.searchsorted(part, r)
+                    table[k, col[part[col] == r]] = 1
+            both += x @ y.T
+        n, m = np.array([len(asks[i]) for i in open_to]), np.array([len(h) for h in holds])
+        linked[open_to] = both * 100 >= percent * (n[:, None] + m[None, :] - both)
+    least = _labelled(linked, ids)
+    moved = least != ids
+    return ids[moved], least[moved]
+
+
+def _opened(asks: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+    """Links found by opening portions. asks: cid, portion (its own), other (the portion it asks)."""
+    asks = shared.written(asks.select("cid", "other", F.xxhash64("portion", "other").alias("block")).distinct(), "asks")
+    held = asks.select("block", F.col("other").alias("portion")).distinct().join(grouped, "portion").select("block", F.lit(False).alias("asks"), "cid", "tokens")
+    rows = asks.join(grouped, "cid").select("block", F.lit(True).alias("asks"), "cid", "tokens").unionByName(held)
+    n = int(asks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(n, "block").sortWithinPartitions("block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in batching.runs(batches):
+            asking = block.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            ids = block.column(2).to_numpy()
+            tokens = [np.frombuffer(t.as_buffer(), np.uint64) for t in block.column(3)]
+            where, there = np.flatnonzero(asking), np.flatnonzero(~asking)
+            a, b = open_block([tokens[i] for i in where], [tokens[i] for i in there], ids[where], ids[there], percent)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    out = shared.written(rows.mapInArrow(run, "a long, b long"), "opened")
+    shared.drop_written(asks)
+    return out
 
 
-def _across(sets: DataFrame, percent: int) -> DataFrame:
-    """All links between sets of different groups: the matrix is bounded, qualifying groups are opened."""
+def _meetings(sets: DataFrame, percent: int) -> DataFrame:
+    """cid, portion, other: the portions of other groups of which a set may link with a member."""
     tokens = shared.written(_exploded(sets, percent, None), "tokens")
     # Rare tokens first: those that few groups hold. Common ones are only reached by sets of nothing else.
-    matrix = tokens.select("token", "grp").distinct()
-    spread = matrix.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    spread = tokens.select("token", "grp").distinct().groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
     ranked = tokens.join(spread, "token", "left").withColumn("rank", F.row_number().over(Window.partitionBy("cid").orderBy(F.coalesce("held", F.lit(1)), "token")))
-    sizes = sets.select("cid", "n")
-    early = ranked.join(sizes, "cid").where(F.col("held").isNotNull() & (F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("cid", "grp", "n", "token")
+    sizes = sets.select("cid", "n", "portion")
+    early = ranked.join(sizes, "cid").where(F.col("held").isNotNull() & (F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("cid", "grp", "portion", "token")
     early = shared.written(early, "early")
-    meets = early.join(early.select("token", F.col("grp").alias("other")).distinct(), "token").where("grp > other").select("cid", "n", "other").distinct()
-    # Bound: the tokens of the set that the other group's union holds.
-    held = meets.join(tokens.select("cid", "token"), "cid").join(matrix.withColumnRenamed("grp", "other"), ["token", "other"])
-    opened = held.groupBy("cid", "n", "other").agg(F.count("*").alias("shared")).where(F.col("shared") * 100 >= F.col("n") * percent)
-    members = sets.select(F.col("grp").alias("other"), F.col("cid").alias("b"), F.col("n").alias("m"))
-    pairs = opened.join(members, "other").where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent).select(F.col("cid").alias("a"), "b")
-    out = shared.written(_verified(pairs, sets, percent), "across")
-    for df in (tokens, early):
-        shared.drop_written(df)
-    return out
+    matrix = early.select("token", F.col("portion").alias("other"), F.col("grp").alias("of")).distinct()
+    return early.select("token", "cid", "portion", "grp").join(matrix, "token").where("grp > of").select("cid", "portion", "other").distinct()
 
 
 def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -177,22 +239,27 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = shared.written(live.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("tokens")).withColumn("grp", F.col("cid")), "classes")
     # First bound, on short prefixes of every class.
     met = _meeting(_exploded(classes, percent, None))
-    flagged = met.join(classes.select("cid", "rep", "n"), "cid").where(F.col("met") >= _need(F.col("n"), percent, FIRST_SHARE)).select("cid", "rep", "n")
+    flagged = met.join(classes.select("cid", "rep", "n"), "cid").where(F.col("met") >= _need(F.col("n"), percent, FIRST_SHARE)).select("cid", "rep", "n", "met")
     flagged = shared.written(flagged, "flagged")
+    shared.drop_written(classes)
     sets = shared.written(_whole_sets(docs, flagged), "sets")
     if sets.select("cid").distinct().count() != sets.count():  # a place that is itself repeated
         sets = shared.written(sets.dropDuplicates(["cid"]), "sets")
-    shared.drop_written(classes)
-    stars = _stars(sets, percent)
-    grouped = shared.written(_grouped(sets, stars), "grouped")
-    # Second and last bound, on longer prefixes and whole sets, against all other groups.
+    grouped = _grouped(sets, percent)
+    shared.drop_written(sets)
+    # Inside a group: first each set with its leader, then those without a link with all others.
+    stars = _verified(grouped.where("cid <> grp").select(F.col("cid").alias("a"), F.col("grp").alias("b")), grouped, percent)
+    stars = shared.written(stars, "stars")
+    lone = grouped.where("cid <> grp").select("cid", "grp", "portion").join(stars.select(F.col("a").alias("cid")), "cid", "left_anti")
+    inner = lone.join(grouped.select("grp", F.col("portion").alias("other")).distinct(), "grp").select("cid", "portion", "other")
+    # Across groups: longer prefixes and then whole sets, of which enough tokens are met in other groups.
+    left = grouped
     for share in (SECOND_SHARE, None):
         need = _need(F.col("n"), percent, share) if share else F.ceil(F.col("n") * percent / 100)
-        kept = grouped.join(_meeting(_exploded(grouped, percent, share)), "cid").where(F.col("met") >= need).drop("met")
-        after = shared.written(kept, "grouped")
-        shared.drop_written(grouped)
-        grouped = after
-    links = stars.unionByName(_across(grouped, percent))
+        enough = _meeting(_exploded(left, percent, share)).join(left.select("cid", "n"), "cid").where(F.col("met") >= need).select("cid")
+        left = shared.written(left.join(enough, "cid"), "left")
+    outer = _meetings(left, percent)
+    links = stars.unionByName(_opened(inner.unionByName(outer), grouped, percent))
     found = graph.components(links)
     of_class = live.groupBy("cid").agg(F.min("doc_id").alias("rep"))
     named = of_class.join(found, of_class.cid == found.node)
@@ -204,15 +271,17 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, flagged: DataFrame) -> DataFrame:
-    """cid, n and tokens (sorted hashes as bytes) of the flagged classes, from the text of each class's first document."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(flagged, "rep").select("cid", "n", "text")
+    """cid, met, n and tokens (sorted hashes as bytes) of the flagged classes, from the text of each class's first document."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(flagged, "rep").select("cid", "met", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(c, len(s), s.tobytes()) for c, s in zip(batch.column(0).to_pylist(), shingles.sets((t.as_py() for t in batch.column(2)), WIDTH), strict=True) if _sig(s) == c]
-            yield pa.RecordBatch.from_pydict({"cid": pa.array([x[0] for x in found], pa.int64()), "n": pa.array([x[1] for x in found], pa.int64()), "tokens": pa.array([x[2] for x in found], pa.binary())})
+            each = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingles.sets((t.as_py() for t in batch.column(2)), WIDTH), strict=True)
+            found = [(c, met, len(s), s.tobytes()) for c, met, s in each if _sig(s) == c]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], k) for i, k in enumerate(kinds)], names=["cid", "met", "n", "tokens"])
 
-    return texts.mapInArrow(run, "cid long, n long, tokens binary")
+    return texts.mapInArrow(run, "cid long, met long, n long, tokens binary")
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
