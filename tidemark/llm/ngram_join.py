@@ -285,9 +285,17 @@ def _whole_sets(docs: DataFrame, flagged: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """docs without the rows that are linked to a smaller doc_id; of rows with one doc_id all stay."""
-    gone = join(docs, percent).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """docs without the rows that are linked to a smaller doc_id; other columns stay as they are.
+
+    Rows with a null doc_id stay. Of rows that repeat both doc_id and text, one stays.
+    """
+    found = shared.written(join(docs.select("doc_id", "text"), percent), "components")
+    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if not found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        once = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
+        kept = once.unionByName(kept.where("doc_id IS NULL"))
+    return kept
 
 
 def op8_token_groups(spark, sf_dir: str) -> DataFrame:

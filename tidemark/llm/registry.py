@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import decontaminate, language_id, licenses, neighbours, ngram_join, packing, quality, repeats, secret_ledger, token_files
 
 _QUERIES = {
@@ -15,6 +17,7 @@ _QUERIES = {
     "op8_token_groups": ngram_join.op8_token_groups,
     "op9_secret_ledger": secret_ledger.op9_secret_ledger,
     "op10_language_id": language_id.op10_language_id,
+    "pipeline": corpus_pipeline.run,
 }
 
 
