@@ -32,7 +32,6 @@ SKETCH = 32
 ALIKE = 0.4
 #: Sets of a group that are opened together, and columns of a table of tokens.
 PORTION, COLUMNS = 512, 16_384
-_SEEDS = np.random.default_rng(8).integers(1, 1 << 63, SKETCH, dtype=np.uint64)
 
 
 def missing(n, percent: int):
@@ -47,20 +46,29 @@ def _sig(tokens: np.ndarray) -> int:
     return int(shingles.mix(np.array([mixed], np.uint64)).view(np.int64)[0])
 
 
+def _sketch(tokens: np.ndarray) -> np.ndarray:
+    """For each of SKETCH equal parts of the hash space, the first token from its start on (in a circle): equal in similar sets."""
+    if not len(tokens):
+        return np.zeros(SKETCH, np.int64)
+    at = np.searchsorted(tokens, np.arange(SKETCH, dtype=np.uint64) << np.uint64(64 - SKETCH.bit_length() + 1))
+    return tokens[np.where(at == len(tokens), 0, at)].view(np.int64)
+
+
 def signatures(docs: DataFrame, percent: int) -> DataFrame:
-    """doc_id, cid (class), n, prefix: the first tokens of each set by hash, as many as the first bound asks for."""
+    """doc_id, cid (class), n, tokens (a prefix: the first tokens by hash, as many as the first bound asks for), mins (a sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cids, sizes, prefixes = [], [], []
+            cids, sizes, prefixes, sketches = [], [], [], []
             for tokens in shingles.sets((t.as_py() for t in batch.column(1)), WIDTH):
                 n = len(tokens)
                 cids.append(_sig(tokens))
                 sizes.append(n)
                 prefixes.append(tokens[: missing(n, percent) + max(1, int(np.ceil(FIRST_SHARE * n)))].tobytes())
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "cid": pa.array(cids, pa.int64()), "n": pa.array(sizes, pa.int64()), "prefix": pa.array(prefixes, pa.binary())})
+                sketches.append(_sketch(tokens))
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "cid": pa.array(cids, pa.int64()), "n": pa.array(sizes, pa.int64()), "tokens": pa.array(prefixes, pa.binary()), "mins": pa.array(sketches, pa.list_(pa.int64()))})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, cid long, n long, prefix binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, cid long, n long, tokens binary, mins array<long>")
 
 
 def _exploded(sets: DataFrame, percent: int, share: float | None) -> DataFrame:
@@ -81,10 +89,13 @@ def _exploded(sets: DataFrame, percent: int, share: float | None) -> DataFrame:
     return sets.select("cid", "grp", "tokens").mapInArrow(run, "cid long, grp long, token long")
 
 
-def _meeting(tokens: DataFrame) -> DataFrame:
-    """cid and met: how many of its tokens another group holds too."""
-    spread = tokens.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high").select("token")
-    return tokens.join(spread, "token").groupBy("cid").agg(F.count("*").alias("met"))
+def _meeting(tokens: DataFrame, classes: bool = False) -> DataFrame:
+    """cid and met: how many of its tokens another group holds too. classes: every set is a group of its own."""
+    if classes:
+        tokens, spread = tokens.select("cid", "token"), tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    else:
+        spread = tokens.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high")
+    return tokens.join(spread.select("token"), "token").groupBy("cid").agg(F.count("*").alias("met"))
 
 
 def _need(n: Column, percent: int, share: float) -> Column:
@@ -92,23 +103,8 @@ def _need(n: Column, percent: int, share: float) -> Column:
     return F.greatest(F.lit(1), F.ceil(n * (share * percent / 100) - 1e-9))
 
 
-def _sketches(sets: DataFrame) -> DataFrame:
-    """cid, n and the smallest value of each set under each of SKETCH hash functions."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for t in batch.column(2):
-                tokens = np.frombuffer(t.as_buffer(), np.uint64)
-                rows.append(shingles.mix(tokens[None, :] ^ _SEEDS[:, None]).min(axis=1).view(np.int64) if len(tokens) < 20_000 else np.array([shingles.mix(tokens ^ s).min() for s in _SEEDS], np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_pydict({"cid": batch.column(0), "n": batch.column(1), "mins": pa.array(rows, pa.list_(pa.int64()))})
-
-    return sets.select("cid", "n", "tokens").mapInArrow(run, "cid long, n long, mins array<long>")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b whose sets link, by exact intersection."""
-    one, other = (sets.select(F.col("cid").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in ("a", "b"))
+def _verified(pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b whose sets (tokens_a, tokens_b) link, by exact intersection."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,32 +118,33 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(one, "a").join(other, "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
 
 
-def _grouped(sets: DataFrame, percent: int) -> DataFrame:
-    """sets (cid, n, met, tokens) with grp, the leader of a group of similar sets, and portion, a part of it of bounded size.
+def _grouped(flagged: DataFrame) -> DataFrame:
+    """flagged classes (cid, n, met, mins, ...) with leader, grp and portion, without mins.
 
-    Sets meet in buckets of two equal smallest values. A bucket's leader is the set of which most
-    tokens are met elsewhere: of edited copies, the original. Leaders are groups of their own.
+    Sets meet in buckets of two equal values of their sketches. A bucket's leader is the set of
+    which most tokens are met elsewhere: of edited copies, the original. Leaders follow leaders, so
+    a group is named by the last of the chain (null leader: none). A portion is a part of a group
+    of bounded size.
     """
-    light = shared.written(_sketches(sets).join(sets.select("cid", (F.col("met") / F.col("n")).alias("shared")), "cid"), "sketches")
+    light = flagged.select("cid", "mins", F.struct((F.col("met") / F.col("n")).alias("shared"), "cid").alias("rank"))
     keys = F.array(*[F.struct(F.lit(i).alias("i"), F.xxhash64(F.col("mins")[2 * i], F.col("mins")[2 * i + 1]).alias("k")) for i in range(SKETCH // 2)])
-    keyed = light.select("cid", F.struct("shared", "cid").alias("rank"), F.explode(keys).alias("key"))
+    keyed = light.select("cid", "rank", F.explode(keys).alias("key"))
     leaders = keyed.groupBy("key").agg(F.max("rank").alias("lead"), F.count("*").alias("members")).where("members > 1").drop("members")
-    pairs = keyed.join(leaders, "key").where("cid <> lead.cid AND rank < lead").select("cid", "lead").distinct().withColumn("leader", F.col("lead.cid"))
+    pairs = keyed.join(leaders, "key").where("rank < lead").select("cid", "lead").distinct().withColumn("leader", F.col("lead.cid"))
     agree = F.aggregate(F.zip_with("mins", "other", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     near = pairs.join(light.select("cid", "mins"), "cid").join(light.select(F.col("cid").alias("leader"), F.col("mins").alias("other")), "leader")
-    chosen = near.where(agree >= SKETCH * ALIKE).groupBy("cid").agg(F.max_by("leader", "lead").alias("leader"))
-    chosen = shared.written(chosen, "leaders")
-    lead = chosen.select(F.col("leader").alias("cid")).distinct().withColumn("leads", F.lit(True))
-    named = sets.join(chosen, "cid", "left").join(lead, "cid", "left")
-    named = named.withColumn("grp", F.when(F.col("leads"), F.col("cid")).otherwise(F.coalesce("leader", "cid"))).drop("leader", "leads")
-    sizes = named.groupBy("grp").agg(F.ceil(F.count("*") / PORTION).alias("parts"))
-    portion = F.xxhash64("grp", F.pmod(F.xxhash64("cid"), F.col("parts")))
-    out = shared.written(named.join(sizes, "grp").withColumn("portion", portion).select("cid", "n", "grp", "portion", "tokens"), "grouped")
-    shared.drop_written(light)
-    return out
+    chain = shared.written(near.where(agree >= SKETCH * ALIKE).groupBy("cid").agg(F.max_by("leader", "lead").alias("leader")), "leaders")
+    top = chain.select("cid", F.col("leader").alias("top"))
+    for _ in range(3):  # pointer jumping: chains of eight
+        above = top.select(F.col("cid").alias("top"), F.col("top").alias("above"))
+        top = top.join(above, "top", "left").select("cid", F.coalesce("above", "top").alias("top"))
+    named = flagged.drop("mins").join(chain, "cid", "left").join(top, "cid", "left").withColumn("grp", F.coalesce("top", "cid")).drop("top")
+    sizes = named.groupBy("grp").agg(F.count("*").alias("members"))
+    portion = F.xxhash64("grp", F.pmod(F.xxhash64("cid"), F.ceil(F.col("members") / PORTION)))
+    return named.join(sizes, "grp").withColumn("portion", portion)
 
 
 def _labelled(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -194,7 +191,8 @@ def open_block(asks: list[np.ndarray], holds: list[np.ndarray], ask_ids: np.ndar
 def _opened(asks: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
     """Links found by opening portions. asks: cid, portion (its own), other (the portion it asks)."""
     asks = shared.written(asks.select("cid", "other", F.xxhash64("portion", "other").alias("block")).distinct(), "asks")
-    held = asks.select("block", F.col("other").alias("portion")).distinct().join(grouped, "portion").select("block", F.lit(False).alias("asks"), "cid", "tokens")
+    wanted = asks.select("block", F.col("other").alias("portion")).distinct()
+    held = wanted.join(grouped, "portion").select("block", F.lit(False).alias("asks"), "cid", "tokens")
     rows = asks.join(grouped, "cid").select("block", F.lit(True).alias("asks"), "cid", "tokens").unionByName(held)
     n = int(asks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(n, "block").sortWithinPartitions("block")
@@ -236,28 +234,32 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     sig = shared.written(signatures(docs, percent), "signatures")
     live = sig.where("n > 0 AND doc_id IS NOT NULL")
-    classes = shared.written(live.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("tokens")).withColumn("grp", F.col("cid")), "classes")
+    first = [F.first(c).alias(c) for c in ("n", "tokens", "mins")]
+    classes = shared.written(live.groupBy("cid").agg(F.min("doc_id").alias("rep"), *first), "classes")
     # First bound, on short prefixes of every class.
-    met = _meeting(_exploded(classes, percent, None))
-    flagged = met.join(classes.select("cid", "rep", "n"), "cid").where(F.col("met") >= _need(F.col("n"), percent, FIRST_SHARE)).select("cid", "rep", "n", "met")
+    met = _meeting(_exploded(classes.withColumn("grp", F.col("cid")), percent, None), classes=True)
+    flagged = met.join(classes.select("cid", "rep", "n", "mins"), "cid").where(F.col("met") >= _need(F.col("n"), percent, FIRST_SHARE))
     flagged = shared.written(flagged, "flagged")
     shared.drop_written(classes)
-    sets = shared.written(_whole_sets(docs, flagged), "sets")
-    if sets.select("cid").distinct().count() != sets.count():  # a place that is itself repeated
-        sets = shared.written(sets.dropDuplicates(["cid"]), "sets")
-    grouped = _grouped(sets, percent)
-    shared.drop_written(sets)
-    # Inside a group: first each set with its leader, then those without a link with all others.
-    stars = _verified(grouped.where("cid <> grp").select(F.col("cid").alias("a"), F.col("grp").alias("b")), grouped, percent)
-    stars = shared.written(stars, "stars")
-    lone = grouped.where("cid <> grp").select("cid", "grp", "portion").join(stars.select(F.col("a").alias("cid")), "cid", "left_anti")
-    inner = lone.join(grouped.select("grp", F.col("portion").alias("other")).distinct(), "grp").select("cid", "portion", "other")
+    grouped = shared.written(_whole_sets(docs, shared.written(_grouped(flagged), "groups")), "grouped")
+    if grouped.select("cid").distinct().count() != grouped.count():  # a place that is itself repeated
+        grouped = shared.written(grouped.dropDuplicates(["cid"]), "grouped")
+    # Inside a group: first each set with its leader. Sets outside the largest component then ask all others.
+    leading = grouped.select(F.col("leader").alias("b")).where("b IS NOT NULL").distinct()
+    leaders = grouped.where("members > 1").select(F.col("cid").alias("b"), F.col("tokens").alias("tokens_b")).join(leading, "b")
+    pairs = grouped.where("leader IS NOT NULL").select(F.col("cid").alias("a"), F.col("leader").alias("b"), F.col("tokens").alias("tokens_a")).join(leaders, "b")
+    stars = shared.written(_verified(pairs, percent), "stars")
+    whole = graph.components(stars).select(F.col("node").alias("cid"), "component")
+    inside = grouped.where("members > 1").select("cid", "grp", "portion").join(whole, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    main = inside.groupBy("grp", "component").agg(F.count("*").alias("k")).groupBy("grp").agg(F.max_by("component", F.struct("k", "component")).alias("main"))
+    apart = inside.join(main, "grp").where("component <> main").select("cid", "grp", "portion")
+    inner = apart.join(grouped.select("grp", F.col("portion").alias("other")).distinct(), "grp").select("cid", "portion", "other")
     # Across groups: longer prefixes and then whole sets, of which enough tokens are met in other groups.
     left = grouped
     for share in (SECOND_SHARE, None):
         need = _need(F.col("n"), percent, share) if share else F.ceil(F.col("n") * percent / 100)
         enough = _meeting(_exploded(left, percent, share)).join(left.select("cid", "n"), "cid").where(F.col("met") >= need).select("cid")
-        left = shared.written(left.join(enough, "cid"), "left")
+        left = shared.written(left.select("cid", "n", "grp", "portion", "tokens").join(enough, "cid"), "left")
     outer = _meetings(left, percent)
     links = stars.unionByName(_opened(inner.unionByName(outer), grouped, percent))
     found = graph.components(links)
@@ -270,18 +272,21 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), linked.alias("component_id"))
 
 
-def _whole_sets(docs: DataFrame, flagged: DataFrame) -> DataFrame:
-    """cid, met, n and tokens (sorted hashes as bytes) of the flagged classes, from the text of each class's first document."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(flagged, "rep").select("cid", "met", "text")
+def _whole_sets(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """groups (with rep, the first document of each class) with tokens, the whole sorted set as bytes, from that document's text."""
+    light = [c for c in groups.columns if c not in ("rep", "met")]
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(groups, "rep").select(*light, "text")
+    at = light.index("cid")
+    schema = groups.select(*light, F.lit(b"").alias("tokens")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            each = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingles.sets((t.as_py() for t in batch.column(2)), WIDTH), strict=True)
-            found = [(c, met, len(s), s.tobytes()) for c, met, s in each if _sig(s) == c]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], k) for i, k in enumerate(kinds)], names=["cid", "met", "n", "tokens"])
+            sets = list(shingles.sets((t.as_py() for t in batch.column(len(light))), WIDTH))
+            mine = pa.array([_sig(s) == c for s, c in zip(sets, batch.column(at).to_pylist(), strict=True)], pa.bool_())
+            whole = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([s.tobytes() for s in sets], pa.binary())], names=[*light, "tokens"])
+            yield whole.filter(mine)
 
-    return texts.mapInArrow(run, "cid long, met long, n long, tokens binary")
+    return texts.mapInArrow(run, schema)
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
