@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+from . import joins_and_merges, messages, reports, scalars, scans
 
-def oracle_sql():
-    return {}
+
+def _all() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
+    out: dict = {}
+    for module in (scans, scalars, reports, joins_and_merges, messages):
+        out.update(module.QUERIES)
+    return out
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: query for name, (query, _) in _all().items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for name, (_, sql) in _all().items() if sql}
