@@ -30,8 +30,16 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{work_dir(spark)}/tidemark-{tag}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows in an Arrow batch than by default, since texts may be very long; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, rows)
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """df, written as a Parquet table in the shared folder and reread: its lineage ends there."""
+    bounded_batches(df.sparkSession)
     path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -55,4 +63,5 @@ def bucket_of_id(doc_id: Column) -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
