@@ -206,11 +206,12 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """key, start, stop: byte ranges whose union is what repeated strings of `length` bytes cover."""
     rows, side = keyed(docs), length - anchors.GRAM
     every = shared.written(anchored(rows, length), "anchors")
-    again = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # Written, so that the join has a shuffle on either side and Spark can split the parts of common anchors.
+    again = shared.written(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
     occurring = shared.written(every.join(again, "h"), "occurring")
     shared.drop_written(every)
     classes = shared.written(occurring.groupBy("h", "c").agg(F.count("*").alias("many"), F.min(F.struct("key", "pos")).alias("one")), "contexts")
-    groups = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    groups = shared.written(classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "groups")
     wanted = classes.join(groups, "h").select("one.key", "one.pos", "h", "many", (F.col("n") > GROUP).alias("hot"))
     gathered = shared.written(contexts(rows, wanted, length), "gathered")
     partial = shared.written(expanded(gathered.where("NOT hot"), length).unionByName(counted(gathered.where("hot"), length)), "spans")
