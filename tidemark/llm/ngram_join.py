@@ -95,7 +95,8 @@ def _meeting(tokens: DataFrame, classes: bool = False) -> DataFrame:
         tokens, spread = tokens.select("cid", "token"), tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
     else:
         spread = tokens.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high")
-    return tokens.join(spread.select("token"), "token").groupBy("cid").agg(F.count("*").alias("met"))
+    # Written, so that the join has a shuffle on either side and Spark can split the parts of common tokens.
+    return tokens.join(shared.written(spread.select("token"), "spread"), "token").groupBy("cid").agg(F.count("*").alias("met"))
 
 
 def _need(n: Column, percent: int, share: float) -> Column:
@@ -142,7 +143,8 @@ def _grouped(flagged: DataFrame) -> DataFrame:
         above = top.select(F.col("cid").alias("top"), F.col("top").alias("above"))
         top = top.join(above, "top", "left").select("cid", F.coalesce("above", "top").alias("top"))
     named = flagged.drop("mins").join(chain, "cid", "left").join(top, "cid", "left").withColumn("grp", F.coalesce("top", "cid")).drop("top")
-    sizes = named.groupBy("grp").agg(F.count("*").alias("members"))
+    named = shared.written(named, "named")
+    sizes = shared.written(named.groupBy("grp").agg(F.count("*").alias("members")), "sizes")
     portion = F.xxhash64("grp", F.pmod(F.xxhash64("cid"), F.ceil(F.col("members") / PORTION)))
     return named.join(sizes, "grp").withColumn("portion", portion)
 
@@ -252,6 +254,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     whole = graph.components(stars).select(F.col("node").alias("cid"), "component")
     inside = grouped.where("members > 1").select("cid", "grp", "portion").join(whole, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     main = inside.groupBy("grp", "component").agg(F.count("*").alias("k")).groupBy("grp").agg(F.max_by("component", F.struct("k", "component")).alias("main"))
+    main = shared.written(main, "main")
     apart = inside.join(main, "grp").where("component <> main").select("cid", "grp", "portion")
     inner = apart.join(grouped.select("grp", F.col("portion").alias("other")).distinct(), "grp").select("cid", "portion", "other")
     # Across groups: longer prefixes and then whole sets, of which enough tokens are met in other groups.
