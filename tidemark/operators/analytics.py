@@ -104,3 +104,19 @@ def unfinished(latest: DataFrame, status: str, finished: Sequence[str], ts: str,
 def handler_results(df: DataFrame, handler: str, success: Column, permanent: Column, calls: str) -> DataFrame:
     """Totals of processing outcomes by handler."""
     return df.groupBy(handler).agg(F.count("*").alias("total"), F.count_if(success).alias("succeeded"), F.count_if(~success).alias("failed"), F.count_if(~success & permanent).alias("failed_permanent"), F.sum(calls).alias("api_calls"))
+
+
+def retry_ratio(df: DataFrame, by: Sequence[str], retried: Column) -> DataFrame:
+    """The share of calls that were retried."""
+    return df.groupBy(*by).agg(F.count("*").alias("calls"), F.count_if(retried).alias("retried")).withColumn("retry_ratio", F.col("retried") / F.col("calls"))
+
+
+def first_samples(df: DataFrame, group: str, value: str, n: int) -> DataFrame:
+    """The n smallest values of each group as one array. The window ranks before the values are gathered, so arrays stay short."""
+    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy(group).orderBy(value))).where(F.col("__r") <= n)
+    return ranked.groupBy(group).agg(F.array_sort(F.collect_list(value)).alias("samples"))
+
+
+def age_seconds(df: DataFrame, millis: str, now: Column) -> DataFrame:
+    """df with age_seconds of a time in epoch milliseconds."""
+    return df.withColumn("age_seconds", now - F.col(millis) / 1000)

@@ -125,3 +125,21 @@ def bundle_sizes(df: DataFrame, key: str, lists: list[str]) -> DataFrame:
     joined = df.groupBy(key).agg(*[F.flatten(F.collect_list(c)).alias(c) for c in lists])
     sizes = [F.size(c).alias(f"n_{c}") for c in lists]
     return joined.select(key, *sizes, sum((F.size(c) for c in lists), F.lit(0)).alias("n_all"))
+
+
+def stamped(df: DataFrame, kind: str, at: str, stamps: dict[str, str]) -> DataFrame:
+    """df with a timestamp column for each event type: the event's time in rows of that type, else null."""
+    return df.withColumns({column: F.when(F.col(kind) == event, F.col(at)) for event, column in stamps.items()})
+
+
+def link_failures(df: DataFrame, kind: str, failed: str, project: str) -> DataFrame:
+    """A project row for each event that says that linking failed."""
+    return df.where(F.col(kind) == failed).select(F.col(project).alias("project_id"), F.lit(True).alias("auto_link_failed"), "event_id")
+
+
+def download_tasks(media: DataFrame, link: str = "full_download_link") -> DataFrame:
+    """Media rows that have a link, as tasks with their path in the store."""
+    from ..functions import urls
+
+    named = F.concat_ws(".", urls.file_name(F.col(link)), F.nullif(F.lower(urls.file_type(F.col(link))), F.lit("unknown")))
+    return media.where(F.coalesce(F.col(link), F.lit("")) != "").select("media_id", F.col(link).alias("url"), urls.media_path(F.col("project_id"), F.coalesce("file_name", named)).alias("blob_path"), F.lit(0).alias("retry_count"))
