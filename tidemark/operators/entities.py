@@ -120,11 +120,15 @@ def attached(events: DataFrame, items: DataFrame, key: str) -> DataFrame:
     return events.join(items.withColumn("__found", F.lit(True)), key, "left").withColumn("lookup_status", F.when(F.col("__found"), "found").otherwise("failed_permanent")).drop("__found")
 
 
+def bundles(df: DataFrame, key: str, lists: list[str]) -> DataFrame:
+    """Lists of each key concatenated over its rows; for keys with few rows, such as the events of one message batch."""
+    return df.groupBy(key).agg(*[F.flatten(F.collect_list(c)).alias(c) for c in lists])
+
+
 def bundle_sizes(df: DataFrame, key: str, lists: list[str]) -> DataFrame:
-    """Lists of each key concatenated over rows, as sizes and their sum."""
-    joined = df.groupBy(key).agg(*[F.flatten(F.collect_list(c)).alias(c) for c in lists])
-    sizes = [F.size(c).alias(f"n_{c}") for c in lists]
-    return joined.select(key, *sizes, sum((F.size(c) for c in lists), F.lit(0)).alias("n_all"))
+    """How long the concatenated lists of each key would be, and their sum; nothing is gathered."""
+    sizes = [F.sum(F.size(c)).alias(f"n_{c}") for c in lists]
+    return df.groupBy(key).agg(*sizes).withColumn("n_all", sum((F.col(f"n_{c}") for c in lists), F.lit(0)))
 
 
 def stamped(df: DataFrame, kind: str, at: str, stamps: dict[str, str]) -> DataFrame:

@@ -65,12 +65,16 @@ def sampled_letters(failed: DataFrame, events: str, most: int = 3) -> DataFrame:
 def deduplicated_within(df: DataFrame, key: Sequence[str], ts: str, order: Sequence[str], seconds: int) -> DataFrame:
     """A row stays if no row of its key that stayed lies less than `seconds` before it.
 
-    The chain of kept rows of a key is a fold over its ordered times; keys with few rows are the
-    rule, so the fold runs on each key's array. For unbounded keys use the streaming operator,
+    A gap of that length starts afresh, so each key's rows fall into runs; which rows of a run stay
+    is a fold over its ordered times. For keys whose runs never end, use the streaming operator,
     which holds one time a key.
     """
-    row = F.struct(F.unix_micros(F.col(ts).cast("timestamp")).alias("t"), *order, F.struct(*df.columns).alias("row"))
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    w = Window.partitionBy(*key).orderBy(ts, *order)
+    fresh = F.coalesce((micros - F.lag(micros).over(w) >= seconds * 1_000_000).cast("int"), F.lit(0))
+    marked = df.withColumn("__fresh", fresh).withColumn("__run", F.sum("__fresh").over(w))
+    row = F.struct(micros.alias("t"), *order, F.struct(*df.columns).alias("row"))
     step = lambda acc, x: F.when((F.size(acc) == 0) | (x["t"] - F.element_at(acc, -1)["t"] >= seconds * 1_000_000), F.concat(acc, F.array(x))).otherwise(acc)
-    grouped = df.groupBy(*key).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    grouped = marked.groupBy(*key, "__run").agg(F.array_sort(F.collect_list(row)).alias("rows"))
     kept = F.aggregate("rows", F.slice("rows", 1, 0), step)
     return grouped.select(F.explode(kept).alias("x")).select("x.row.*")

@@ -67,10 +67,11 @@ def dedupe_24h(spark, d):
     return routing.deduplicated_within(table(spark, d, "events").select("user_id", "event_id", "ts"), ["user_id"], "ts", ["event_id"], 86400)
 
 
-@QUERIES.add("SELECT user_id, event_count, CASE WHEN event_count < 3 THEN event_count ELSE 3 END AS n_samples FROM (SELECT user_id, count(*) AS event_count FROM events GROUP BY 1)")
+@QUERIES.add("SELECT user_id, batch, event_count, least(event_count, 3) AS n_samples FROM (SELECT user_id, CAST(ceil(r / 20.0) AS BIGINT) AS batch, count(*) AS event_count FROM (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) r FROM events) GROUP BY 1, 2)")
 def dlq_samples(spark, d):
-    per = table(spark, d, "events").groupBy("user_id").agg(F.collect_list("event_id").alias("events"))
-    return routing.sampled_letters(per, "events").select("user_id", "event_count", F.size("sample_events").alias("n_samples"))
+    batched = routing.batches(table(spark, d, "events").select("user_id", "event_id"), 20, ["event_id"], ["user_id"])
+    per = batched.groupBy("user_id", "batch").agg(F.collect_list("event_id").alias("events"))  # 20 at most
+    return routing.sampled_letters(per, "events").select("user_id", "batch", "event_count", F.size("sample_events").alias("n_samples"))
 
 
 @QUERIES.add("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'invalid JSON' END AS parse_error, CASE WHEN event_id % 3 <> 0 THEN event_type END AS kind FROM events")
