@@ -110,6 +110,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage:
 def remove(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """docs without the rows whose text holds a benchmark item; columns as they were."""
     found = leaks(docs, benchmark, **options).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text")).distinct()
+    found = shared.small_side(shared.written(found, "leaks"), 32)
     at = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__text"))
     return docs.join(found, at, "left_anti")
 

@@ -278,7 +278,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def _whole_sets(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """groups (with rep, the first document of each class) with tokens, the whole sorted set as bytes, from that document's text."""
     light = [c for c in groups.columns if c not in ("rep", "met")]
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(groups, "rep").select(*light, "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(shared.small_side(groups, 104), "rep").select(*light, "text")
     at = light.index("cid")
     schema = groups.select(*light, F.lit(b"").alias("tokens")).schema
 
@@ -298,8 +298,8 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Rows with a null doc_id stay. Of rows that repeat both doc_id and text, one stays.
     """
     found = shared.written(join(docs.select("doc_id", "text"), percent), "components")
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = shared.written(found.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
+    kept = docs.join(shared.small_side(gone, 24), "doc_id", "left_anti").select(*docs.columns)
     if not found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
         once = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
         kept = once.unionByName(kept.where("doc_id IS NULL"))

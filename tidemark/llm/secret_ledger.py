@@ -152,6 +152,7 @@ def mask(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES, mark: str = "[SE
     """
     ledger = update(docs.select("doc_id", "text"), rules=rules)
     by_blob = found_by_blob(ledger, rules).select(F.col("blob").alias("__blob"), F.col("found").alias("__found"))
+    by_blob = shared.small_side(shared.written(by_blob, "found"), 256)
     whole = docs.withColumn("__blob", F.sha2("text", 256)).join(by_blob, "__blob", "left").drop("__blob")
     # Spans by start: each piece of kept text lies between the furthest end so far and the next start.
     step = lambda acc, s: F.struct(

@@ -57,6 +57,15 @@ def drop_written(df: DataFrame) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: What a side of a join may hold at most to be broadcast by a count of its rows: Spark's own default.
+BROADCAST_BYTES = 10 << 20
+
+
+def small_side(table: DataFrame, row_bytes: int) -> DataFrame:
+    """A written table, marked for broadcast if its rows, of about row_bytes each, stay below the bound; else as it is."""
+    return F.broadcast(table) if table.count() * row_bytes <= BROADCAST_BYTES else table
+
+
 def bucket_of_id(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 4; remainder 2 is held out. Null ids count as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4
