@@ -37,7 +37,7 @@ def duplicate_band(pct: Column) -> Column:
 
 def hourly(df: DataFrame, ts: str, key: str) -> DataFrame:
     """Rows and different keys by hour. Both counts come from one shuffle on hour and key."""
-    per_key = df.groupBy(F.date_trunc("HOUR", ts).alias("hour"), F.col(key).alias("__key")).agg(F.count("*").alias("n"))
+    per_key = df.groupBy(F.date_trunc("HOUR", ts).cast("timestamp_ntz").alias("hour"), F.col(key).alias("__key")).agg(F.count("*").alias("n"))
     return per_key.groupBy("hour").agg(F.sum("n").alias("n_rows"), F.count("__key").alias("n_keys"))
 
 

@@ -18,7 +18,7 @@ def hourly_distribution(spark, d):
     return analytics.hourly(table(spark, d, "events"), "ts", "user_id")
 
 
-@QUERIES.add(f"SELECT sum(n) AS total_rows, count(*) AS unique_keys, sum(n) - count(*) AS duplicate_rows, round((sum(n) - count(*)) * 100.0 / sum(n), 2) AS duplicate_pct FROM ({_PER_KEY})")
+@QUERIES.add(f"SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS unique_keys, CAST(sum(n) - count(*) AS BIGINT) AS duplicate_rows, round((sum(n) - count(*)) * 100.0 / sum(n), 2) AS duplicate_pct FROM ({_PER_KEY})")
 def dup_summary(spark, d):
     return analytics.duplicate_summary(table(spark, d, "lineitem"), _KEYS)
 
@@ -134,13 +134,13 @@ def computed_topk(spark, d):
     return rows.orderBy(F.desc("days_to_complete"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").limit(50)
 
 
-@QUERIES.add("SELECT event_type, count(*) AS total, count(*) FILTER (value > 50) AS succeeded, count(*) FILTER (NOT value > 50) AS failed, count(*) FILTER (NOT value > 50 AND user_id % 2 = 0) AS failed_permanent, sum(event_id % 3) AS api_calls FROM events GROUP BY 1")
+@QUERIES.add("SELECT event_type, count(*) AS total, count(*) FILTER (value > 50) AS succeeded, count(*) FILTER (NOT value > 50) AS failed, count(*) FILTER (NOT value > 50 AND user_id % 2 = 0) AS failed_permanent, CAST(sum(event_id % 3) AS BIGINT) AS api_calls FROM events GROUP BY 1")
 def handler_totals(spark, d):
     e = table(spark, d, "events").withColumn("calls", F.col("event_id") % 3)
     return analytics.handler_results(e, "event_type", F.col("value") > 50, F.col("user_id") % 2 == 0, "calls")
 
 
-@QUERIES.add("SELECT conv_id, count(*) AS n_turns, sum(len(string_split(text, ' '))) AS n_words, count(*) + sum(len(string_split(text, ' '))) AS n_all FROM conversations GROUP BY 1")
+@QUERIES.add("SELECT conv_id, count(*) AS n_turns, CAST(sum(len(string_split(text, ' '))) AS BIGINT) AS n_words, CAST(count(*) + sum(len(string_split(text, ' '))) AS BIGINT) AS n_all FROM conversations GROUP BY 1")
 def bundle_concat(spark, d):
     c = table(spark, d, "conversations").select("conv_id", F.array("role").alias("turns"), F.split("text", " ").alias("words"))
     return entities.bundle_sizes(c, "conv_id", ["turns", "words"])
@@ -159,7 +159,7 @@ def _counter(spark, d):
 
 @QUERIES.add(f"SELECT event_type, date_trunc('day', ts) AS window_start, sum(gain) AS increase FROM {_STEPS} GROUP BY 1, 2")
 def metric_increase(spark, d):
-    return metrics.increase(_counter(spark, d), ["event_type"], ["ts", "event_id"], "c", F.date_trunc("DAY", "ts"))
+    return metrics.increase(_counter(spark, d), ["event_type"], ["ts", "event_id"], "c", F.date_trunc("DAY", "ts").cast("timestamp_ntz"))
 
 
 @QUERIES.add(f"""SELECT event_type, s, round(CASE WHEN s > lo THEN (total - first_gain) / (s - lo) END, 9) AS rate FROM (SELECT event_type, s, min(s) OVER w lo, sum(gain) OVER w total, first(gain) OVER w first_gain FROM
@@ -200,7 +200,7 @@ def latest_values(spark, d):
     return metrics.latest(e, ["event_type"], "ts", "value")
 
 
-@QUERIES.add("SELECT user_id % 10 AS consumer_group, event_type AS topic, sum(lag) AS total_lag, max(lag) AS max_lag, count(*) AS partitions FROM (SELECT user_id % 10 AS user_id, event_type, event_id % 4 AS p, max(event_id) - (max(event_id - event_id % 7) + 1) AS lag FROM events GROUP BY 1, 2, 3) GROUP BY 1, 2")
+@QUERIES.add("SELECT user_id % 10 AS consumer_group, event_type AS topic, CAST(sum(lag) AS BIGINT) AS total_lag, max(lag) AS max_lag, count(*) AS partitions FROM (SELECT user_id % 10 AS user_id, event_type, event_id % 4 AS p, max(event_id) - (max(event_id - event_id % 7) + 1) AS lag FROM events GROUP BY 1, 2, 3) GROUP BY 1, 2")
 def lag_rollup(spark, d):
     e = table(spark, d, "events").select((F.col("user_id") % 10).alias("consumer_group"), F.col("event_type").alias("topic"), (F.col("event_id") % 4).alias("p"), F.col("event_id").alias("high"), (F.col("event_id") - F.col("event_id") % 7).alias("seen"))
     return metrics.lag_rollup(e, "consumer_group", "topic", "p", "high", "seen")
