@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,9 +22,10 @@ def work_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    local = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, local, True)
+    spark.conf.set("spark.checkpoint.dir", f"file://{local}")
+    return f"file://{local}"
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
