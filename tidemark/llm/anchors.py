@@ -8,6 +8,8 @@ from .shingles import _powers, mix
 
 #: Bytes of an anchor.
 GRAM = 100
+#: Bytes of a text that are hashed at a time.
+SEGMENT = 1 << 22
 _TABLE = np.random.default_rng(3_200).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 def sliding(x: np.ndarray, size: int, pick) -> np.ndarray:
@@ -31,8 +33,21 @@ def find(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     Every string of `length` bytes of the text holds an anchor, and equal strings hold anchors of
     equal hash at equal places. The context of an anchor is the union of all such strings around
-    it, cut at the text's ends.
+    it, cut at the text's ends. Long texts are taken in segments that overlap by more than an
+    anchor's choice and context reach.
     """
+    if len(text) > SEGMENT + 4 * length:
+        parts = []
+        for start in range(0, len(text), SEGMENT):
+            low = max(0, start - 2 * length)
+            at, h, c = _find(text[low : start + SEGMENT + 2 * length], length)
+            own = (at + low >= start) & (at + low < start + SEGMENT)
+            parts.append((at[own] + low, h[own], c[own]))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+    return _find(text, length)
+
+
+def _find(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     b = np.frombuffer(text, np.uint8)
     if len(b) < length:
         empty = np.zeros(0, np.int64)

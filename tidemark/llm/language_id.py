@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import shared
+from . import pieces, shared
 
 #: The model is fitted on about this many labelled documents at most, drawn by a hash of id and text.
 FIT_DOCUMENTS = 20_000
@@ -78,13 +78,17 @@ class Scorer(dict):
         return at
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        found = words(text) if text else []
-        if not found or not self.model.languages:
+        if not self.model.languages:
+            return "und", 0.0
+        total, any_word = np.zeros(self.rows.shape[1]), False
+        for piece in pieces.cut(text or ""):
+            if len(self) > CACHE_WORDS:
+                self.clear()
+            if found := words(piece):
+                at = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+                total, any_word = total + self.rows[at].sum(axis=0), True
+        if not any_word:
             return "und", 0.0
-        at = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
-        total = self.rows[at].sum(axis=0)
         best = int(total.argmax())  # ties: the first language by name
         return self.model.languages[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
@@ -100,7 +104,8 @@ def counts(docs: DataFrame) -> DataFrame:
         found: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found.setdefault(lang, Counter()).update(words(text.as_py()))
+                for piece in pieces.cut(text.as_py()):
+                    found.setdefault(lang, Counter()).update(words(piece))
             if sum(map(len, found.values())) > 200_000:
                 yield out(found)
                 found = {}

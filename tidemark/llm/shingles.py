@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from . import pieces
+
 _K = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(8_1964).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _PLACES = np.random.default_rng(8_2027).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -23,7 +25,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(text: bytes) -> np.ndarray:
-    """One 64-bit hash for each word, in order."""
+    """One 64-bit hash for each word, in order; long texts are taken in pieces."""
+    return np.concatenate([_word_hashes(p) for p in pieces.cut(text)])
+
+
+def _word_hashes(text: bytes) -> np.ndarray:
     b = np.frombuffer(text, np.uint8)
     if not len(b):
         return np.zeros(0, np.uint64)

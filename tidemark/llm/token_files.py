@@ -23,7 +23,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import shared
+from . import pieces, shared
 
 #: Words kept with their ids in a worker's memory; the cache is emptied beyond that.
 CACHE_WORDS = 400_000
@@ -84,9 +84,12 @@ class WordIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        out = []
+        for piece in pieces.cut(text):
+            if len(self) > CACHE_WORDS:
+                self.clear()
+            out.append(b"".join(map(self.__getitem__, piece.replace("\n", " ").split(" "))))
+        return b"".join(out)
 
 
 def _open(path: str):
