@@ -218,6 +218,7 @@ def _meetings(sets: DataFrame, percent: int) -> DataFrame:
     tokens = shared.written(_exploded(sets, percent, None), "tokens")
     # Rare tokens first: those that few groups hold. Common ones are only reached by sets of nothing else.
     spread = tokens.select("token", "grp").distinct().groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    spread = shared.written(spread, "spread")
     ranked = tokens.join(spread, "token", "left").withColumn("rank", F.row_number().over(Window.partitionBy("cid").orderBy(F.coalesce("held", F.lit(1)), "token")))
     sizes = sets.select("cid", "n", "portion")
     early = ranked.join(sizes, "cid").where(F.col("held").isNotNull() & (F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("cid", "grp", "portion", "token")
