@@ -48,16 +48,26 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.tidemark_path = path
     # Spark drops the shuffle files of finished steps when the JVM collects what refers to them.
-    df.sparkSession.sparkContext._jvm.System.gc()
+    fs, at = _place(df.sparkSession, path)
+    if fs.getContentSummary(at).getLength() >= LARGE_TABLE:
+        df.sparkSession.sparkContext._jvm.System.gc()
     return out
 
 
+#: Bytes from which a written table is followed by a collection on the driver.
+LARGE_TABLE = 4 << 20
+
+
+def _place(spark: SparkSession, path: str):
+    """The file system of a path, and the path as the JVM has it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def drop_written(df: DataFrame) -> None:
     """Removes the table of written(df), when no later plan reads it."""
-    spark, path = df.sparkSession, df.tidemark_path
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    fs, at = _place(df.sparkSession, df.tidemark_path)
+    fs.delete(at, True)
 
 
 #: What a side of a join may hold at most to be broadcast by a count of its rows: Spark's own default.
