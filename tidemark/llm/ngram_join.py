@@ -31,7 +31,7 @@ SKETCH = 32
 #: Share of equal smallest values with its leader that a set has at least to be in its group.
 ALIKE = 0.4
 #: Sets of a group that are opened together, and columns of a table of tokens.
-PORTION, COLUMNS = 512, 16_384
+PORTION, COLUMNS = 512, 8_192
 
 
 def missing(n, percent: int):

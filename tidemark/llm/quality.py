@@ -23,7 +23,7 @@ FIT_DOCUMENTS = 6_000
 #: Bytes of a passage.
 PASSAGE = 800
 #: Bytes that are turned into features at a time.
-PORTION = PASSAGE * 2_500
+PORTION = PASSAGE * 600
 THRESHOLD = 0.7
 CODES, ATTENTION, WORD_BUCKETS = 32, 16, 64
 _SEED = 20_240_101
