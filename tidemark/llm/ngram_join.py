@@ -26,9 +26,9 @@ WIDTH = 5
 PERCENT = 80
 #: Least tokens that a prefix holds beyond those that may be missing, as shares of a set.
 FIRST_SHARE, SECOND_SHARE = 0.05, 0.2
-#: Smallest values under as many hash functions, by pairs the keys under which similar sets meet.
+#: Values of a set's sketch; pairs of them are the keys under which similar sets meet.
 SKETCH = 32
-#: Share of equal smallest values with its leader that a set has at least to be in its group.
+#: Share of sketch values that a set has in common with its leader at least, to be in its group.
 ALIKE = 0.4
 #: Sets of a group that are opened together, and columns of a table of tokens.
 PORTION, COLUMNS = 512, 8_192
