@@ -89,8 +89,8 @@ def unscanned(docs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]
     rule alone. Copies of a text are one blob: the row with the lowest doc_id is read for all. If
     that row itself is repeated, its ledger row is too, which readers of the ledger allow for.
     """
-    # A light row for each place; only the texts at the chosen places are read by the scan.
-    places = addressed(docs).groupBy("blob").agg(F.min("doc_id").alias("place"))
+    light = addressed(docs)
+    places = light.groupBy("blob").agg(F.min("doc_id").alias("place")).withColumn("unseen", F.lit(True))
     if ledger is None:
         todo = [(places, rules)]
     else:
@@ -98,8 +98,11 @@ def unscanned(docs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]
     out = None
     full = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256)).alias("a")
     for unseen, which in todo:
-        at = (F.col("a.blob") == F.col("u.blob")) & F.col("a.doc_id").eqNullSafe(F.col("u.place"))
-        rows = scan_blobs(full.join(unseen.alias("u"), at, "left_semi"), which)
+        # The rows that need no scan are found on addresses alone; where they are few, no text moves.
+        copies = light.join(unseen, "blob", "left").where(F.col("unseen").isNull() | ~F.col("doc_id").eqNullSafe(F.col("place")))
+        skipped = shared.small_side(shared.written(copies.select("blob", "doc_id").distinct(), "skipped"), 128).alias("s")
+        at = (F.col("a.blob") == F.col("s.blob")) & F.col("a.doc_id").eqNullSafe(F.col("s.doc_id"))
+        rows = scan_blobs(full.join(skipped, at, "left_anti"), which)
         out = rows if out is None else out.unionByName(rows)
     return out
 
