@@ -248,8 +248,8 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if grouped.select("cid").distinct().count() != grouped.count():  # a place that is itself repeated
         grouped = shared.written(grouped.dropDuplicates(["cid"]), "grouped")
     # Inside a group: first each set with its leader. Sets outside the largest component then ask all others.
-    leading = grouped.select(F.col("leader").alias("b")).where("b IS NOT NULL").distinct()
-    leaders = grouped.where("members > 1").select(F.col("cid").alias("b"), F.col("tokens").alias("tokens_b")).join(leading, "b")
+    leading = shared.written(grouped.select(F.col("leader").alias("b")).where("b IS NOT NULL").distinct(), "leading")
+    leaders = grouped.where("members > 1").select(F.col("cid").alias("b"), F.col("tokens").alias("tokens_b")).join(shared.small_side(leading, 16), "b")
     pairs = grouped.where("leader IS NOT NULL").select(F.col("cid").alias("a"), F.col("leader").alias("b"), F.col("tokens").alias("tokens_a")).join(leaders, "b")
     stars = shared.written(_verified(pairs, percent), "stars")
     whole = graph.components(stars).select(F.col("node").alias("cid"), "component")
