@@ -8,7 +8,6 @@ adds them to the ledger, and joins the findings back to every path of the blob.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
