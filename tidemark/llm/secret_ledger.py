@@ -89,7 +89,8 @@ def unscanned(docs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]
     that row itself is repeated, its ledger row is too, which readers of the ledger allow for.
     """
     light = addressed(docs)
-    places = light.groupBy("blob").agg(F.min("doc_id").alias("place")).withColumn("unseen", F.lit(True))
+    # Written, so that the join has a shuffle on either side and Spark can split the parts of common texts.
+    places = shared.written(light.groupBy("blob").agg(F.min("doc_id").alias("place")).withColumn("unseen", F.lit(True)), "places")
     if ledger is None:
         todo = [(places, rules)]
     else:
