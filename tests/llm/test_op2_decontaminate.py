@@ -60,3 +60,15 @@ def test_windows_of_few_words_keep_their_values(spark):
     bench = spark.createDataFrame([(1, "1 2 3 4 5 6 7 8 9 10")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "1 2 3 4 5 6 7 8 9 10"), (2, "9 8 7 6 5 4 3 2 1 0")], "doc_id long, text string")
     assert [r.doc_id for r in decontaminate.leaks(docs, bench).collect()] == [1]
+
+
+def test_copies_in_other_capitals_are_found(spark):
+    item = "In the old town, Alice Moor sold 12 apples; then Bob Hill, who came late, paid 5 kg of large green plums for each box. The straße was empty"
+    short = "Answer: Paris"
+    bench = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
+    copies = [item.upper(), item.lower(), item.title()]
+    docs = [(k, f"{'w ' * k}{pad}{c} {pad}") for k, (c, pad) in enumerate((c, pad) for c in copies for pad in ("", "Some Words, "))]
+    docs += [(6, short.upper()), (7, short.lower()), (8, "so " * 9 + short)]
+    found = {(r.doc_id, r.item_id): (r.coverage, r.exact) for r in decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert {k: exact for k, (_, exact) in found.items()} == {(k, 1): True for k in range(6)} | {(6, 2): True, (7, 2): True}
+    assert [found[k, 1][0] for k in (0, 1)] == [1.0, 1.0]

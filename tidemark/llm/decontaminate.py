@@ -3,7 +3,9 @@
 Numbers, names and units become typed placeholders, so that a question whose parameters were
 changed keeps its template. Windows of eight template tokens are joined by hash. Along each
 alignment of a document with an item, every value of the item's slots must map to one value of
-the document's; windows of inconsistent alignments do not count.
+the document's; windows of inconsistent alignments do not count. What is a name is decided by
+capitals, so every window is also joined by its words in one case, with its values kept, and
+counts if either join finds it. Other capitals and other parameters at once are not matched.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ WINDOW = 8
 PLAIN_WORDS = 4
 #: Share of an item's windows that a document must hold.
 COVERAGE = 0.25
-#: Benchmarks of at most this many windows are broadcast; larger ones are joined by a shuffle.
+#: Benchmarks of at most this many keys of windows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
 NAME, NUMBER, UNIT = "¤", "¦", "¬"
@@ -61,50 +63,90 @@ def _windows(hashes: Column, width: int) -> Column:
     return F.when(n >= width, every).when(n > 0, F.array(F.xxhash64(hashes))).otherwise(none)
 
 
-def windows(rows: DataFrame, width: int, of_template: bool) -> DataFrame:
-    """rows (with ``mark``) exploded: pos from 0, h, and the marked words for later."""
-    line = template(F.col("mark")) if of_template else F.col("mark")
-    hashed = rows.withColumn("words", _words(F.col("mark"))).withColumn("tokens", F.transform(_words(line), lambda x: F.xxhash64(x)))
-    return hashed.select(*[c for c in rows.columns if c != "mark"], "words", F.posexplode(_windows(F.col("tokens"), width)).alias("pos", "h"))
+def folded(mark: Column) -> Column:
+    """A marked text without its marks, in one case whatever its capitals were."""
+    return F.upper(F.translate(mark, NAME + NUMBER + UNIT, ""))
+
+
+def hashed(rows: DataFrame) -> DataFrame:
+    """rows with their marked words, and hashes of their template tokens and their folded words, for ``mark``."""
+    each = lambda line: F.transform(_words(line), lambda x: F.xxhash64(x))
+    mark = F.col("mark")
+    return rows.withColumns({"words": _words(mark), "tokens": each(template(mark)), "plain": each(folded(mark))}).drop("mark")
+
+
+def _step(width: int) -> int:
+    return max(width // 2, 1)
+
+
+def _gram(pos: Column, width: int) -> Column:
+    """A hash of the folded words from pos on, so many that each window holds the first of just one gram at a multiple of the step, and that gram."""
+    return F.xxhash64(F.lit("gram"), F.slice("plain", pos + 1, width - _step(width) + 1))
+
+
+def item_keys(items: DataFrame, width: int) -> DataFrame:
+    """What a document is joined on: each rich window by its template, and each window by its gram at every offset below the step."""
+    at = hashed(items).withColumn("n", F.size("words")).select("*", F.posexplode(_windows(F.col("tokens"), width)).alias("item_pos", "of_template"))
+    own = F.slice("words", F.col("item_pos") + 1, width)
+    rich = F.size(F.filter(own, lambda x: ~F.substring(x, 1, 1).isin(NAME, NUMBER, UNIT))) >= F.least(F.lit(PLAIN_WORDS), F.col("n"))
+    at = at.select("item_id", "item_pos", "n", "plain", "of_template", rich.alias("rich"), own.alias("item_words"), F.slice("plain", F.col("item_pos") + 1, width).alias("item_plain"))
+    key = lambda copied, offset, h: F.struct(F.lit(copied).alias("copied"), offset.alias("offset"), h.alias("h"))
+    grams = F.transform(F.sequence(F.lit(0), F.lit(_step(width) - 1)), lambda o: key(True, o, _gram(F.col("item_pos") + o, width)))
+    copied = F.when(F.col("n") >= width, grams).otherwise(F.array(key(True, F.lit(0), F.xxhash64(F.lit("whole"), "plain"))))
+    by_template = F.when(F.col("rich"), F.array(key(False, F.lit(0), F.col("of_template")))).otherwise(F.slice(copied, 1, 0))
+    return at.select("item_id", "item_pos", "rich", "item_words", "item_plain", F.explode(F.concat(by_template, copied)).alias("key")).select("*", "key.*").drop("key")
+
+
+def text_keys(texts: DataFrame, width: int) -> DataFrame:
+    """texts exploded to pos and h: all windows of the template, and the grams at multiples of the step."""
+    n = F.size("plain")
+    key = lambda pos, h: F.struct(pos.alias("pos"), h.alias("h"))
+    grams = F.transform(F.sequence(F.lit(0), n - (width - _step(width) + 1), F.lit(_step(width))), lambda i: key(i, _gram(i, width)))
+    whole = F.array(key(F.lit(0), F.xxhash64(F.lit("whole"), "plain")))
+    copied = F.when(n >= width, grams).when(n > 0, whole).otherwise(F.slice(whole, 1, 0))
+    by_template = F.transform(_windows(F.col("tokens"), width), lambda h, i: key(i, h))
+    rows = hashed(texts)
+    return rows.select(*[c for c in rows.columns if c != "tokens"], F.explode(F.concat(by_template, copied)).alias("key")).select("*", "key.*").drop("key")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """One row for each text of docs and item of benchmark that it holds: doc_id, text_hash, item_id, n_windows, coverage, exact.
 
-    coverage is the share of the item's windows found along consistent alignments, at least the
-    given share; exact says whether all slots kept their values. Items with fewer words than width
+    coverage is the share of the item's windows found along consistent alignments if that is at
+    least the given share; else the share found so or with the same words in whatever case, which
+    must reach it. exact says whether all slots kept their values. Items with fewer words than width
     match documents that consist of them alone. Null and empty texts match nothing; repeated rows
     of docs give one row; repeated items with the same id count as one. Other columns are ignored.
     """
     items = benchmark.select(F.col("item_id").alias("item_id"), marked(F.col("text")).alias("mark")).where("mark <> ''").distinct()
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), marked(F.col("text")).alias("mark"))
-    found = None
-    for of_template in (True, False):
-        own = windows(items, width, of_template)
-        plain = F.size(F.filter(F.slice("words", F.col("pos") + 1, width), lambda x: ~F.substring(x, 1, 1).isin(NAME, NUMBER, UNIT)))
-        rich = plain >= F.least(F.lit(PLAIN_WORDS), F.size("words"))
-        own = own.where(rich if of_template else ~rich).select("item_id", F.col("pos").alias("item_pos"), "h", F.slice("words", F.col("pos") + 1, width).alias("item_words"))
-        n = own.count()
-        if not n:
-            continue
-        if n <= BROADCAST_WINDOWS:
-            own = F.broadcast(own)
-        both = windows(texts, width, of_template).join(own, "h")
-        found_here = both.select("doc_id", "text_hash", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), F.arrays_zip(F.slice("words", F.col("pos") + 1, width).alias("theirs"), F.col("item_words").alias("ours")).alias("pairs"))
-        found = found_here if found is None else found.unionByName(found_here)
+    own = item_keys(items, width)
+    if own.count() <= BROADCAST_WINDOWS:
+        own = F.broadcast(own)
+    both = text_keys(texts, width).join(own, "h").withColumn("start", F.col("pos") - F.col("offset")).where("start >= 0")
+    both = both.where(~F.col("copied") | (F.slice("plain", F.col("start") + 1, width) == F.col("item_plain")))
+    theirs = F.slice("words", F.col("start") + 1, width)
+    # A window of few plain words belongs to its alignment when its values are marked alike.
+    aligned = ~F.col("copied") | (~F.col("rich") & (theirs == F.col("item_words")))
+    found = both.select("doc_id", "text_hash", "item_id", "item_pos", "copied", (F.col("start") - F.col("item_pos")).alias("shift"), aligned.alias("aligned"), F.arrays_zip(theirs.alias("theirs"), F.col("item_words").alias("ours")).alias("pairs"))
     total = items.groupBy("item_id").agg(F.sum(F.greatest(F.size(_words(F.col("mark"))) - (width - 1), F.lit(1))).alias("of_item"))
-    if found is None:
-        found = texts.join(items.select("item_id").limit(0), F.lit(False)).select("doc_id", "text_hash", "item_id", F.lit(0).alias("item_pos"), F.lit(0).alias("shift"), F.expr("cast(array() as array<struct<theirs:string,ours:string>>)").alias("pairs"))
     slots = F.filter("pairs", lambda p: F.substring(p["ours"], 1, 1).isin(NAME, NUMBER, UNIT))
     lines = found.groupBy("doc_id", "text_hash", "item_id", "shift").agg(
-        F.collect_set("item_pos").alias("positions"),  # at most the item's windows
-        F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
+        F.collect_set(F.when(F.col("aligned"), F.col("item_pos"))).alias("along"),  # at most the item's windows
+        F.collect_set(F.when(F.col("copied"), F.col("item_pos"))).alias("copies"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("aligned"), slots)))).alias("slots"),
     )
     ours = F.array_distinct(F.transform("slots", lambda p: p["ours"]))
-    consistent = lines.where(F.size(ours) == F.size("slots")).withColumn("exact", F.forall("slots", lambda p: p["ours"] == p["theirs"]))
-    summed = consistent.groupBy("doc_id", "text_hash", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("positions")))).cast("long").alias("n_windows"), F.bool_and("exact").alias("exact"))
+    one_value = F.size(ours) == F.size("slots")
+    none = F.array().cast("array<int>")
+    by_line = lines.select("doc_id", "text_hash", "item_id", F.when(one_value, F.col("along")).otherwise(none).alias("along"), "copies", F.forall("slots", lambda p: p["ours"] == p["theirs"]).alias("exact"))
+    held = lambda name: F.array_distinct(F.flatten(F.collect_list(name)))
+    exact = F.coalesce(F.bool_and(F.when(F.size("along") > 0, F.col("exact"))), F.lit(True))
+    summed = by_line.groupBy("doc_id", "text_hash", "item_id").agg(held("along").alias("along"), held("copies").alias("copies"), exact.alias("exact")).join(total, "item_id")
+    aligned_alone = F.size("along").cast("long")
+    n = F.when(aligned_alone / F.col("of_item") >= coverage, aligned_alone).otherwise(F.size(F.array_union("along", "copies")).cast("long"))
     share = F.col("n_windows") / F.col("of_item")
-    return summed.join(total, "item_id").where(share >= coverage).select("doc_id", "text_hash", "item_id", "n_windows", share.alias("coverage"), "exact")
+    return summed.withColumn("n_windows", n).where(share >= coverage).select("doc_id", "text_hash", "item_id", "n_windows", share.alias("coverage"), "exact")
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
