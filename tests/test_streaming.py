@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import flatten, tables
+from tidemark.operators import flatten, routing, tables
 from tidemark.sources import readers
 from tidemark.streaming import pipelines
 
@@ -55,6 +55,25 @@ def test_breaker_opens_waits_and_closes(spark):
     assert [(r.allowed, r.state) for r in out] == [(True, "closed")] * 4 + [(True, "open"), (False, "open"), (True, "half_open"), (True, "closed"), (True, "closed")]
 
 
+def test_keys_of_many_rows_are_folded_in_batches(spark):
+    at = lambda h: START + datetime.timedelta(hours=h)
+    rows = [(k, i, at(i)) for k in ("a", "b", None) for i in range(100)]
+    calls = spark.createDataFrame([(k, i, t, i % 40 >= 20) for k, i, t in rows], "svc string, id int, ts timestamp, ok boolean")
+    whole = sorted(pipelines.breaker_states(calls, "svc", "ts", "ok", open_seconds=18_000, order=["id"]).collect(), key=str)
+    usual = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        states = pipelines.breaker_states(calls, "svc", "ts", "ok", open_seconds=18_000, order=["id"])
+        first = routing.deduplicated_within(calls.select("svc", "id", "ts"), ["svc"], "ts", ["id"], 86_400)
+        assert sorted(states.collect(), key=str) == whole and {r.state for r in whole} == {"closed", "open", "half_open"}
+        assert sorted((str(r.svc), r.id) for r in first.collect()) == sorted((str(k), i) for k in ("a", "b", None) for i in range(0, 100, 24))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", usual)
+    for plan in (states, first):
+        made = plan._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapGroups" not in made and "collect_list" not in made
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "m.txt").write_text('# HELP x\nx_total{topic="a",le="+Inf"} 3\nup 1\nbad line here\ny NaN\n')
     got = {r.metric: (r.labels, r.value) for r in readers.exposition(spark, str(tmp_path / "m.txt")).collect()}

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,18 +64,24 @@ def sampled_letters(failed: DataFrame, events: str, most: int = 3) -> DataFrame:
 
 
 def deduplicated_within(df: DataFrame, key: Sequence[str], ts: str, order: Sequence[str], seconds: int) -> DataFrame:
-    """A row stays if no row of its key that stayed lies less than `seconds` before it.
+    """A row stays if no row of its key that stayed lies less than `seconds` before it; rows without a time stay.
 
-    A gap of that length starts afresh, so each key's rows fall into runs; which rows of a run stay
-    is a fold over its ordered times. For keys whose runs never end, use the streaming operator,
-    which holds one time a key.
+    The rows of a key are sorted and folded batch by batch; what is carried is one time.
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(*key).orderBy(ts, *order)
-    fresh = F.coalesce((micros - F.lag(micros).over(w) >= seconds * 1_000_000).cast("int"), F.lit(0))
-    marked = df.withColumn("__fresh", fresh).withColumn("__run", F.sum("__fresh").over(w))
-    row = F.struct(micros.alias("t"), *order, F.struct(*df.columns).alias("row"))
-    step = lambda acc, x: F.when((F.size(acc) == 0) | (x["t"] - F.element_at(acc, -1)["t"] >= seconds * 1_000_000), F.concat(acc, F.array(x))).otherwise(acc)
-    grouped = marked.groupBy(*key, "__run").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    kept = F.aggregate("rows", F.slice("rows", 1, 0), step)
-    return grouped.select(F.explode(kept).alias("x")).select("x.row.*")
+    columns, names = df.columns, list(key)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    timed = df.withColumn("__t", F.unix_micros(F.col(ts).cast("timestamp")))
+
+    def fold(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, kept = None, None
+        for part in parts:
+            stays = []
+            for *own, t in zip(*[part.column(k).to_pylist() for k in (*names, "__t")], strict=True):
+                if own != last:
+                    last, kept = own, None
+                stays.append(t is None or kept is None or t - kept >= seconds * 1_000_000)
+                if stays[-1] and t is not None:
+                    kept = t
+            yield part.filter(pa.array(stays, pa.bool_())).select(columns)
+
+    return timed.repartition(n, *names).sortWithinPartitions(*names, "__t", *order).mapInArrow(fold, df.schema)

@@ -116,8 +116,8 @@ def download_tasks(spark, d):
 
 @QUERIES.add()
 def circuit_breaker(spark, d):
-    calls = table(spark, d, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), (F.col("value") > 30).alias("ok"))
-    return pipelines.breaker_states(calls, "event_type", "ts", "ok")
+    calls = table(spark, d, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), (F.col("value") > 30).alias("ok"))
+    return pipelines.breaker_states(calls, "event_type", "ts", "ok", order=["event_id"])
 
 
 @QUERIES.add()

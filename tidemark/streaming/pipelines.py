@@ -6,10 +6,11 @@ batch is written at least once, and once where the sink is idempotent.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -69,33 +70,38 @@ def redelivered(stream: DataFrame, key: str, retry_at: str) -> DataFrame:
     return stream.groupBy(key).applyInPandasWithState(hold, schema, schema, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def breaker_states(calls: DataFrame, key: str, ts: str, ok: str, failures: int = 5, successes: int = 2, open_seconds: int = 60) -> DataFrame:
+def breaker_states(calls: DataFrame, key: str, ts: str, ok: str, failures: int = 5, successes: int = 2, open_seconds: int = 60, order: Sequence[str] = ()) -> DataFrame:
     """The state of a circuit breaker after each call of a log: closed, open or half_open, and whether the call passed.
 
-    Calls of a service are replayed in their order, so a service's log is one group; services
-    with endless logs belong in the streaming form, whose state is three numbers.
+    Calls of a service are replayed by time, then `order`, batch by batch; what is carried is the
+    state, its two counts and the time of opening.
     """
 
-    def replay(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(ts, kind="stable")
-        state, failed, passed, opened, out = "closed", 0, 0, None, []
-        for at, good in zip(rows[ts], rows[ok], strict=True):
-            if state == "open" and (at - opened).total_seconds() >= open_seconds:
-                state, passed = "half_open", 0
-            allowed = state != "open"
-            if allowed and good:
-                failed, passed = 0, passed + 1
-                if state == "half_open" and passed >= successes:
-                    state = "closed"
-            elif allowed:
-                failed += 1
-                if state == "half_open" or failed >= failures:
-                    state, opened, failed = "open", at, 0
-            out.append((allowed, state))
-        return rows[[key, ts]].assign(allowed=[x[0] for x in out], state=[x[1] for x in out])
+    def replay(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, state, failed, passed, opened = None, "closed", 0, 0, None
+        for part in parts:
+            out = []
+            for service, at, good in zip(*[part.column(c).to_pylist() for c in (key, ts, ok)], strict=True):
+                if service != last:
+                    last, state, failed, passed, opened = service, "closed", 0, 0, None
+                if state == "open" and at is not None and opened is not None and (at - opened).total_seconds() >= open_seconds:
+                    state, passed = "half_open", 0
+                allowed = state != "open"
+                if allowed and good:
+                    failed, passed = 0, passed + 1
+                    if state == "half_open" and passed >= successes:
+                        state = "closed"
+                elif allowed:
+                    failed += 1
+                    if state == "half_open" or failed >= failures:
+                        state, opened, failed = "open", at, 0
+                out.append((allowed, state))
+            yield pa.RecordBatch.from_pydict({key: part.column(key), ts: part.column(ts), "allowed": pa.array([x[0] for x in out], pa.bool_()), "state": pa.array([x[1] for x in out], pa.string())})
 
     kinds = dict(calls.dtypes)
-    return calls.select(key, ts, ok).groupBy(key).applyInPandas(replay, f"{key} {kinds[key]}, {ts} {kinds[ts]}, allowed boolean, state string")
+    n = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = calls.select(key, ts, ok, *order).repartition(n, key).sortWithinPartitions(key, F.asc_nulls_last(ts), *order)
+    return ordered.mapInArrow(replay, f"{key} {kinds[key]}, {ts} {kinds[ts]}, allowed boolean, state string")
 
 
 def counted_cycles(stream: DataFrame, ts: str, by: str, every: str = "30 seconds", late: str = "1 minute") -> DataFrame:
