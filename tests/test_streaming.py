@@ -48,6 +48,18 @@ def test_messages_wait_for_their_time(spark, tmp_path):
     assert [r.id for r in spark.table("redelivered").collect()] == ["a"]
 
 
+def test_every_waiting_message_of_a_key_is_redelivered(spark, tmp_path):
+    at = lambda m: START + datetime.timedelta(minutes=m)
+    schema = "id string, n int, ts timestamp, retry_at timestamp"
+    parts = [[("a", 1, at(0), at(5)), ("a", 2, at(0), at(8)), ("a", 3, at(0), at(60))], [("a", None, at(1), at(30)), ("a", 5, at(1), at(99))], [("b", 6, at(20), at(99))], [("b", 7, at(40), at(99))], [("b", 8, at(41), None)]]
+    stream = files(spark, tmp_path / "in", parts, schema)
+    held = pipelines.redelivered(stream.withWatermark("ts", "0 seconds"), "id", "retry_at")
+    query = held.writeStream.outputMode("append").format("memory").queryName("every").option("checkpointLocation", str(tmp_path / "cp")).start()
+    query.processAllAvailable()
+    query.stop()
+    assert sorted((r.n for r in spark.table("every").collect()), key=str) == [1, 2, 8, None]
+
+
 def test_breaker_opens_waits_and_closes(spark):
     at = lambda s: START + datetime.timedelta(seconds=s)
     calls = [("s", at(i), False) for i in range(5)] + [("s", at(10), True), ("s", at(65), True), ("s", at(66), True), ("s", at(67), True)]

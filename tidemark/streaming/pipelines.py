@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import ArrayType, IntegralType, StructField, StructType
 
 
 def deduplicated(stream: DataFrame, key: list[str], ts: str, ttl: str = "24 hours") -> DataFrame:
@@ -43,31 +45,44 @@ def fan_out_sink(sinks: dict[str, tuple[Callable[[DataFrame], DataFrame], Callab
 
 
 def redelivered(stream: DataFrame, key: str, retry_at: str) -> DataFrame:
-    """Messages held until their time: each key's latest message is emitted when the watermark passes retry_at.
+    """Messages held until their time: each message is emitted when the watermark passes its retry_at.
 
-    stream needs a watermark on its event time. The state is one row a key.
+    stream needs a watermark on its event time. The state is the list of a key's waiting messages;
+    those without a time do not wait.
     """
     fields = [f for f in stream.schema.fields]
     names = [f.name for f in fields]
     schema = stream.schema
     at = names.index(retry_at)
+    waiting = StructType([StructField("waiting", ArrayType(schema))])
+
+    def plain(value: Any, whole: bool) -> Any:
+        """A value of a pandas column as the state takes it."""
+        value = value.tolist() if isinstance(value, (np.ndarray, np.generic)) else value
+        if value is pd.NaT or (whole and value != value):
+            return None
+        return int(value) if whole and value is not None else value
+
+    def due(message: tuple[Any, ...]) -> int:
+        return 0 if message[at] is None else -(-pd.Timestamp(message[at]).value // 1_000_000)
 
     def hold(group: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            held = state.get
+        held = [tuple(m) for m in state.get[0]] if state.exists else []
+        if not state.hasTimedOut:
+            for batch in batches:
+                columns = [[plain(v, isinstance(f.dataType, IntegralType)) for v in batch[f.name]] for f in fields]
+                held += zip(*columns, strict=True)
+        now = max(state.getCurrentWatermarkMs(), 0)
+        rest = [m for m in held if due(m) > now]
+        if rest:
+            state.update(([*rest],))
+            state.setTimeoutTimestamp(max(min(map(due, rest)), now + 1))
+        elif state.exists:
             state.remove()
-            yield pd.DataFrame([held], columns=names)
-            return
-        last = None
-        for batch in batches:
-            if len(batch):
-                last = tuple(batch.sort_values(retry_at).iloc[-1].tolist())
-        if last is not None:
-            state.update(last)
-            due = int(pd.Timestamp(last[at]).timestamp() * 1000)
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-
-    return stream.groupBy(key).applyInPandasWithState(hold, schema, schema, "append", GroupStateTimeout.EventTimeTimeout)
+        if ready := sorted((m for m in held if due(m) <= now), key=due):
+            yield pd.DataFrame(ready, columns=names)
+
+    return stream.groupBy(key).applyInPandasWithState(hold, schema, waiting, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def breaker_states(calls: DataFrame, key: str, ts: str, ok: str, failures: int = 5, successes: int = 2, open_seconds: int = 60, order: Sequence[str] = ()) -> DataFrame:
