@@ -1,9 +1,13 @@
 """Exact Jaccard self-join of word-shingle sets by a token-group matrix (operator 8).
 
 Equal sets are one class. Classes are put into groups of similar sets; the matrix says which
-groups hold a token (the union of the tokens of their sets). A set can only link with a member of
-a group whose union holds enough of its tokens: fewer, and the group stays closed. Most sets meet
-no group but their own that qualifies; the members of the others are compared exactly.
+portions of groups hold a token (the union of the tokens of their sets). A set can only link with
+a member of a portion whose union holds enough of its tokens: fewer, and the portion stays closed.
+Sets that are linked with their group's leader are at home together and need no comparison; most
+others meet no portion that qualifies. The members of those that do are compared exactly.
+
+Light rows (class, counts, places) are joined; whole sets and texts stay where they are, but for
+those that a bitmap of fixed size lets pass.
 
 Bounds. Sets of q and s tokens link when their intersection is 0.8 of their union at least. Then
 at most q - ceil(0.8 q) tokens of the one are missing in the other. In any one order of all
@@ -55,24 +59,25 @@ def _sketch(tokens: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, percent: int) -> DataFrame:
-    """doc_id, cid (class), n, tokens (a prefix: the first tokens by hash, as many as the first bound asks for), mins (a sketch)."""
+    """doc_id, place (a hash of id and text), cid (class), n, tokens (a prefix: the first tokens by hash, as many as the first bound asks for), mins (a sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cids, sizes, prefixes, sketches = [], [], [], []
-            for tokens in shingles.sets((t.as_py() for t in batch.column(1)), WIDTH):
+            for tokens in shingles.sets((t.as_py() for t in batch.column(2)), WIDTH):
                 n = len(tokens)
                 cids.append(_sig(tokens))
                 sizes.append(n)
                 prefixes.append(tokens[: missing(n, percent) + max(1, int(np.ceil(FIRST_SHARE * n)))].tobytes())
                 sketches.append(_sketch(tokens))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "cid": pa.array(cids, pa.int64()), "n": pa.array(sizes, pa.int64()), "tokens": pa.array(prefixes, pa.binary()), "mins": pa.array(sketches, pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "place": batch.column(1), "cid": pa.array(cids, pa.int64()), "n": pa.array(sizes, pa.int64()), "tokens": pa.array(prefixes, pa.binary()), "mins": pa.array(sketches, pa.list_(pa.int64()))})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, cid long, n long, tokens binary, mins array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shared.row_key(docs).alias("place"), "text")
+    return rows.mapInArrow(run, "doc_id long, place long, cid long, n long, tokens binary, mins array<long>")
 
 
 def _exploded(sets: DataFrame, percent: int, share: float | None) -> DataFrame:
-    """cid, grp, token for the tokens of a prefix; share None: of the whole set. sets: cid, grp, tokens."""
+    """cid, home, token for the tokens of a prefix; share None: of the whole set. sets: cid, home, tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,18 +88,18 @@ def _exploded(sets: DataFrame, percent: int, share: float | None) -> DataFrame:
             for at in range(0, len(arrays), 256):
                 part, k = arrays[at : at + 256], sizes[at : at + 256]
                 if sum(k):
-                    ids, groups = (np.repeat(batch.column(c).slice(at, 256).to_numpy(zero_copy_only=False), k) for c in (0, 1))
-                    yield pa.RecordBatch.from_pydict({"cid": pa.array(ids, pa.int64()), "grp": pa.array(groups, pa.int64()), "token": pa.array(np.concatenate(part), pa.int64())})
+                    ids, homes = (np.repeat(batch.column(c).slice(at, 256).to_numpy(zero_copy_only=False), k) for c in (0, 1))
+                    yield pa.RecordBatch.from_pydict({"cid": pa.array(ids, pa.int64()), "home": pa.array(homes, pa.int64()), "token": pa.array(np.concatenate(part), pa.int64())})
 
-    return sets.select("cid", "grp", "tokens").mapInArrow(run, "cid long, grp long, token long")
+    return sets.select("cid", "home", "tokens").mapInArrow(run, "cid long, home long, token long")
 
 
 def _meeting(tokens: DataFrame, classes: bool = False) -> DataFrame:
-    """cid and met: how many of its tokens another group holds too. classes: every set is a group of its own."""
+    """cid and met: how many of its tokens another home holds too. classes: every set is a home of its own."""
     if classes:
         tokens, spread = tokens.select("cid", "token"), tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
     else:
-        spread = tokens.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high")
+        spread = tokens.groupBy("token").agg(F.min("home").alias("low"), F.max("home").alias("high")).where("low <> high")
     # Written, so that the join has a shuffle on either side and Spark can split the parts of common tokens.
     return tokens.join(shared.written(spread.select("token"), "spread"), "token").groupBy("cid").agg(F.count("*").alias("met"))
 
@@ -146,7 +151,7 @@ def _grouped(flagged: DataFrame) -> DataFrame:
     named = shared.written(named, "named")
     sizes = shared.written(named.groupBy("grp").agg(F.count("*").alias("members")), "sizes")
     portion = F.xxhash64("grp", F.pmod(F.xxhash64("cid"), F.ceil(F.col("members") / PORTION)))
-    return named.join(sizes, "grp").withColumn("portion", portion)
+    return named.join(sizes, "grp").withColumn("portion", portion).drop("grp", "members")
 
 
 def _labelled(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -193,9 +198,10 @@ def open_block(asks: list[np.ndarray], holds: list[np.ndarray], ask_ids: np.ndar
 def _opened(asks: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
     """Links found by opening portions. asks: cid, portion (its own), other (the portion it asks)."""
     asks = shared.written(asks.select("cid", "other", F.xxhash64("portion", "other").alias("block")).distinct(), "asks")
-    wanted = asks.select("block", F.col("other").alias("portion")).distinct()
-    held = wanted.join(grouped, "portion").select("block", F.lit(False).alias("asks"), "cid", "tokens")
-    rows = asks.join(grouped, "cid").select("block", F.lit(True).alias("asks"), "cid", "tokens").unionByName(held)
+    wanted = shared.written(asks.select("block", F.col("other").alias("portion")).distinct(), "wanted")
+    askers = shared.written(asks.select("cid").distinct(), "askers")
+    held = wanted.join(shared.passing(grouped, "portion", wanted), "portion").select("block", F.lit(False).alias("asks"), "cid", "tokens")
+    rows = asks.join(shared.passing(grouped, "cid", askers), "cid").select("block", F.lit(True).alias("asks"), "cid", "tokens").unionByName(held)
     n = int(asks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(n, "block").sortWithinPartitions("block")
 
@@ -208,23 +214,21 @@ def _opened(asks: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
             a, b = open_block([tokens[i] for i in where], [tokens[i] for i in there], ids[where], ids[there], percent)
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    out = shared.written(rows.mapInArrow(run, "a long, b long"), "opened")
-    shared.drop_written(asks)
-    return out
+    return shared.written(rows.mapInArrow(run, "a long, b long"), "opened")
 
 
 def _meetings(sets: DataFrame, percent: int) -> DataFrame:
-    """cid, portion, other: the portions of other groups of which a set may link with a member."""
+    """cid, portion, other: the portions in which a set may link with a member of another home."""
     tokens = shared.written(_exploded(sets, percent, None), "tokens")
-    # Rare tokens first: those that few groups hold. Common ones are only reached by sets of nothing else.
-    spread = tokens.select("token", "grp").distinct().groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    # Rare tokens first: those that few homes hold. Common ones are only reached by sets of nothing else.
+    spread = tokens.select("token", "home").distinct().groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
     spread = shared.written(spread, "spread")
     ranked = tokens.join(spread, "token", "left").withColumn("rank", F.row_number().over(Window.partitionBy("cid").orderBy(F.coalesce("held", F.lit(1)), "token")))
     sizes = sets.select("cid", "n", "portion")
-    early = ranked.join(sizes, "cid").where(F.col("held").isNotNull() & (F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("cid", "grp", "portion", "token")
+    early = ranked.join(sizes, "cid").where(F.col("held").isNotNull() & (F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("cid", "home", "portion", "token")
     early = shared.written(early, "early")
-    matrix = early.select("token", F.col("portion").alias("other"), F.col("grp").alias("of")).distinct()
-    return early.select("token", "cid", "portion", "grp").join(matrix, "token").where("grp > of").select("cid", "portion", "other").distinct()
+    matrix = early.select("token", F.col("portion").alias("other"), F.col("home").alias("of")).groupBy("token", "other").agg(F.min("of").alias("of"))
+    return early.select("token", "cid", "portion", "home").join(matrix, "token").where("home > of").select("cid", "portion", "other").distinct()
 
 
 def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -235,60 +239,61 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     its component_id is null. Repeated rows fall in one class. Links are exact: every pair that
     the bounds leave over is compared, in groups of any size.
     """
-    sig = shared.written(signatures(docs, percent), "signatures")
-    live = sig.where("n > 0 AND doc_id IS NOT NULL")
-    first = [F.first(c).alias(c) for c in ("n", "tokens", "mins")]
-    classes = shared.written(live.groupBy("cid").agg(F.min("doc_id").alias("rep"), *first), "classes")
-    # First bound, on short prefixes of every class.
-    met = _meeting(_exploded(classes.withColumn("grp", F.col("cid")), percent, None), classes=True)
-    flagged = met.join(classes.select("cid", "rep", "n", "mins"), "cid").where(F.col("met") >= _need(F.col("n"), percent, FIRST_SHARE))
-    flagged = shared.written(flagged, "flagged")
-    shared.drop_written(classes)
-    grouped = shared.written(_whole_sets(docs, shared.written(_grouped(flagged), "groups")), "grouped")
-    if grouped.select("cid").distinct().count() != grouped.count():  # a place that is itself repeated
-        grouped = shared.written(grouped.dropDuplicates(["cid"]), "grouped")
-    # Inside a group: first each set with its leader. Sets outside the largest component then ask all others.
-    leading = shared.written(grouped.select(F.col("leader").alias("b")).where("b IS NOT NULL").distinct(), "leading")
-    leaders = grouped.where("members > 1").select(F.col("cid").alias("b"), F.col("tokens").alias("tokens_b")).join(shared.small_side(leading, 16), "b")
-    pairs = grouped.where("leader IS NOT NULL").select(F.col("cid").alias("a"), F.col("leader").alias("b"), F.col("tokens").alias("tokens_a")).join(leaders, "b")
-    stars = shared.written(_verified(pairs, percent), "stars")
-    whole = graph.components(stars).select(F.col("node").alias("cid"), "component")
-    inside = grouped.where("members > 1").select("cid", "grp", "portion").join(whole, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    main = inside.groupBy("grp", "component").agg(F.count("*").alias("k")).groupBy("grp").agg(F.max_by("component", F.struct("k", "component")).alias("main"))
-    main = shared.written(main, "main")
-    apart = inside.join(main, "grp").where("component <> main").select("cid", "grp", "portion")
-    inner = apart.join(grouped.select("grp", F.col("portion").alias("other")).distinct(), "grp").select("cid", "portion", "other")
-    # Across groups: longer prefixes and then whole sets, of which enough tokens are met in other groups.
-    left = grouped
-    for share in (SECOND_SHARE, None):
-        need = _need(F.col("n"), percent, share) if share else F.ceil(F.col("n") * percent / 100)
-        enough = _meeting(_exploded(left, percent, share)).join(left.select("cid", "n"), "cid").where(F.col("met") >= need).select("cid")
-        left = shared.written(left.select("cid", "n", "grp", "portion", "tokens").join(enough, "cid"), "left")
-    outer = _meetings(left, percent)
-    links = stars.unionByName(_opened(inner.unionByName(outer), grouped, percent))
-    found = graph.components(links)
-    of_class = live.groupBy("cid").agg(F.min("doc_id").alias("rep"))
-    named = of_class.join(found, of_class.cid == found.node)
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_class = named.join(least, "component").select("cid", "component_id").unionByName(of_class.join(found, of_class.cid == found.node, "left_anti").select("cid", F.col("rep").alias("component_id")))
-    out = sig.select("doc_id", "cid", "n").join(by_class, "cid", "left")
-    linked = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), linked.alias("component_id"))
+    return _joined(docs, percent).drop("place")
+
+
+def _joined(docs: DataFrame, percent: int) -> DataFrame:
+    """join() with place, the key of each row."""
+    with shared.scratch():
+        sig = shared.written(signatures(docs, percent), "signatures")
+        live = sig.where("n > 0 AND doc_id IS NOT NULL")
+        first = [F.first(c).alias(c) for c in ("n", "tokens", "mins")]
+        classes = shared.written(live.groupBy("cid").agg(F.min("place").alias("place"), *first), "classes")
+        # First bound, on short prefixes of every class.
+        met = _meeting(_exploded(classes.withColumn("home", F.col("cid")), percent, None), classes=True)
+        flagged = met.join(classes.select("cid", "place", "n", "mins"), "cid").where(F.col("met") >= _need(F.col("n"), percent, FIRST_SHARE))
+        flagged = shared.written(flagged, "flagged")
+        shared.drop_written(classes)
+        grouped = shared.written(_whole_sets(docs, shared.written(_grouped(flagged), "groups")), "grouped")
+        if grouped.select("cid").distinct().count() != grouped.count():  # a place that is itself repeated
+            grouped = shared.written(grouped.dropDuplicates(["cid"]), "grouped")
+        # Each set with its leader: what is linked so is at home together.
+        leading = shared.written(grouped.select(F.col("leader").alias("cid")).where("cid IS NOT NULL").distinct(), "leading")
+        leaders = shared.passing(grouped.select("cid", "tokens"), "cid", leading).join(leading, "cid").select(F.col("cid").alias("b"), F.col("tokens").alias("tokens_b"))
+        pairs = grouped.where("leader IS NOT NULL").select(F.col("cid").alias("a"), F.col("leader").alias("b"), F.col("tokens").alias("tokens_a")).join(leaders, "b")
+        stars = shared.written(_verified(pairs, percent), "stars")
+        homes = graph.components(stars).select(F.col("node").alias("cid"), F.col("component").alias("home"))
+        # Pairs of different homes: longer prefixes and then whole sets, of which enough tokens are met in other homes.
+        light = [c for c in grouped.columns if c != "tokens"]
+        named = shared.written(grouped.select(*light).join(homes, "cid", "left").withColumn("home", F.coalesce("home", "cid")), "named")
+        left = grouped.select("cid", "tokens").join(named.select("cid", "home", "n", "portion"), "cid")
+        for share in (SECOND_SHARE, None):
+            left = shared.written(left, "left")
+            need = _need(F.col("n"), percent, share) if share else F.ceil(F.col("n") * percent / 100)
+            enough = _meeting(_exploded(left, percent, share)).join(left.select("cid", "n"), "cid").where(F.col("met") >= need).select("cid")
+            enough = shared.written(enough, "enough")
+            left = shared.passing(left, "cid", enough).join(enough, "cid")
+        links = stars.unionByName(_opened(_meetings(shared.written(left, "left"), percent), grouped, percent))
+        found = graph.components(links)
+        of_class = live.groupBy("cid").agg(F.min("doc_id").alias("rep"))
+        named = of_class.join(found, of_class.cid == found.node)
+        least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+        by_class = named.join(least, "component").select("cid", "component_id").unionByName(of_class.join(found, of_class.cid == found.node, "left_anti").select("cid", F.col("rep").alias("component_id")))
+        out = sig.select("doc_id", "place", "cid", "n").join(by_class, "cid", "left")
+        linked = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
+        return shared.written(out.select("doc_id", F.col("n").alias("n_shingles"), linked.alias("component_id"), "place"), "components", lasting=True)
 
 
 def _whole_sets(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """groups (with rep, the first document of each class) with tokens, the whole sorted set as bytes, from that document's text."""
-    light = [c for c in groups.columns if c not in ("rep", "met")]
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(shared.small_side(groups, 104), "rep").select(*light, "text")
-    at = light.index("cid")
+    """groups (with place, one row of each class) with tokens, the whole sorted set as bytes, from the text at that place."""
+    light = [c for c in groups.columns if c not in ("place", "met")]
+    texts = shared.passing(docs.select(shared.row_key(docs).alias("place"), "text"), "place", groups).join(groups, "place").select(*light, "text")
     schema = groups.select(*light, F.lit(b"").alias("tokens")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(shingles.sets((t.as_py() for t in batch.column(len(light))), WIDTH))
-            mine = pa.array([_sig(s) == c for s, c in zip(sets, batch.column(at).to_pylist(), strict=True)], pa.bool_())
-            whole = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([s.tobytes() for s in sets], pa.binary())], names=[*light, "tokens"])
-            yield whole.filter(mine)
+            sets = shingles.sets((t.as_py() for t in batch.column(len(light))), WIDTH)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([s.tobytes() for s in sets], pa.binary())], names=[*light, "tokens"])
 
     return texts.mapInArrow(run, schema)
 
@@ -296,11 +301,12 @@ def _whole_sets(docs: DataFrame, groups: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs without the rows that are linked to a smaller doc_id; other columns stay as they are.
 
-    Rows with a null doc_id stay. Of rows that repeat both doc_id and text, one stays.
+    Rows with a null doc_id stay. Of rows that repeat both doc_id and text, one stays; rows that
+    repeat a doc_id with another text go by their own links.
     """
-    found = shared.written(join(docs.select("doc_id", "text"), percent), "components")
-    gone = shared.written(found.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
-    kept = docs.join(shared.small_side(gone, 24), "doc_id", "left_anti").select(*docs.columns)
+    found = _joined(docs.select("doc_id", "text"), percent)
+    gone = found.where("component_id <> doc_id").select(F.col("place").alias("__key"))
+    kept = shared.without(docs, shared.row_key(docs), gone)
     if not found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
         once = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
         kept = once.unionByName(kept.where("doc_id IS NULL"))
@@ -308,5 +314,10 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def op8_token_groups(spark, sf_dir: str) -> DataFrame:
-    """Component of every document under five-word shingles and Jaccard similarity 0.8 or more."""
+    """Component of every document under five-word shingles and Jaccard similarity 0.8 or more.
+
+    Null and empty texts have no shingles and are their own component; a null doc_id has a null
+    component. Ties and repeated rows fall in one class, and each row is returned. An empty table
+    gives no rows. Very long texts are hashed in pieces; other columns are ignored.
+    """
     return join(shared.table(spark, sf_dir, "documents").select("doc_id", "text"))
