@@ -4,12 +4,14 @@ Every text is addressed by the SHA-256 of its bytes (its blob). A ledger holds t
 and rule version that were scanned, with their findings. A scan takes from the rows only one
 place of each blob that the ledger lacks for some rule, scans those texts for these rules alone,
 adds them to the ledger, and joins the findings back to every path of the blob.
+
+What is to be scanned is decided on addresses; texts are scanned where they lie.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -85,26 +87,31 @@ def unscanned(docs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]
     """Ledger rows for the pairs of blob and rule version that the ledger lacks.
 
     Nothing that it holds is scanned again; a raised rule version scans every blob anew for that
-    rule alone. Copies of a text are one blob: the row with the lowest doc_id is read for all. If
-    that row itself is repeated, its ledger row is too, which readers of the ledger allow for.
+    rule alone. Copies of a text are one blob: one row is read for all. If that row itself is
+    repeated, its ledger row is too, which readers of the ledger allow for. Blobs that lack the
+    same rules are scanned in one pass over the texts.
     """
-    light = addressed(docs)
-    # Written, so that the join has a shuffle on either side and Spark can split the parts of common texts.
-    places = shared.written(light.groupBy("blob").agg(F.min("doc_id").alias("place")).withColumn("unseen", F.lit(True)), "places")
+    full = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    light = full.select(shared.row_key(full).alias("__key"), F.sha2("text", 256).alias("blob"))
+    places = light.groupBy("blob").agg(F.min("__key").alias("__key"))
+    every = (1 << len(rules)) - 1
     if ledger is None:
-        todo = [(places, rules)]
+        places = places.withColumn("lacks", F.lit(every))
     else:
-        todo = [(places.join(ledger.where(_is(rule)).select("blob"), "blob", "left_anti"), (rule,)) for rule in rules]
+        bit = F.lit(None).cast("int")
+        for i, rule in enumerate(rules):
+            bit = F.when(_is(rule), 1 << i).otherwise(bit)
+        seen = shared.written(ledger.select("blob", bit.alias("bit")).where("bit IS NOT NULL").groupBy("blob").agg(F.bit_or("bit").alias("seen")), "seen")
+        places = places.join(seen, "blob", "left").withColumn("lacks", F.lit(every).bitwiseXOR(F.coalesce("seen", F.lit(0))))
+    places = shared.written(places.select("__key", "lacks"), "places")
     out = None
-    full = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256)).alias("a")
-    for unseen, which in todo:
-        # The rows that need no scan are found on addresses alone; where they are few, no text moves.
-        copies = light.join(unseen, "blob", "left").where(F.col("unseen").isNull() | ~F.col("doc_id").eqNullSafe(F.col("place")))
-        skipped = shared.small_side(shared.written(copies.select("blob", "doc_id").distinct(), "skipped"), 128).alias("s")
-        at = (F.col("a.blob") == F.col("s.blob")) & F.col("a.doc_id").eqNullSafe(F.col("s.doc_id"))
-        rows = scan_blobs(full.join(skipped, at, "left_anti"), which)
+    for (lacks,) in sorted(places.where("lacks > 0").select("lacks").distinct().collect()):  # 2 ** len(rules) at most
+        todo = shared.written(places.where(F.col("lacks") == lacks).select("__key"), "todo")
+        rest = shared.written(light.select("__key").distinct().join(todo, "__key", "left_anti"), "rest")
+        texts = shared.only(full, shared.row_key(full), todo, rest).select(F.sha2("text", 256).alias("blob"), "text")
+        rows = scan_blobs(texts, tuple(r for i, r in enumerate(rules) if lacks >> i & 1))
         out = rows if out is None else out.unionByName(rows)
-    return out
+    return docs.sparkSession.createDataFrame([], LEDGER) if out is None else out
 
 
 def _is(rule: Rule):
@@ -113,8 +120,19 @@ def _is(rule: Rule):
 
 def update(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
     """The ledger after docs, written to the shared folder."""
-    new = unscanned(docs, ledger, rules)
-    return shared.written(new if ledger is None else ledger.unionByName(new), "ledger")
+    with shared.scratch():
+        new = unscanned(docs, ledger, rules)
+        return shared.written(new if ledger is None else ledger.unionByName(new), "ledger", lasting=True)
+
+
+def history(versions: Iterable[DataFrame], rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
+    """The ledger after every version of a table, oldest first: what an earlier version holds is not scanned again."""
+    ledger = None
+    for docs in versions:
+        before, ledger = ledger, update(docs, ledger, rules)
+        if before is not None:
+            shared.drop_written(before)
+    return ledger
 
 
 def found_by_blob(ledger: DataFrame, rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
@@ -130,16 +148,21 @@ def found_by_blob(ledger: DataFrame, rules: tuple[Rule, ...] = BASE_RULES) -> Da
 def join_back(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
     """doc_id and found for every row of docs, an empty list where the blob has no findings."""
     nothing = F.expr("cast(array() as array<struct<start:int,order:int,kind:string,end:int>>)")
-    return addressed(docs).join(found_by_blob(ledger, rules), "blob", "left").select("doc_id", F.coalesce("found", nothing).alias("found"))
+    # Written, so that the join has a shuffle on either side and Spark can split the parts of common texts.
+    found = shared.written(found_by_blob(ledger, rules), "found")
+    return addressed(docs).join(found, "blob", "left").select("doc_id", F.coalesce("found", nothing).alias("found"))
 
 
 def op9_secret_ledger(spark, sf_dir: str) -> DataFrame:
     """Every document with the number of its secrets by kind and their spans.
 
-    Null and empty texts have no findings: counts 0 and empty lists. Repeated rows each get their row.
+    Null and empty texts have no findings: counts 0 and empty lists. Repeated rows each get their
+    row, also with a null doc_id; an empty table gives no rows. Spans that begin alike come in the
+    order of their kinds. Very long texts are scanned whole; other columns are ignored. The table
+    is the first version that its ledger sees, so each of its blobs is scanned once.
     """
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = join_back(docs, update(docs))
+    found = join_back(docs, history([docs]))
     listed = F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     def number(kind: str):
@@ -148,19 +171,37 @@ def op9_secret_ledger(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[number(r.kind) for r in BASE_RULES], F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"))
 
 
+def replaced(text: str, spans: list[dict], mark: str) -> str:
+    """text with each span, in order of starts, replaced by mark; of spans that overlap, the first stands for all."""
+    out, at = [], 0
+    for s in spans:
+        if s["start"] >= at:
+            out += [text[at : s["start"]], mark]
+        at = max(at, s["end"])
+    return "".join([*out, text[at:]])
+
+
 def mask(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES, mark: str = "[SECRET]") -> DataFrame:
     """docs with each secret in text replaced by mark; other columns and rows stay as they are.
 
-    A null text stays null. Overlapping spans are replaced as one.
+    A null text stays null. Overlapping spans are replaced as one. Texts without secrets stay where
+    they are; those with some are joined with their spans.
     """
-    ledger = update(docs.select("doc_id", "text"), rules=rules)
-    by_blob = found_by_blob(ledger, rules).select(F.col("blob").alias("__blob"), F.col("found").alias("__found"))
-    by_blob = shared.small_side(shared.written(by_blob, "found"), 256)
-    whole = docs.withColumn("__blob", F.sha2("text", 256)).join(by_blob, "__blob", "left").drop("__blob")
-    # Spans by start: each piece of kept text lies between the furthest end so far and the next start.
-    step = lambda acc, s: F.struct(
-        F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"]).alias("out"),
-        F.greatest(acc["at"], s["end"]).alias("at"),
-    )
-    done = F.aggregate("__found", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    return whole.withColumn("text", F.when(F.col("__found").isNull(), F.col("text")).otherwise(done)).select(*docs.columns)
+    with shared.scratch():
+        ledger = update(docs.select("doc_id", "text"), rules=rules)
+        by_blob = found_by_blob(ledger, rules).select(F.col("blob").alias("__blob"), F.col("found").alias("__found"))
+        by_blob = shared.written(by_blob, "found", lasting=True)
+        bits = shared.bitmap(by_blob.select(F.xxhash64("__blob").alias("h")), "h", lasting=True)
+    marked = shared.flagged(docs.withColumn("__blob", F.sha2("text", 256)), F.xxhash64("__blob"), bits, "__may")
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column(at), batch.column(batch.num_columns - 1), strict=True)
+            texts = [replaced(t.as_py(), f.as_py(), mark) if f.is_valid else t.as_py() for t, f in pairs]
+            columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    some = marked.where("__may").join(by_blob, "__blob", "left").select(*columns, "__found").mapInArrow(run, docs.schema)
+    return marked.where("NOT __may").select(*columns).unionByName(some)
