@@ -52,7 +52,7 @@ def test_without_items_or_documents(spark, nothing, awkward):
 
 def test_large_benchmarks_take_the_shuffled_join(spark, monkeypatch):
     docs, bench = tables(spark)
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
     assert decontaminate.leaks(docs, bench).count() == 4
 
 
@@ -72,3 +72,23 @@ def test_copies_in_other_capitals_are_found(spark):
     found = {(r.doc_id, r.item_id): (r.coverage, r.exact) for r in decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
     assert {k: exact for k, (_, exact) in found.items()} == {(k, 1): True for k in range(6)} | {(6, 2): True, (7, 2): True}
     assert [found[k, 1][0] for k in (0, 1)] == [1.0, 1.0]
+
+
+def test_equal_to_sql_in_other_capitals(spark):
+    item = "In the old town, Alice Moor sold 12 apples; then Bob Hill, who came late, paid 5 kg of large green plums for each box"
+    bench = spark.createDataFrame([(1, item), (2, "1 2 3 4 5 6 7 8 9 10")], "item_id long, text string")
+    docs = [(1, item.upper()), (2, item.title() + ", " + item), (3, item.lower()[:70]), (4, "1 2 3 4 5 6 7 8 9 10 " + item.replace("Alice", "Carol")), (5, item.replace("12", "9") + " so on")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    con.register("benchmark", bench.toPandas())
+    own = decontaminate.leaks(docs, bench).select("doc_id", "item_id", "n_windows", F.round("coverage", 6), "exact").collect()
+    assert len(own) >= 5
+    assert sorted(map(tuple, own), key=str) == sorted(con.execute(decontaminate.oracle()).fetchall(), key=str)
+
+
+def test_a_very_long_text(spark):
+    docs, bench = tables(spark)
+    filler = " ".join(f"w{i % 977}" for i in range(500_000))
+    docs = spark.createDataFrame([(1, f"{filler} {DOCS[0][1]} {filler}")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()] == [(1, 1)]

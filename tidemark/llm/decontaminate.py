@@ -20,8 +20,8 @@ WINDOW = 8
 PLAIN_WORDS = 4
 #: Share of an item's windows that a document must hold.
 COVERAGE = 0.25
-#: Benchmarks of at most this many keys of windows are broadcast; larger ones are joined by a shuffle.
-BROADCAST_WINDOWS = 1_000_000
+#: Keys of a benchmark are broadcast up to so many bytes; beyond, a bitmap of them leaves few rows for a shuffled join.
+BROADCAST_BYTES = 32 << 20
 
 NAME, NUMBER, UNIT = "¤", "¦", "¬"
 #: Words that are units after a number.
@@ -47,20 +47,13 @@ def marked(text: Column) -> Column:
     return F.trim(out)
 
 
-def template(mark: Column) -> Column:
-    return F.regexp_replace(mark, f"([{NAME}{NUMBER}{UNIT}])[^ ]+", "$1")
+def _marks(word: Column) -> Column:
+    return F.substring(word, 1, 1).isin(NAME, NUMBER, UNIT)
 
 
-def _words(line: Column) -> Column:
-    return F.array_remove(F.split(line, " "), "")
-
-
-def _windows(hashes: Column, width: int) -> Column:
-    """A hash for each window; of shorter sequences, one for the whole."""
-    n = F.size(hashes)
-    every = F.transform(F.sequence(F.lit(1), n - width + 1), lambda i: F.xxhash64(F.slice(hashes, i, width)))
-    none = F.array().cast("array<bigint>")
-    return F.when(n >= width, every).when(n > 0, F.array(F.xxhash64(hashes))).otherwise(none)
+def template(words: Column) -> Column:
+    """The tokens of marked words: a mark alone for a name, number or unit."""
+    return F.transform(words, lambda w: F.when(_marks(w), F.substring(w, 1, 1)).otherwise(w))
 
 
 def folded(mark: Column) -> Column:
@@ -68,49 +61,61 @@ def folded(mark: Column) -> Column:
     return F.upper(F.translate(mark, NAME + NUMBER + UNIT, ""))
 
 
-def hashed(rows: DataFrame) -> DataFrame:
-    """rows with their marked words, and hashes of their template tokens and their folded words, for ``mark``."""
-    each = lambda line: F.transform(_words(line), lambda x: F.xxhash64(x))
-    mark = F.col("mark")
-    return rows.withColumns({"words": _words(mark), "tokens": each(template(mark)), "plain": each(folded(mark))}).drop("mark")
+def _plain(words: Column) -> Column:
+    return F.transform(words, folded)
 
 
 def _step(width: int) -> int:
     return max(width // 2, 1)
 
 
-def _gram(pos: Column, width: int) -> Column:
-    """A hash of the folded words from pos on, so many that each window holds the first of just one gram at a multiple of the step, and that gram."""
-    return F.xxhash64(F.lit("gram"), F.slice("plain", pos + 1, width - _step(width) + 1))
+def _grams(rows: DataFrame, width: int, starts: Column) -> DataFrame:
+    """rows (with mark) with words, n, and grams: pos, of_template and of_plain, hashes of so many tokens from each start on.
+
+    Each window holds the first token of just one gram at a multiple of the step, and that whole
+    gram. A sequence shorter than a window has one gram, the whole.
+    """
+    long = width - _step(width) + 1
+    rows = rows.withColumn("words", F.split("mark", " ")).withColumn("n", F.size("words"))
+    rows = rows.withColumn("__tokens", F.transform(template(F.col("words")), lambda x: F.xxhash64(x)))
+    rows = rows.withColumn("__plain", F.transform(F.split(folded(F.col("mark")), " "), lambda x: F.xxhash64(x)))
+    gram = lambda pos, size, kind: F.struct(
+        pos.cast("int").alias("pos"),
+        F.xxhash64(F.lit(f"{kind} template"), F.slice("__tokens", pos + 1, size)).alias("of_template"),
+        F.xxhash64(F.lit(f"{kind} plain"), F.slice("__plain", pos + 1, size)).alias("of_plain"),
+    )
+    whole = F.array(gram(F.lit(0), F.lit(width), "whole"))
+    grams = F.when(F.col("n") < width, whole).otherwise(F.transform(starts, lambda p: gram(p, F.lit(long), "gram")))
+    return rows.withColumn("grams", grams).drop("mark", "__tokens", "__plain")
 
 
 def item_keys(items: DataFrame, width: int) -> DataFrame:
-    """What a document is joined on: each rich window by its template, and each window by its gram at every offset below the step."""
-    at = hashed(items).withColumn("n", F.size("words")).select("*", F.posexplode(_windows(F.col("tokens"), width)).alias("item_pos", "of_template"))
-    own = F.slice("words", F.col("item_pos") + 1, width)
-    rich = F.size(F.filter(own, lambda x: ~F.substring(x, 1, 1).isin(NAME, NUMBER, UNIT))) >= F.least(F.lit(PLAIN_WORDS), F.col("n"))
-    at = at.select("item_id", "item_pos", "n", "plain", "of_template", rich.alias("rich"), own.alias("item_words"), F.slice("plain", F.col("item_pos") + 1, width).alias("item_plain"))
-    key = lambda copied, offset, h: F.struct(F.lit(copied).alias("copied"), offset.alias("offset"), h.alias("h"))
-    grams = F.transform(F.sequence(F.lit(0), F.lit(_step(width) - 1)), lambda o: key(True, o, _gram(F.col("item_pos") + o, width)))
-    copied = F.when(F.col("n") >= width, grams).otherwise(F.array(key(True, F.lit(0), F.xxhash64(F.lit("whole"), "plain"))))
-    by_template = F.when(F.col("rich"), F.array(key(False, F.lit(0), F.col("of_template")))).otherwise(F.slice(copied, 1, 0))
-    return at.select("item_id", "item_pos", "rich", "item_words", "item_plain", F.explode(F.concat(by_template, copied)).alias("key")).select("*", "key.*").drop("key")
+    """What a document is joined on: h, the grams of each window by its template, if it is rich, and by its words in one case."""
+    at = _grams(items, width, F.sequence(F.lit(0), F.col("n") - (width - _step(width) + 1)))
+    at = at.withColumn("item_pos", F.explode(F.sequence(F.lit(0), F.greatest(F.col("n") - width, F.lit(0)))))
+    at = at.withColumn("item_words", F.slice("words", F.col("item_pos") + 1, width))
+    rich = F.size(F.filter("item_words", lambda x: ~_marks(x))) >= F.least(F.lit(PLAIN_WORDS), F.col("n"))
+    own = F.filter("grams", lambda g: g["pos"].between(F.col("item_pos"), F.col("item_pos") + _step(width) - 1))
+    at = at.select("item_id", "item_pos", rich.alias("rich"), "item_words", template(F.col("item_words")).alias("item_tokens"), _plain(F.col("item_words")).alias("item_plain"), F.explode(own).alias("g"))
+    key = lambda copied, h: F.struct(F.lit(copied).alias("copied"), h.alias("h"))
+    keys = F.array(key(True, F.col("g.of_plain")), key(False, F.when(F.col("rich"), F.col("g.of_template"))))
+    return at.withColumn("offset", F.col("g.pos") - F.col("item_pos")).select("*", F.inline(keys)).drop("g").where("h IS NOT NULL")
 
 
 def text_keys(texts: DataFrame, width: int) -> DataFrame:
-    """texts exploded to pos and h: all windows of the template, and the grams at multiples of the step."""
-    n = F.size("plain")
-    key = lambda pos, h: F.struct(pos.alias("pos"), h.alias("h"))
-    grams = F.transform(F.sequence(F.lit(0), n - (width - _step(width) + 1), F.lit(_step(width))), lambda i: key(i, _gram(i, width)))
-    whole = F.array(key(F.lit(0), F.xxhash64(F.lit("whole"), "plain")))
-    copied = F.when(n >= width, grams).when(n > 0, whole).otherwise(F.slice(whole, 1, 0))
-    by_template = F.transform(_windows(F.col("tokens"), width), lambda h, i: key(i, h))
-    rows = hashed(texts)
-    return rows.select(*[c for c in rows.columns if c != "tokens"], F.explode(F.concat(by_template, copied)).alias("key")).select("*", "key.*").drop("key")
+    """texts (doc_id, text_hash, text_key, mark) exploded to pos, h and near: the grams at multiples of the step, with the words around.
+
+    A row holds the words of the windows that its gram may stand for, never the whole text.
+    """
+    step = _step(width)
+    rows = _grams(texts, width, F.sequence(F.lit(0), F.col("n") - (width - step + 1), F.lit(step)))
+    near = lambda pos: F.slice("words", F.greatest(pos - (step - 1), F.lit(0)) + 1, width + step - 1)
+    keyed = F.transform("grams", lambda g: F.struct(g["pos"].alias("pos"), F.array(g["of_template"], g["of_plain"]).alias("hs"), near(g["pos"]).alias("near")))
+    return rows.select("doc_id", "text_hash", "text_key", F.inline(keyed)).select("doc_id", "text_hash", "text_key", "pos", "near", F.explode("hs").alias("h"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
-    """One row for each text of docs and item of benchmark that it holds: doc_id, text_hash, item_id, n_windows, coverage, exact.
+    """One row for each text of docs and item of benchmark that it holds: doc_id, text_hash, text_key, item_id, n_windows, coverage, exact.
 
     coverage is the share of the item's windows found along consistent alignments if that is at
     least the given share; else the share found so or with the same words in whatever case, which
@@ -119,19 +124,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage:
     of docs give one row; repeated items with the same id count as one. Other columns are ignored.
     """
     items = benchmark.select(F.col("item_id").alias("item_id"), marked(F.col("text")).alias("mark")).where("mark <> ''").distinct()
-    texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), marked(F.col("text")).alias("mark"))
-    own = item_keys(items, width)
-    if own.count() <= BROADCAST_WINDOWS:
+    whole = F.coalesce("text", F.lit(""))
+    texts = docs.select("doc_id", F.xxhash64(whole).alias("text_hash"), text_key(F.col("doc_id"), F.col("text")).alias("text_key"), marked(F.col("text")).alias("mark")).where("mark <> ''")
+    own, keys = item_keys(items, width), text_keys(texts, width)
+    length = lambda words: F.length(F.array_join(words, " ")) + 16 * F.size(words)
+    held = own.agg(F.sum(length("item_words") + length("item_tokens") + length("item_plain") + 64)).first()[0]
+    if (held or 0) <= BROADCAST_BYTES:
         own = F.broadcast(own)
-    both = text_keys(texts, width).join(own, "h").withColumn("start", F.col("pos") - F.col("offset")).where("start >= 0")
-    both = both.where(~F.col("copied") | (F.slice("plain", F.col("start") + 1, width) == F.col("item_plain")))
-    theirs = F.slice("words", F.col("start") + 1, width)
+    else:
+        keys = shared.passing(keys, "h", own.select("h"))
+    theirs = F.slice("near", F.least(F.col("pos"), F.lit(_step(width) - 1)) - F.col("offset") + 1, width)
+    both = keys.join(own, "h").where("pos >= offset").withColumn("theirs", theirs)
+    both = both.where(F.when(F.col("copied"), _plain(F.col("theirs")) == F.col("item_plain")).otherwise(template(F.col("theirs")) == F.col("item_tokens")))
     # A window of few plain words belongs to its alignment when its values are marked alike.
-    aligned = ~F.col("copied") | (~F.col("rich") & (theirs == F.col("item_words")))
-    found = both.select("doc_id", "text_hash", "item_id", "item_pos", "copied", (F.col("start") - F.col("item_pos")).alias("shift"), aligned.alias("aligned"), F.arrays_zip(theirs.alias("theirs"), F.col("item_words").alias("ours")).alias("pairs"))
-    total = items.groupBy("item_id").agg(F.sum(F.greatest(F.size(_words(F.col("mark"))) - (width - 1), F.lit(1))).alias("of_item"))
-    slots = F.filter("pairs", lambda p: F.substring(p["ours"], 1, 1).isin(NAME, NUMBER, UNIT))
-    lines = found.groupBy("doc_id", "text_hash", "item_id", "shift").agg(
+    aligned = ~F.col("copied") | (~F.col("rich") & (F.col("theirs") == F.col("item_words")))
+    shift = F.col("pos") - F.col("offset") - F.col("item_pos")
+    found = both.select("doc_id", "text_hash", "text_key", "item_id", "item_pos", "copied", shift.alias("shift"), aligned.alias("aligned"), F.arrays_zip("theirs", F.col("item_words").alias("ours")).alias("pairs"))
+    total = items.groupBy("item_id").agg(F.sum(F.greatest(F.size(F.split("mark", " ")) - (width - 1), F.lit(1))).alias("of_item"))
+    slots = F.filter("pairs", lambda p: _marks(p["ours"]))
+    of_text = ("doc_id", "text_hash", "text_key", "item_id")
+    lines = found.groupBy(*of_text, "shift").agg(
         F.collect_set(F.when(F.col("aligned"), F.col("item_pos"))).alias("along"),  # at most the item's windows
         F.collect_set(F.when(F.col("copied"), F.col("item_pos"))).alias("copies"),
         F.array_distinct(F.flatten(F.collect_set(F.when(F.col("aligned"), slots)))).alias("slots"),
@@ -139,26 +151,33 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage:
     ours = F.array_distinct(F.transform("slots", lambda p: p["ours"]))
     one_value = F.size(ours) == F.size("slots")
     none = F.array().cast("array<int>")
-    by_line = lines.select("doc_id", "text_hash", "item_id", F.when(one_value, F.col("along")).otherwise(none).alias("along"), "copies", F.forall("slots", lambda p: p["ours"] == p["theirs"]).alias("exact"))
-    held = lambda name: F.array_distinct(F.flatten(F.collect_list(name)))
+    by_line = lines.select(*of_text, F.when(one_value, F.col("along")).otherwise(none).alias("along"), "copies", F.forall("slots", lambda p: p["ours"] == p["theirs"]).alias("exact"))
+    gathered = lambda name: F.array_distinct(F.flatten(F.collect_list(name)))
     exact = F.coalesce(F.bool_and(F.when(F.size("along") > 0, F.col("exact"))), F.lit(True))
-    summed = by_line.groupBy("doc_id", "text_hash", "item_id").agg(held("along").alias("along"), held("copies").alias("copies"), exact.alias("exact")).join(total, "item_id")
+    summed = by_line.groupBy(*of_text).agg(gathered("along").alias("along"), gathered("copies").alias("copies"), exact.alias("exact")).join(total, "item_id")
     aligned_alone = F.size("along").cast("long")
     n = F.when(aligned_alone / F.col("of_item") >= coverage, aligned_alone).otherwise(F.size(F.array_union("along", "copies")).cast("long"))
     share = F.col("n_windows") / F.col("of_item")
-    return summed.withColumn("n_windows", n).where(share >= coverage).select("doc_id", "text_hash", "item_id", "n_windows", share.alias("coverage"), "exact")
+    return summed.withColumn("n_windows", n).where(share >= coverage).select("doc_id", "text_hash", "text_key", "item_id", "n_windows", share.alias("coverage"), "exact")
+
+
+def text_key(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(doc_id, F.coalesce(text, F.lit("")))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """docs without the rows whose text holds a benchmark item; columns as they were."""
-    found = leaks(docs, benchmark, **options).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text")).distinct()
-    found = shared.small_side(shared.written(found, "leaks"), 32)
-    at = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__text"))
-    return docs.join(found, at, "left_anti")
+    found = leaks(docs, benchmark, **options).select(F.col("text_key").alias("__key"))
+    return shared.without(docs, text_key(F.col("doc_id"), F.col("text")), found)
 
 
 def op2_template_windows(spark, sf_dir: str) -> DataFrame:
-    """The documents that hold a benchmark item, as doc_id and item_id, over all whole texts."""
+    """The documents that hold a benchmark item, as doc_id and item_id, over all whole texts.
+
+    Null and empty texts, and items without words, match nothing; repeated rows and items give one
+    row; a null doc_id is kept as it is. Time and memory grow in proportion to a text's length.
+    Without documents or items there are no rows. Other columns are ignored.
+    """
     docs, benchmark = shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "benchmark")
     return leaks(docs, benchmark).select("doc_id", "item_id", "n_windows", F.round("coverage", 6).alias("coverage"), "exact")
 
@@ -177,9 +196,10 @@ def oracle(width: int = WINDOW, coverage: float = COVERAGE, source: str = "docum
         return f"trim(regexp_replace({out}, '({NUMBER}[0-9]+) ({'|'.join(UNITS)})( |$)', '\\1 {UNIT}\\2\\3', 'g'))"
 
     def windowed(name: str, ident: str) -> str:
-        return f"""{name} AS (SELECT {ident}, pos, words[pos + 1 : pos + {width}] raw, tokens[pos + 1 : pos + {width}] tmpl
+        return f"""{name} AS (SELECT {ident}, pos, words[pos + 1 : pos + {width}] raw, tokens[pos + 1 : pos + {width}] tmpl, folded[pos + 1 : pos + {width}] plain
             FROM (SELECT *, unnest(range(greatest(len(words) - {width - 1}, 1))) pos FROM
-                (SELECT {ident}, string_split(m, ' ') words, string_split(regexp_replace(m, '({marks})[^ ]+', '\\1', 'g'), ' ') tokens FROM {name}_m WHERE m <> '')))"""
+                (SELECT {ident}, string_split(m, ' ') words, string_split(regexp_replace(m, '({marks})[^ ]+', '\\1', 'g'), ' ') tokens,
+                    string_split(upper(translate(m, '{NAME + NUMBER + UNIT}', '')), ' ') folded FROM {name}_m WHERE m <> '')))"""
 
     return f"""
     WITH d_m AS (SELECT doc_id, hash(coalesce(text, '')) th, {mark('text')} m FROM {source}),
@@ -188,11 +208,15 @@ def oracle(width: int = WINDOW, coverage: float = COVERAGE, source: str = "docum
     {windowed('b', 'item_id')},
     b2 AS (SELECT *, len(list_filter(raw, lambda x: NOT regexp_matches(x, '^{marks}'))) >= least({PLAIN_WORDS}, len(raw)) rich FROM b),
     total AS (SELECT item_id, count(*) of_item FROM b GROUP BY 1),
-    hits AS (SELECT d.doc_id, d.th, b2.item_id, b2.pos ipos, d.pos - b2.pos shift,
-        list_filter(list_zip(d.raw, b2.raw), lambda p: regexp_matches(p[2], '^{marks}')) slots
-        FROM d JOIN b2 ON d.tmpl = b2.tmpl AND (b2.rich OR d.raw = b2.raw)),
-    lines AS (SELECT doc_id, th, item_id, shift, list(DISTINCT ipos) positions, list_distinct(flatten(list(slots))) slots FROM hits GROUP BY 1, 2, 3, 4),
-    good AS (SELECT *, len(list_filter(slots, lambda p: p[1] <> p[2])) = 0 exact FROM lines WHERE len(list_distinct(list_transform(slots, lambda p: p[2]))) = len(slots)),
-    summed AS (SELECT doc_id, th, item_id, len(list_distinct(flatten(list(positions)))) n_windows, bool_and(exact) exact FROM good GROUP BY 1, 2, 3)
-    SELECT doc_id, item_id, n_windows, round(n_windows / of_item, 6) AS coverage, exact
-    FROM summed JOIN total USING (item_id) WHERE n_windows / of_item >= {coverage}"""
+    found AS (SELECT d.doc_id, d.th, b2.item_id, b2.pos ipos, d.pos - b2.pos shift, d.raw theirs, b2.raw ours, false copied, true aligned FROM d JOIN b2 ON d.tmpl = b2.tmpl AND b2.rich
+        UNION ALL SELECT d.doc_id, d.th, b2.item_id, b2.pos, d.pos - b2.pos, d.raw, b2.raw, true, NOT b2.rich AND d.raw = b2.raw FROM d JOIN b2 ON d.plain = b2.plain),
+    hits AS (SELECT *, list_filter(list_zip(theirs, ours), lambda p: regexp_matches(p[2], '^{marks}')) slots FROM found),
+    lines AS (SELECT doc_id, th, item_id, shift, coalesce(list(DISTINCT ipos) FILTER (aligned), []) along, coalesce(list(DISTINCT ipos) FILTER (copied), []) copies,
+        list_distinct(flatten(coalesce(list(slots) FILTER (aligned), []))) slots FROM hits GROUP BY 1, 2, 3, 4),
+    good AS (SELECT doc_id, th, item_id, copies, len(list_filter(slots, lambda p: p[1] <> p[2])) = 0 exact,
+        CASE WHEN len(list_distinct(list_transform(slots, lambda p: p[2]))) = len(slots) THEN along ELSE [] END along FROM lines),
+    summed AS (SELECT doc_id, th, item_id, list_distinct(flatten(list(along))) along, list_distinct(flatten(list(copies))) copies,
+        coalesce(bool_and(exact) FILTER (len(along) > 0), true) exact FROM good GROUP BY 1, 2, 3),
+    sized AS (SELECT doc_id, item_id, exact, of_item, CASE WHEN len(along) / of_item >= {coverage} THEN len(along) ELSE len(list_distinct(list_concat(along, copies))) END n_windows
+        FROM summed JOIN total USING (item_id))
+    SELECT doc_id, item_id, n_windows, round(n_windows / of_item, 6) AS coverage, exact FROM sized WHERE n_windows / of_item >= {coverage}"""
