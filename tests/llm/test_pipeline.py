@@ -11,11 +11,15 @@ from .test_op8_ngram_join import brute
 
 def test_stages_keep_columns_and_rows_they_should(spark, tables_dir):
     docs = spark.read.parquet(f"{tables_dir}/documents.parquet")
+    for extra in ("score", "found", "blob", "place", "cid", "tokens", "bits", "item_id", "pos"):
+        docs = docs.withColumn(extra, F.concat(F.lit(f"{extra} of "), F.col("doc_id").cast("string")))
     columns = docs.columns
-    for name, stage in corpus_pipeline.STAGES[1:-1]:
+    for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, tables_dir)
         assert out.columns == columns, name
-        assert out.count() <= docs.count()
+        rows = out.collect()
+        assert len(rows) <= docs.count()
+        assert all(r.doc_id is None or (r.score, r.found) == (f"score of {r.doc_id}", f"found of {r.doc_id}") for r in rows), name
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, tables_dir)
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
 

@@ -211,24 +211,33 @@ def scores(texts: list[bytes], model: dict) -> np.ndarray:
     return _sigmoid(z @ model["c"] + model["c0"]).astype(np.float64)
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """docs' rows with all their columns and ``score``; null and empty texts are one empty passage."""
-    docs = docs.drop("score")  # a column of that name gives way
+def score(docs: DataFrame, model: dict, into: str = "score") -> DataFrame:
+    """docs' rows with all their columns and the score in ``into``; null and empty texts are one empty passage.
+
+    A column that has that name already gives way.
+    """
+    docs = docs.drop(into)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
-    schema = docs.select(*docs.columns, F.lit(0.0).alias("score")).schema
+    schema = docs.select(*docs.columns, F.lit(0.0).alias(into)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 found = scores([(t.as_py() or "").encode() for t in batch.column(at)], shipped.value)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, into])
 
     return docs.mapInArrow(run, schema)
 
 
 def op1_quality_mil(spark, sf_dir: str) -> DataFrame:
-    """The quality score of every whole text, learned from labels of documents that are not held out."""
+    """The quality score of every whole text, learned from labels of documents that are not held out.
+
+    Null and empty texts are scored as one empty passage. Repeated rows each get their row; a null
+    doc_id counts as the empty text in the split; ids labelled both ways go by the majority, ties
+    count as 1. Without labels of both kinds the score is the share of label 1, or 0.5 without any.
+    An empty table gives no rows. Very long texts are encoded whole, in portions.
+    """
     docs = shared.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     learn = shared.bucket_of_id(F.col("doc_id")) != 2
     model = fit(docs.where(learn), shared.table(spark, sf_dir, "labels").where(learn))
