@@ -18,10 +18,13 @@ ORACLE_SQL: str | None = None
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that score at least the threshold; the model never sees held-out labels."""
+    """Keeps the documents that score at least the threshold; the model never sees held-out labels.
+
+    Null and empty texts are scored too; columns of docs, whatever their names, stay as they are.
+    """
     learn = shared.bucket_of_id(F.col("doc_id")) != 2
     model = quality.fit(docs.where(learn), shared.table(spark, sf_dir, "labels").where(learn))
-    return quality.score(docs, model).where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    return quality.score(docs, model, into="__quality").where(F.col("__quality") >= quality.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
