@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from tidemark.operators import flatten, routing, tables
-from tidemark.sources import readers
+from tidemark.sources import generators, readers
 from tidemark.streaming import pipelines
 
 START = datetime.datetime(2024, 1, 1)
@@ -90,8 +90,8 @@ def test_sources(spark, tmp_path):
     (tmp_path / "m.txt").write_text('# HELP x\nx_total{topic="a",le="+Inf"} 3\nup 1\nbad line here\ny NaN\n')
     got = {r.metric: (r.labels, r.value) for r in readers.exposition(spark, str(tmp_path / "m.txt")).collect()}
     assert got["x_total"] == ({"topic": "a", "le": "+Inf"}, 3.0) and got["up"] == ({}, 1.0) and "bad" not in got
-    a = readers.synthetic_events(spark, 100, 1, ["A", "B"], 5)
-    assert a.exceptAll(readers.synthetic_events(spark, 100, 1, ["A", "B"], 5)).isEmpty()
+    a = generators.events(spark, 100, 1, 5)
+    assert a.exceptAll(generators.events(spark, 100, 1, 5)).isEmpty()
     assert a.select("event_id").distinct().count() == 100
     assert readers.message_stream(spark, {"kind": "rate"}).isStreaming
 

@@ -62,6 +62,46 @@ def test_versions_appends_tokens_and_time_travel(spark, tmp_path):
     assert len(table.versions()) == 1 and table.read().count() == 4
 
 
+def test_appended_columns_are_read_every_time(spark, tmp_path):
+    for i in range(8):
+        table = tables.VersionedTable(spark, f"file://{tmp_path}/t{i}")
+        table.append(spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"), ["id"])
+        table.append(spark.createDataFrame([(3, "c", 1.5)], "id int, name string, extra double"), ["id"])
+        assert table.read().columns == ["id", "name", "extra"]
+        assert rows(table.read()) == [(1, "a", None), (2, "b", None), (3, "c", 1.5)]
+        assert rows(table.read(1)) == [(1, "a"), (2, "b")]
+
+
+def test_of_two_writers_of_a_version_one_comes_after_the_other(spark, tmp_path, monkeypatch):
+    table = tables.VersionedTable(spark, f"file://{tmp_path}/t")
+    one, two = (spark.createDataFrame([(i,)], "id int") for i in (1, 2))
+    claim, calls = tables.VersionedTable._claim, []
+
+    def raced(self, version, entry):
+        if not calls:  # another writer commits between this one's listing and its commit
+            calls.append(version)
+            tables.VersionedTable(spark, table.path).append(two)
+        return claim(self, version, entry)
+
+    monkeypatch.setattr(tables.VersionedTable, "_claim", raced)
+    table.append(one)
+    assert table.versions() == [1, 2] and rows(table.read()) == [(1,), (2,)] and rows(table.read(1)) == [(2,)]
+    assert [r.rows_affected for r in table.history().collect()] == [1, 1]
+
+
+def test_a_repeated_append_adds_nothing(spark, tmp_path):
+    table = tables.VersionedTable(spark, f"file://{tmp_path}/t")
+    for _ in range(2):
+        table.append(spark.createDataFrame([(1,)], "id int"), token="a")
+    table.append(spark.createDataFrame([(1,)], "id int"), token="b")
+    assert rows(table.read()) == [(1,), (1,)] and table.versions() == [1, 2]
+
+
+def test_layout_columns():
+    assert tables.layout_columns("/x/Inventory_rows") == ["created_date", "status", "trace_id"]
+    assert tables.layout_columns("/x/other") == ["created_date"] and tables.layout_columns("/x/inventory", ["a"]) == ["a"]
+
+
 def test_align_makes_misfits_null(spark):
     target = spark.createDataFrame([], "a int, b timestamp, c string").schema
     out = tables.align(spark.createDataFrame([("x", "2024-01-01 00:00:00", 1.5, True)], "a string, b string, d double, c boolean"), target)

@@ -32,6 +32,36 @@ SERVICE_CODES = {
     "401": "auth", "429": "throttling", "502": "transient", "503": "transient", "504": "transient", "403": "permanent", "404": "permanent",
 }
 
+#: Names of broker errors and their categories. Fixed values.
+BROKER_ERRORS = {
+    "transient": (
+        "BrokerNotAvailableError", "KafkaConnectionError", "NodeNotReadyError", "LeaderNotAvailableError", "NotLeaderForPartitionError",
+        "RequestTimedOutError", "KafkaTimeoutError", "NetworkException", "CorrelationIdError", "BrokerResponseError",
+    ),
+    "auth": ("TopicAuthorizationFailedError", "GroupAuthorizationFailedError", "ClusterAuthorizationFailedError", "SaslAuthenticationError"),
+    "permanent": (
+        "UnknownTopicOrPartitionError", "MessageSizeTooLargeError", "RecordTooLargeError", "InvalidTopicError", "InvalidConfigurationError", "UnsupportedVersionError",
+        "IllegalStateError", "OffsetOutOfRangeError", "InvalidReplicationFactorError", "InvalidPartitionsError", "RecordBatchTooLargeError",
+    ),
+    "throttling": ("KafkaThrottlingError", "ProducerFencedException"),
+}
+#: Marks in broker messages whose error has no known name, by side; the first group that matches decides. Fixed values.
+BROKER_MARKS = {
+    "consumer": (("auth", ("unauthorized", "authentication", "authorization")), ("timeout", ("timeout",)), ("connection", ("connection", "broker", "network", "node not ready"))),
+    "producer": (("auth", ("unauthorized", "authentication", "authorization")), ("timeout", ("timeout",)), ("connection", ("connection", "broker", "network", "leader"))),
+}
+#: Marks in messages of stores, by store; the first group that matches decides. Fixed values.
+STORE_MARKS = {
+    "kusto": (("auth", ("401", "unauthorized", "access rights")), ("throttling", ("429", "throttl", "too many requests")), ("timeout", ("timeout",)), ("transient", ("503", "502", "504", "service unavailable"))),
+    "delta": (("auth", ("401", "unauthorized", "token")), ("throttling", ("429", "throttl")), ("timeout", ("timeout",)), ("connection", ("connection", "network", "dns")), ("transient", ("503", "502", "504"))),
+    "onelake": (
+        ("auth", ("401", "unauthorized", "authentication", "token expired")), ("throttling", ("429", "throttl")), ("timeout", ("timeout",)), ("connection", ("connection", "network", "dns", "socket")),
+        ("transient", ("503", "502", "504", "service unavailable")), ("permanent", ("404", "not found")), ("permanent", ("403", "forbidden")),
+    ),
+}
+#: Bytes above which a file is streamed. Fixed value.
+STREAM_BYTES = 52_428_800
+
 
 def _holds(text: Column, marks: tuple[str, ...]) -> Column:
     out = F.lit(False)
@@ -72,6 +102,58 @@ def of_code(code: Column) -> Column:
     return F.try_element_at(known, F.trim(code.cast("string")))
 
 
+def _first(low: Column, groups: tuple, rest: Column) -> Column:
+    out = rest
+    for category, marks in reversed(groups):
+        out = F.when(_holds(low, marks), category).otherwise(out)
+    return out
+
+
+def of_broker_name(name: Column) -> Column:
+    """The category of a broker error's name, null if unknown."""
+    known = F.create_map(*[F.lit(x) for category, names in BROKER_ERRORS.items() for n in names for x in (n, category)])
+    return F.try_element_at(known, name)
+
+
+def of_broker(name: Column, message: Column, side: str) -> Column:
+    """The kind of a broker error of a consumer or producer, by its name, else by its message: auth, throttling,
+    permanent, validation, timeout, connection, transient, or kafka where nothing fits."""
+    low, category = F.lower(F.coalesce(message, F.lit(""))), of_broker_name(name)
+    transient = F.when(low.contains("timeout") | name.contains("KafkaTimeoutError"), "timeout").when(low.contains("connection") | name.contains("KafkaConnectionError"), "connection").otherwise(TRANSIENT)
+    permanent = F.lit(PERMANENT)
+    if side == "producer":
+        no_topic = low.contains("topic") & low.contains("not")
+        too_large = low.contains("message") & (low.contains("size") | low.contains("large"))
+        permanent = F.when(~no_topic & ~too_large & low.contains("invalid"), "validation").otherwise(permanent)
+    by_name = F.when(category == TRANSIENT, transient).when(category == PERMANENT, permanent).otherwise(category)
+    return F.coalesce(by_name, _first(low, BROKER_MARKS[side], F.lit("kafka")))
+
+
+def of_store(store: str, message: Column, name: Column | None = None) -> Column:
+    """The kind of a store's error by its message; the store's own name where nothing fits."""
+    low = F.lower(F.coalesce(message, F.lit("")))
+    rest = F.lit(store)
+    if store == "kusto" and name is not None:
+        rest = F.when(name.contains("KustoServiceError") & (low.contains("semantic error") | low.contains("syntax error")), "query").otherwise(rest)
+    return _first(low, STORE_MARKS[store], rest)
+
+
+def should_stream(size: Column) -> Column:
+    """Whether a file is streamed: it is large, or its size is unknown."""
+    return size.isNull() | (size > STREAM_BYTES)
+
+
+def elapsed_ms(since: Column, until: Column) -> Column:
+    """Milliseconds between two times."""
+    return F.unix_millis(until) - F.unix_millis(since)
+
+
+def as_of(now: Column | None = None) -> tuple[Column, Column]:
+    """Now and today; a given time stands for both, so that a run can be repeated."""
+    at = F.current_timestamp() if now is None else now
+    return at, F.to_date(at)
+
+
 def is_retryable(category: Column) -> Column:
     return category.isin(TRANSIENT, AUTH, UNKNOWN)
 

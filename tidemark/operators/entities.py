@@ -20,8 +20,9 @@ PROJECT_PAYLOAD = f"project struct<{PROJECT}>, companyName string, teamMembers a
 
 def parsed_projects(df: DataFrame, payload: str = "payload") -> DataFrame:
     """df with p, the parsed project response, which may be wrapped in `data`; null where it is not JSON."""
-    wrapped = F.coalesce(text.json_field(F.col(payload), "data"), F.col(payload))
-    return df.withColumn("p", F.from_json(wrapped, PROJECT_PAYLOAD))
+    both = F.from_json(payload, f"data struct<{PROJECT_PAYLOAD}>, {PROJECT_PAYLOAD}")
+    bare = F.when(F.col("__p").isNotNull(), F.struct("__p.project", "__p.companyName", "__p.teamMembers"))
+    return df.withColumn("__p", both).withColumn("p", F.coalesce("__p.data", bare)).drop("__p")
 
 
 def primary(items: Column, flag: str, field: str) -> Column:
@@ -51,22 +52,19 @@ def project_rows(df: DataFrame) -> DataFrame:
 
 
 def contact_rows(df: DataFrame) -> DataFrame:
-    """The policyholder (if there is an email) and one claim representative for each named team member."""
+    """The policyholder (if there is an email) and one claim representative for each named team member, in one pass."""
     customer = F.col("p.project.customerInformation")
     phone = F.try_element_at(customer["phones"], F.lit(1))
-    project = text.clean(F.col("p.project.projectId")).alias("project_id")
-    holder = df.select(
-        project, primary(customer["emails"], "primary", "emailAddress").alias("contact_email"), F.lit("POLICYHOLDER").alias("contact_type"),
-        text.clean(customer["firstName"]).alias("first_name"), text.clean(customer["lastName"]).alias("last_name"),
-        text.clean(phone["phoneNumber"]).alias("phone_number"), F.lit(True).alias("is_primary_contact"), F.lit(None).cast("string").alias("master_file_name"), "event_id",
-    ).where(F.col("contact_email").isNotNull())
-    member = F.col("m")
     none = F.lit(None).cast("string")
-    members = df.withColumn("m", F.explode("p.teamMembers")).select(
-        project, text.clean(member["userName"]).alias("contact_email"), F.lit("CLAIM_REP").alias("contact_type"), none.alias("first_name"), none.alias("last_name"),
-        none.alias("phone_number"), F.coalesce(text.loose_bool(member["primaryContact"]), F.lit(False)).alias("is_primary_contact"), text.clean(member["mfn"]).alias("master_file_name"), "event_id",
-    ).where(F.col("contact_email").isNotNull())
-    return holder.unionByName(members)
+
+    def contact(email: Column, kind: str, first: Column, last: Column, number: Column, is_primary: Column, file: Column) -> Column:
+        return F.struct(email.alias("contact_email"), F.lit(kind).alias("contact_type"), first.alias("first_name"), last.alias("last_name"), number.alias("phone_number"), is_primary.alias("is_primary_contact"), file.alias("master_file_name"))
+
+    holder = contact(primary(customer["emails"], "primary", "emailAddress"), "POLICYHOLDER", text.clean(customer["firstName"]), text.clean(customer["lastName"]), text.clean(phone["phoneNumber"]), F.lit(True), none)
+    members = F.transform("p.teamMembers", lambda m: contact(text.clean(m["userName"]), "CLAIM_REP", none, none, none, F.coalesce(text.loose_bool(m["primaryContact"]), F.lit(False)), text.clean(m["mfn"])))
+    every = F.when(F.col("p.teamMembers").isNull(), F.array(holder)).otherwise(F.concat(F.array(holder), members))
+    project = text.clean(F.col("p.project.projectId")).alias("project_id")
+    return df.select(project, "event_id", F.inline(every)).where(F.col("contact_email").isNotNull())
 
 
 #: Column -> (JSON key, kind) of flat entities; kinds: text, id, int, bool, time, decimal. Fixed values.

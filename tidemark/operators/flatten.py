@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text
 
@@ -40,14 +43,32 @@ def event_id_of(df: DataFrame) -> Column:
     return F.lit(None).cast("string")
 
 
+def json_schema(paths: Iterable[tuple[str, ...]]) -> T.StructType:
+    """A schema with a string (for objects and lists: their JSON) at the end of each path."""
+    tree: dict = {}
+    for path in paths:
+        at = tree
+        for key in path[:-1]:
+            at = at.setdefault(key, {})
+        at[path[-1]] = None
+
+    def struct(at: dict) -> T.StructType:
+        return T.StructType([T.StructField(k, T.StringType() if v is None else struct(v)) for k, v in at.items()])
+
+    return struct(tree)
+
+
 def flatten_events(df: DataFrame) -> DataFrame:
     """type, status_subtype, version, ingested_at, event_date, trace_id, event_id, the 21 fields of data, raw_json.
 
-    Invalid JSON, JSON that is no object, missing keys and nulls give null fields; one scan, no shuffle.
+    Invalid JSON, JSON that is no object, missing keys and nulls give null fields; one scan, no
+    shuffle, and data is parsed once.
     """
     at = F.col("utcDateTime").try_cast("timestamp")
-    fields = [(text.comma_joined(text.json_list(F.col("data"), *path)) if name == "attachments" else text.json_field(F.col("data"), *path)).alias(name) for name, path in FIELDS.items()]
-    return df.select(
+    values = {name: F.col(".".join(("__data", *path))) for name, path in FIELDS.items()}
+    values["attachments"] = text.comma_joined(F.when(F.substring(values["attachments"], 1, 1) == "[", F.from_json(values["attachments"], "array<string>")))
+    fields = [c.alias(name) for name, c in values.items()]
+    return df.withColumn("__data", F.from_json("data", json_schema(FIELDS.values()))).select(
         "type", text.last_segment(F.col("type")).alias("status_subtype"), F.col("version").cast("string").alias("version"),
         at.alias("ingested_at"), F.to_date(at).alias("event_date"), F.col("traceId").alias("trace_id"), event_id_of(df).alias("event_id"),
         *fields, F.to_json(F.struct(*df.columns)).alias("raw_json"),

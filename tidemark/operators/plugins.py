@@ -83,6 +83,24 @@ def chained(df: DataFrame, steps: list[tuple[str, Column, Callable[[DataFrame],
     return df
 
 
+def action_results(messages: DataFrame, steps: list[tuple[str, Column, Callable[[DataFrame], DataFrame]]], status: Column, response: Column, worker: str, success_topic: str | None, error_topic: str | None) -> DataFrame:
+    """What a worker says about each message, as topic, value: enriched and answered ones to the success topic,
+    those that a step stopped or whose answer is an error to the error topic. A missing topic says nothing.
+
+    status and response are the answer's columns after the steps.
+    """
+    original = F.to_json(F.struct(*messages.columns))
+    done = chained(messages.withColumn("__original", original), steps).withColumn("__status", status).withColumn("__response", response)
+    stopped = F.col("chain_status") != "ok"
+    failed = stopped | F.coalesce(F.col("__status") >= 400, F.lit(True))
+    enriched = [c for c in done.columns if not c.startswith("__") and c not in ("chain_status", "chain_step")]
+    cause = F.when(stopped, F.concat(F.lit("stopped at "), F.col("chain_step"))).otherwise(F.concat(F.lit("API error "), F.coalesce(F.col("__status").cast("string"), F.lit("none")), F.lit(": "), F.left(F.coalesce("__response", F.lit("")), F.lit(200))))
+    good = F.to_json(F.struct(F.struct(*enriched).alias("enriched_data"), F.col("__response").alias("response"), F.col("__status").alias("status_code"), F.lit(worker).alias("worker_name")))
+    bad = F.to_json(F.struct(F.col("__original").alias("original_message"), cause.alias("error"), F.lit(worker).alias("worker_name")))
+    topic = F.when(failed, F.lit(error_topic).cast("string")).otherwise(F.lit(success_topic).cast("string"))
+    return done.select(topic.alias("topic"), F.when(failed, bad).otherwise(good).alias("value")).where(F.col("topic").isNotNull())
+
+
 def triggered(events: DataFrame, rules: DataFrame, key: str, kind: str) -> DataFrame:
     """One row for each action of the rules that match an event's key and kind.
 

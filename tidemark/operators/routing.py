@@ -29,6 +29,25 @@ def retry_route(df: DataFrame, category: Column, retries: Column, delays: Sequen
     return df.withColumns({"route": F.when(dead.isNotNull(), dlq).otherwise(errors.level_topic(pending, list(delays), retries)), "reason": F.coalesce(dead, F.lit("retry")), "next_retry_count": F.when(dead.isNull(), retries + 1).otherwise(retries), "retry_at": due})
 
 
+def download_route(df: DataFrame, links: DataFrame, key: str, error: Column, category: Column, retries: Column, delays: Sequence[int], pending: str, dlq: str, now: Column, url: str = "download_url") -> DataFrame:
+    """retry_route() of failed downloads, with url_refresh_attempted; links that ran out are replaced first.
+
+    links: key and url, the links that could be fetched anew. A task that needs one and finds none
+    goes to the dead letters.
+    """
+    fresh = links.groupBy(key).agg(F.max(url).alias("__fresh"))
+    both = df.join(fresh, key, "left")
+    open_ = (category != errors.PERMANENT) & (retries < len(delays))
+    needs = F.coalesce(open_ & errors.needs_new_link(error, category), F.lit(False))
+    both = both.withColumn("__needs", needs)
+    lost = F.col("__needs") & F.col("__fresh").isNull()
+    routed = retry_route(both, category, retries, delays, pending, dlq, now)
+    out = {"route": F.when(lost, dlq).otherwise(F.col("route")), "reason": F.when(lost, "no new link").otherwise(F.col("reason"))}
+    out |= {"next_retry_count": F.when(lost, retries).otherwise(F.col("next_retry_count")), "retry_at": F.when(~lost, F.col("retry_at"))}
+    out |= {url: F.when(F.col("__needs"), F.coalesce("__fresh", url)).otherwise(F.col(url)), "url_refresh_attempted": F.col("__needs")}
+    return routed.withColumns(out).drop("__fresh", "__needs")
+
+
 def batch_route(df: DataFrame, retries: Column, most: int) -> DataFrame:
     """Failed batches by their retries alone."""
     return df.withColumn("route", F.when(retries >= most, "dlq").otherwise("retry"))

@@ -1,12 +1,15 @@
 """Reads and writes of tables: scans, keyset and watermark reads, aligned append, keyed merge.
 
-Tables are Parquet directories of versions: `<path>/v=<n>` holds a whole version for merged
-tables; appends add files to the newest one. A reader never sees a version that is being written,
-since the version is named only after its files are complete.
+A table is a folder of Parquet folders and of commits: `_commits/<n>` names the folders and the
+schema of version n. A reader never sees a version that is being written, since its commit comes
+after its files, and of two writers of one version only one can make the commit.
 """
 
 from __future__ import annotations
 
+import datetime
+import json
+import os
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -164,69 +167,146 @@ def appended_once(df: DataFrame, event_key: str, key: str, order: Sequence[str])
 # --- files -----------------------------------------------------------------------------------
 
 
+HISTORY = "version int, operation string, rows_affected long, token string, committed_at string, columns array<string>, schema_changes array<string>"
+#: Columns by which tables are laid out, by a part of their name. Fixed values.
+LAYOUT_COLUMNS = {
+    "inventory": ["created_date", "status", "trace_id"],
+    "retry_queue": ["retry_count", "error_type", "created_date"],
+    "attachments": ["download_status", "attachment_url", "created_date"],
+}
+
+
+def layout_columns(path: str, filters: Sequence[str] = ()) -> list[str]:
+    """The columns to cluster a table by: those that queries filter on, else what its name suggests."""
+    return list(filters) or next((c for part, c in LAYOUT_COLUMNS.items() if part in path.lower()), ["created_date"])
+
+
 @dataclass
 class VersionedTable:
-    """A table of whole versions below a path that Spark can write."""
+    """A table of versions below a path that Spark can write. Appends share the folders of older versions."""
 
     spark: SparkSession
     path: str
+    #: How often a write is tried again when another writer has taken its version.
+    attempts: int = 10
 
     def _fs(self, path: str):
         at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
 
     def versions(self) -> list[int]:
-        fs, at = self._fs(self.path)
-        if not fs.exists(at):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(at)]
-        return sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+        fs, at = self._fs(f"{self.path}/_commits")
+        return sorted(int(s.getPath().getName()) for s in fs.listStatus(at) if s.getPath().getName().isdigit()) if fs.exists(at) else []
 
     def exists(self) -> bool:
         return bool(self.versions())
 
+    def _commit(self, version: int) -> dict:
+        fs, at = self._fs(f"{self.path}/_commits/{version}")
+        source = fs.open(at)
+        try:
+            return json.loads(bytes(source.readAllBytes()).decode())
+        finally:
+            source.close()
+
+    def _claim(self, version: int, entry: dict) -> bool:
+        """Makes the commit of a version, whole or not at all; False if another writer has made it."""
+        name, final = f"{self.path}/_commits/.{uuid.uuid4().hex}", f"{self.path}/_commits/{version}"
+        fs, at = self._fs(name)
+        out = fs.create(at, False)
+        out.write(bytearray(json.dumps(entry).encode()))
+        out.close()
+        if fs.getScheme() == "file":  # a rename there would replace the other commit
+            try:
+                os.link(at.toUri().getPath(), self._fs(final)[1].toUri().getPath())
+                return True
+            except FileExistsError:
+                return False
+            finally:
+                fs.delete(at, False)
+        claimed = fs.rename(at, self._fs(final)[1])  # false where the name is taken
+        if not claimed:
+            fs.delete(at, False)
+        return bool(claimed)
+
     def read(self, version: int | None = None) -> DataFrame:
-        """The newest version, or an older one (time travel)."""
-        return self.spark.read.parquet(f"{self.path}/v={self.versions()[-1] if version is None else version}")
+        """The newest version, or an older one (time travel), with the schema that it was committed with."""
+        commit = self._commit(self.versions()[-1] if version is None else version)
+        schema = T.StructType.fromJson(commit["schema"])
+        whole = T.StructType([*schema.fields, T.StructField("__data", T.StringType())])  # the folders are partitions of one table
+        reader = self.spark.read.schema(whole).option("basePath", self.path)
+        return reader.parquet(*[f"{self.path}/{f}" for f in commit["folders"]]).select(*[f"`{n}`" for n in schema.names])
+
+    def _written(self, df: DataFrame, partition_by: Sequence[str]) -> tuple[str, int]:
+        folder = f"__data={uuid.uuid4().hex}"
+        df.write.partitionBy(*partition_by).parquet(f"{self.path}/{folder}")
+        return folder, self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}").count()
+
+    def _add(self, make, operation: str, partition_by: Sequence[str] = (), keep: bool = False, token: str | None = None) -> int:
+        """Commits make(), which gives the rows to write for the table as it is now; again if another writer was first.
+
+        keep: the older folders stay part of the table, and new ones are partitioned as they are.
+        """
+        for _ in range(self.attempts):
+            last = (self.versions() or [0])[-1]
+            old = self._commit(last) if last else {"folders": [], "schema": T.StructType().jsonValue(), "tokens": [], "partition_by": list(partition_by)}
+            if token is not None and token in old["tokens"]:
+                return last
+            df = make()
+            before, by = T.StructType.fromJson(old["schema"]), old["partition_by"] if keep else list(partition_by)
+            folder, rows = self._written(df, by)
+            now = datetime.datetime.now(datetime.UTC).isoformat()
+            changes = [f"+{n}" for n in df.columns if n not in before.names] if last else []
+            entry = {"version": last + 1, "operation": operation, "rows_affected": rows, "token": token, "committed_at": now, "columns": df.columns, "schema_changes": changes}
+            entry |= {"schema": df.schema.jsonValue(), "partition_by": by, "folders": [*(old["folders"] if keep else []), folder], "tokens": [*old["tokens"], *([token] if token is not None else [])]}
+            if self._claim(last + 1, entry):
+                return last + 1
+            fs, at = self._fs(f"{self.path}/{folder}")
+            fs.delete(at, True)
+        raise OSError(f"{self.path}: other writers were first {self.attempts} times")
 
     def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Writes a new version beside the old ones and names it when it is complete."""
-        version = (self.versions() or [0])[-1] + 1
-        pending = f"{self.path}/_pending-{uuid.uuid4().hex}"
-        df.write.partitionBy(*partition_by).parquet(pending)
-        fs, at = self._fs(pending)
-        if not fs.rename(at, self._fs(f"{self.path}/v={version}")[1]):
-            raise OSError(f"version {version} of {self.path} exists")
-        return version
-
-    def append(self, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """Adds rows to the newest version, aligned to its schema; further columns are added, misfits become null."""
-        if not self.exists():
-            self.replace(df, partition_by)
-            return
-        now = self.read()
-        align(df, now.schema).write.mode("append").partitionBy(*partition_by).parquet(f"{self.path}/v={self.versions()[-1]}")
-
-    def merge(self, source: DataFrame, keys: Sequence[str], order: Sequence[str], **options) -> int:
+        """A new version of these rows alone."""
+        return self._add(lambda: df, "replace", partition_by)
+
+    def append(self, df: DataFrame, partition_by: Sequence[str] = (), token: str | None = None) -> int:
+        """A new version with further rows, aligned to the table's schema: further columns are added, misfits become null.
+
+        A token is committed with the rows: an append with one that the table has adds nothing.
+        """
+        return self._add(lambda: align(df, self.read().schema) if self.exists() else df, "append", partition_by, keep=True, token=token)
+
+    def merge(self, source: DataFrame, keys: Sequence[str], order: Sequence[str], partition_by: Sequence[str] = (), **options) -> int:
         """Merges a batch (its rows of one key coalesced in order) into a new version; creates the table if missing."""
         batch = coalesced_by_key(source, keys, order)
-        return self.replace(merged(self.read(), batch, keys, **options) if self.exists() else batch)
+        return self._add(lambda: merged(self.read(), batch, keys, **options) if self.exists() else batch, "merge", partition_by)
 
     def append_token(self, df: DataFrame, token: str) -> bool:
-        """Appends once for each token; says whether it did. The token is recorded after the rows."""
-        tokens = VersionedTable(self.spark, f"{self.path}_idempotency")
-        if tokens.exists() and not tokens.read().where(F.col("token") == token).isEmpty():
-            return False
-        self.append(df)
-        tokens.append(self.spark.range(1).select(F.lit(token).alias("token"), F.current_timestamp().alias("written_at")))
-        return True
+        """Appends once for each token; says whether it did."""
+        before = self.versions()
+        return self.append(df, token=token) not in before
+
+    def history(self) -> DataFrame:
+        """One row for each version: what was done, rows written, token, time, columns and columns added."""
+        names = T.StructType.fromDDL(HISTORY).names
+        return self.spark.createDataFrame([tuple(c[n] for n in names) for c in map(self._commit, self.versions())], HISTORY)
 
     def vacuum(self, keep: int) -> None:
-        """Deletes all but the newest versions."""
-        for v in self.versions()[:-keep]:
-            fs, at = self._fs(f"{self.path}/v={v}")
-            fs.delete(at, True)
+        """Deletes all but the newest versions, and the folders that only those had."""
+        gone, kept = self.versions()[:-keep], self.versions()[-keep:]
+        needed = {f for v in kept for f in self._commit(v)["folders"]}
+        for v in gone:
+            for name in [*(f for f in self._commit(v)["folders"] if f not in needed), f"_commits/{v}"]:
+                fs, at = self._fs(f"{self.path}/{name}")
+                fs.delete(at, True)
 
     def cluster(self, columns: Sequence[str], files: int) -> int:
         """A new version laid out by ranges of columns and sorted inside files."""
-        return self.replace(self.read().repartitionByRange(files, *columns).sortWithinPartitions(*columns))
+        return self._add(lambda: self.read().repartitionByRange(files, *columns).sortWithinPartitions(*columns), "cluster")
+
+
+def table_statistics(named: dict[str, VersionedTable]) -> DataFrame:
+    """One row for each table: versions, rows and columns of the newest."""
+    spark = next(iter(named.values())).spark
+    rows = [(name, len(t.versions()), t.read().count() if t.exists() else 0, len(t.read().columns) if t.exists() else 0) for name, t in named.items()]
+    return spark.createDataFrame(rows, "table string, versions int, rows long, columns int")

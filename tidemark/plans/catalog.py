@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import joins_and_merges, messages, more, reports, scalars, scans
+from . import joins_and_merges, messages, more, outputs, reports, scalars, scans
 
 
 def _all() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     out: dict = {}
-    for module in (scans, scalars, reports, joins_and_merges, messages, more):
+    for module in (scans, scalars, reports, joins_and_merges, messages, more, outputs):
         out.update(module.QUERIES)
     return out
 

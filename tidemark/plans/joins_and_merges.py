@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import entities, forms, plugins, tables
-from .registry import Queries, table
+from .registry import Queries, new_table, table
 
 QUERIES = Queries()
 
@@ -99,7 +99,10 @@ def merge_metrics(spark, d):
 def append_evolve(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"))
     s = table(spark, d, "supplier").select(F.col("s_suppkey").cast("int").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").cast("string").alias("balance"), F.col("s_nationkey").alias("nation"))
-    return tables.evolved(c, s)
+    t = new_table(spark)
+    t.append(c)
+    t.append(s)
+    return t.read()
 
 
 @QUERIES.add("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 0)")
@@ -158,9 +161,9 @@ def response_lists(spark, d):
     return table(spark, d, "nation").select("n_nationkey", payload.alias("p")).select("n_nationkey", items.alias("i")).select("n_nationkey", F.size("i").alias("n_items"), F.col("i")[0]["name"].alias("first_name"))
 
 
-@QUERIES.add("SELECT doc_id, w - 1 AS display_order, words[w] AS word FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) w FROM (SELECT doc_id, string_split(left(text, 60), ' ') words FROM documents))")
+@QUERIES.add("SELECT doc_id, w - 1 AS display_order, words[w] AS word FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) w FROM (SELECT doc_id, string_split(text, ' ') words FROM documents))")
 def posexplode_order(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.posexplode(F.split(F.left("text", F.lit(60)), " ")).alias("display_order", "word"))
+    return table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("display_order", "word"))
 
 
 def _forms(spark, d):
@@ -175,7 +178,7 @@ def _forms(spark, d):
 
 @QUERIES.add("SELECT s_suppkey AS form, CASE WHEN s_suppkey % 2 = 0 THEN 'true' ELSE 'false' END AS lower_cabinets_damaged, CAST(s_suppkey AS VARCHAR) AS lower_cabinets_lf, s_name AS damage_description, 'Yes' AS odd_question FROM supplier")
 def pivot_answers(spark, d):
-    rows = forms.answers(_forms(spark, d), "response", "form", known=forms.question_fields())
+    rows = forms.answers(_forms(spark, d), "response", "form", known=forms.QUESTION_FIELDS)
     return forms.submissions(rows, ["form"], ["lower_cabinets_damaged", "lower_cabinets_lf", "damage_description", "odd_question"])
 
 

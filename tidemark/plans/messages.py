@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import flatten, plugins, routing
+from ..operators import plugins, routing
 from ..sources import readers
 from ..streaming import pipelines
 from .registry import Queries, table
@@ -114,12 +114,12 @@ def download_tasks(spark, d):
     return e.select("event_id", F.explode("files").alias("media"))
 
 
-@QUERIES.add()
+@QUERIES.add("""WITH RECURSIVE o AS (SELECT event_type, ts, value > 30 AS ok, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) r FROM events),
+k AS (SELECT DISTINCT event_type, CAST(0 AS BIGINT) AS r, CAST(NULL AS TIMESTAMP) AS ts, TRUE AS allowed, 'closed' AS state, 0 AS failed, 0 AS passed, CAST(NULL AS TIMESTAMP) AS opened FROM events
+UNION ALL SELECT event_type, r, ts, s <> 'open', CASE WHEN s = 'open' THEN s WHEN ok THEN CASE WHEN s = 'half_open' AND p + 1 >= 2 THEN 'closed' ELSE s END WHEN s = 'half_open' OR f + 1 >= 5 THEN 'open' ELSE s END,
+CASE WHEN s = 'open' THEN f WHEN ok OR s = 'half_open' OR f + 1 >= 5 THEN 0 ELSE f + 1 END, CASE WHEN s <> 'open' AND ok THEN p + 1 ELSE p END, CASE WHEN s <> 'open' AND NOT ok AND (s = 'half_open' OR f + 1 >= 5) THEN ts ELSE opened END
+FROM (SELECT o.*, k.failed f, k.opened, CASE WHEN k.state = 'open' AND o.ts - k.opened >= INTERVAL 60 SECOND THEN 'half_open' ELSE k.state END s, CASE WHEN k.state = 'open' AND o.ts - k.opened >= INTERVAL 60 SECOND THEN 0 ELSE k.passed END p FROM k JOIN o ON o.event_type = k.event_type AND o.r = k.r + 1))
+SELECT event_type, ts, allowed, state FROM k WHERE r > 0""")
 def circuit_breaker(spark, d):
     calls = table(spark, d, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), (F.col("value") > 30).alias("ok"))
-    return pipelines.breaker_states(calls, "event_type", "ts", "ok", order=["event_id"])
-
-
-@QUERIES.add()
-def synthetic_events(spark, d):
-    return flatten.present(readers.synthetic_events(spark, 1000, 7, ["PROJECT_CREATED", "TASK_DONE"], 20), "event_id")
+    return pipelines.breaker_states(calls, "event_type", "ts", "ok", order=["event_id"]).withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import errors, text, urls
-from ..operators import analytics, entities, flatten, tables
-from .registry import Queries, table
+from ..operators import analytics, entities, flatten
+from .registry import Queries, new_table, table
 
 QUERIES = Queries()
 
@@ -98,8 +96,7 @@ def path_parts(spark, d):
 @QUERIES.add("SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS o_totalprice FROM orders")
 def versioned_merge(spark, d):
     """A table written, merged in a new version and read back."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    t = tables.VersionedTable(spark, f"{folder.rstrip('/')}/versioned-{uuid.uuid4().hex}")
+    t = new_table(spark)
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     t.replace(o)
     t.merge(o.where("o_orderkey % 10 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_orderkey"], ["o_totalprice"])

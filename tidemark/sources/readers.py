@@ -50,12 +50,3 @@ def backfill(df: DataFrame, ts: str, start, stop) -> DataFrame:
     """A range of history in one scan; a distributed read needs no pages."""
     return df.where((F.col(ts) >= start) & (F.col(ts) < stop))
 
-
-def synthetic_events(spark: SparkSession, n: int, seed: int, kinds: list[str], projects: int, start: str = "2026-01-01") -> DataFrame:
-    """n reproducible events: event_id, event_type, project_id, ingested_at, raw_data."""
-    pick = F.element_at(F.array(*[F.lit(k) for k in kinds]), F.pmod(F.xxhash64(F.lit(seed), "id", F.lit("kind")), F.lit(len(kinds))).cast("int") + 1)
-    project = F.pmod(F.xxhash64(F.lit(seed), "id", F.lit("project")), F.lit(projects))
-    at = F.timestamp_add("SECOND", F.col("id").cast("int"), F.lit(start).cast("timestamp"))
-    ident = F.left(F.sha2(F.concat_ws("|", F.lit(seed), "id"), 256), F.lit(24))
-    rows = spark.range(n)
-    return rows.select(ident.alias("event_id"), pick.alias("event_type"), project.cast("string").alias("project_id"), at.alias("ingested_at"), F.to_json(F.struct(F.col("id").alias("n"), project.alias("project"))).alias("raw_data"))
