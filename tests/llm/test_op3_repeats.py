@@ -68,7 +68,7 @@ def test_every_string_holds_an_anchor_at_the_same_place():
     shared = bytes(rng.integers(97, 123, 200, dtype=np.uint8))
     a = bytes(rng.integers(97, 123, 300, dtype=np.uint8)) + shared
     b = shared + bytes(rng.integers(97, 123, 300, dtype=np.uint8))
-    (pa, ha, _), (pb, hb, _) = anchors.find(a, 200), anchors.find(b, 200)
+    (pa, ha, _, _), (pb, hb, _, _) = anchors.find(a, 200), anchors.find(b, 200)
     inside_a = {(p - 300, h) for p, h in zip(pa, ha, strict=True) if 300 <= p <= 400}
     inside_b = {(p, h) for p, h in zip(pb, hb, strict=True) if p <= 100}
     assert inside_a & inside_b
@@ -96,3 +96,14 @@ def test_extension_against_pairs():
             if any(j != i and group[j] == group[i] and before[j] >= d and texts[j][before[j] - d : before[j] - d + 200] == window for j in range(len(texts))):
                 best_left, best_right = max(best_left, d), max(best_right, 100 - d)
         assert (left[i], right[i] if left[i] >= 0 else 0) == (best_left, best_right)
+
+
+def test_periodic_texts_have_few_anchors(spark):
+    """Long runs of any short period, alone and beside copies of their strings, against brute force."""
+    rng = random.Random(5)
+    pad = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    texts = ["a" * 3000, pad(90) + "a" * 2500 + pad(90), "a" * 200, "b" * 200, "xyz" * 700 + pad(40), pad(30) + ("xyz" * 80)[:200], "a" * 900 + "b" * 900, pad(10) + "a" * 120 + "b" * 120, ("0123456789" * 9 + "!") * 20, "c" * 799, "c" * 60 + pad(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in repeats.remove(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == expected([t.encode() for t in texts], 200)
+    assert len(anchors.find(b"a" * 4_000_000, 200)[0]) < 1000

@@ -12,6 +12,7 @@ GRAM = 100
 SEGMENT = 1 << 22
 _TABLE = np.random.default_rng(3_200).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+
 def sliding(x: np.ndarray, size: int, pick) -> np.ndarray:
     """pick (minimum or maximum) over each `size` neighbours."""
     width = 1
@@ -28,13 +29,13 @@ def chosen(h: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero(h == sliding(np.concatenate([edge, least, edge]), window, np.maximum))
 
 
-def find(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor places, anchor hashes, and hashes of the anchors' contexts.
+def find(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor places, anchor hashes, hashes of the anchors' contexts, and ranges (rows of start, stop) that repeat inside themselves.
 
-    Every string of `length` bytes of the text holds an anchor, and equal strings hold anchors of
-    equal hash at equal places. The context of an anchor is the union of all such strings around
-    it, cut at the text's ends. Long texts are taken in segments that overlap by more than an
-    anchor's choice and context reach.
+    Every string of `length` bytes of the text that is not inside one of the ranges holds an anchor,
+    and equal strings hold anchors of equal hash at equal places. The context of an anchor is the
+    union of all such strings around it, cut at the text's ends. Long texts are taken in segments
+    that overlap by more than an anchor's choice and context reach.
     """
     if len(text) > SEGMENT + 4 * length:
         parts = []
@@ -42,9 +43,34 @@ def find(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             low = max(0, start - 2 * length)
             at, h, c = _find(text[low : start + SEGMENT + 2 * length], length)
             own = (at + low >= start) & (at + low < start + SEGMENT)
-            parts.append((at[own] + low, h[own], c[own]))
+            parts.append(_thinned(at[own] + low, h[own], c[own], length))
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
-    return _find(text, length)
+    return _thinned(*_find(text, length), length)
+
+
+def _thinned(at: np.ndarray, h: np.ndarray, c: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors without those inside long periodic ranges, and these ranges.
+
+    Equal anchors that follow each other at one distance d, no more than an anchor's length, lie in
+    a range of period d. If it is long, each of its strings of `length` bytes also starts d bytes
+    before or after. Other strings meet the range at its ends only, so anchors there are enough.
+    """
+    none = np.zeros((0, 2), np.int64)
+    if len(at) < 3:
+        return at, h, c, none
+    gap = np.diff(at)
+    step = np.where((h[1:] == h[:-1]) & (gap <= GRAM), gap, 0)
+    heads = np.flatnonzero(np.append(True, step[1:] != step[:-1]))
+    tails = np.append(heads[1:], len(step))
+    start, stop = at[heads], at[tails] + GRAM
+    long = (step[heads] > 0) & (stop - start >= 4 * length)
+    if not long.any():
+        return at, h, c, none
+    keep = np.ones(len(at), bool)
+    for i, j, low, high in zip(heads[long].tolist(), tails[long].tolist(), start[long].tolist(), stop[long].tolist(), strict=True):
+        own = at[i : j + 1]
+        keep[i : j + 1] &= (own < low + length) | (own > high - length)
+    return at[keep], h[keep], c[keep], np.stack([start[long], stop[long]], axis=1)
 
 
 def _find(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -8,8 +8,10 @@ Burrows-Wheeler transform; a stable sort by them gives the order one byte furthe
 intervals of all groups take each step together, so common prefixes come by increasing length;
 intervals of one context are left, and the extension ends at the least length.
 
-Contexts that are equal as a whole are one entry with a count. Groups of very many different
-contexts are not gathered: their strings are counted by hash, one row for each string.
+Contexts that are equal as a whole are one entry with a count. A group of very many different
+contexts is split by what stands beside the anchor: strings that reach at most so far to the left
+have the next bytes to the right in common, all others those to the left. Halves that are still
+too large are split again, and each part is extended in the same way.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from . import anchors, shared
 
 LENGTH = 200
-#: Different contexts of an anchor that one group may hold; the exact count by hash takes larger ones.
+#: Different contexts that one group may hold; larger ones are split.
 GROUP = 1500
 #: Contexts that are extended together.
 TOGETHER = 40_000
@@ -38,16 +40,20 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def anchored(rows: DataFrame, length: int) -> DataFrame:
-    """key, pos, h (anchor), c (context) for every anchor of every text."""
+    """key, pos, h (anchor), c (context) for every anchor of every text; with stop, a range from pos on that repeats inside itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, keys, held = [], [], 0
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                at = anchors.find(text.as_py().encode(), length)
-                found.append(at)
-                keys.append(np.full(len(at[0]), key, np.int64))
-                held += len(at[0])
+                at, h, c, ranges = anchors.find(text.as_py().encode(), length)
+                own = len(at) + len(ranges)
+                if not own:
+                    continue
+                zeros, no_stop = np.zeros(len(ranges), np.int64), np.full(len(at), -1)
+                found.append((np.append(at, ranges[:, 0]), np.append(h, zeros), np.append(c, zeros), np.append(no_stop, ranges[:, 1])))
+                keys.append(np.full(own, key, np.int64))
+                held += own
                 if held > 50_000:
                     yield out(keys, found)
                     found, keys, held = [], [], 0
@@ -55,30 +61,37 @@ def anchored(rows: DataFrame, length: int) -> DataFrame:
                 yield out(keys, found)
 
     def out(keys: list, found: list) -> pa.RecordBatch:
-        pos, h, c = (np.concatenate([f[i] for f in found]) for i in range(3))
-        return pa.RecordBatch.from_pydict({"key": pa.array(np.concatenate(keys), pa.int64()), "pos": pa.array(pos.astype(np.int32), pa.int32()), "h": pa.array(h, pa.int64()), "c": pa.array(c, pa.int64())})
+        pos, h, c, stop = (np.concatenate([f[i] for f in found]) for i in range(4))
+        return pa.RecordBatch.from_pydict({"key": pa.array(np.concatenate(keys), pa.int64()), "pos": pa.array(pos.astype(np.int32), pa.int32()), "h": pa.array(h, pa.int64()), "c": pa.array(c, pa.int64()), "stop": pa.array(stop.astype(np.int32), pa.int32(), mask=stop < 0)})
 
-    return rows.select("key", "text").mapInArrow(run, "key long, pos int, h long, c long")
+    return rows.select("key", "text").mapInArrow(run, "key long, pos int, h long, c long, stop int")
+
+
+CONTEXT = "grp long, key long, pos int, n long, before int, bytes binary"
 
 
 def contexts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """h, key, pos, many, hot, before (bytes of context before the anchor) and bytes, for the wanted anchors."""
+    """grp (the anchor), key, pos, n (contexts of the group), before (bytes of context before the anchor) and bytes, for the wanted anchors."""
     side = length - anchors.GRAM
-    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("pos", "h", "many", "hot")).alias("own"))  # a text's own anchors
+    lists = shared.written(wanted.groupBy("key").agg(F.collect_list(F.struct("pos", "h", "n")).alias("own")), "own")  # a text's own anchors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: list[list] = [[], [], [], [], [], [], []]
+            cols: list[list] = [[], [], [], [], [], []]
             for key, text, own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 b = text.as_py().encode()
                 for x in own.as_py():
                     start = max(0, x["pos"] - side)
-                    for col, v in zip(cols, (x["h"], key, x["pos"], x["many"], x["hot"], x["pos"] - start, b[start : x["pos"] + length]), strict=True):
+                    for col, v in zip(cols, (x["h"], key, x["pos"], x["n"], x["pos"] - start, b[start : x["pos"] + length]), strict=True):
                         col.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["h", "key", "pos", "many", "hot", "before", "bytes"])
+            yield _contexts(cols)
+
+    return shared.passing(rows, "key", lists).join(lists, "key").select("key", "text", "own").mapInArrow(run, CONTEXT)
+
 
-    return rows.join(lists, "key").select("key", "text", "own").mapInArrow(run, "h long, key long, pos int, many long, hot boolean, before int, bytes binary")
+def _contexts(cols: list[list]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["grp", "key", "pos", "n", "before", "bytes"])
 
 
 def _least_between(lcp: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -155,7 +168,7 @@ SPANS = "key long, start int, stop int"
 def expanded(gathered: DataFrame, length: int) -> DataFrame:
     """Spans of repeated strings in the contexts of groups of moderate size."""
     n = int(gathered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    together = gathered.repartition(n, "h").sortWithinPartitions("h").select("h", "key", "pos", "before", "bytes")
+    together = gathered.repartition(n, "grp").sortWithinPartitions("grp").select("grp", "key", "pos", "before", "bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = [], 0
@@ -181,44 +194,85 @@ def expanded(gathered: DataFrame, length: int) -> DataFrame:
     return together.mapInArrow(run, SPANS)
 
 
-def counted(gathered: DataFrame, length: int) -> DataFrame:
-    """The same for groups of any size: each string of a context is a row, counted by hash with partial sums."""
+PART = f"{CONTEXT}, low int, high int"
+
+
+def halves(large: DataFrame, length: int) -> DataFrame:
+    """The contexts of large groups in smaller ones. Of the strings sought, `low` to `high` bytes stand before the anchor.
+
+    Those with at most the middle number share the bytes that follow the anchor up to the least that
+    they hold of them; all others share the bytes before it. A context is in a half if it has so
+    many bytes on that side.
+    """
     side = length - anchors.GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, places, many, hashes = [], [], [], []
-            for h, key, pos, m, before, text in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                for start in range(max(0, len(text) - length + 1)):
-                    keys.append(key)
-                    places.append(pos - before + start)
-                    many.append(m)
-                    digest = hashlib.blake2b(text[start : start + length], digest_size=8, key=(h & (1 << 64) - 1).to_bytes(8, "little") + bytes([side - before + start]))
-                    hashes.append(int.from_bytes(digest.digest(), "little", signed=True))
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.int64()), "start": pa.array(places, pa.int32()), "many": pa.array(many, pa.int64()), "w": pa.array(hashes, pa.int64())})
+            cols: list[list] = [[] for _ in range(8)]
+            for grp, key, pos, n, before, text, low, high in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                after, middle = before + anchors.GRAM, (low + high) // 2
+                right, left = text[after : after + side - middle], text[max(0, before - middle - 1) : before]
+                for part, least, a, b in ((right, side - middle, low, middle), (left, middle + 1, middle + 1, high)):
+                    if len(part) == least and a <= b:
+                        own = hashlib.blake2b(part, digest_size=8, key=(grp & (1 << 64) - 1).to_bytes(8, "little") + bytes([a, b]))
+                        for col, v in zip(cols, (int.from_bytes(own.digest(), "little", signed=True), key, pos, n, before, text, a, b), strict=True):
+                            col.append(v)
+            whole = _contexts(cols[:6])
+            ends = [pa.array(c, pa.int32()) for c in cols[6:]]
+            yield pa.RecordBatch.from_arrays([*whole.columns, *ends], names=[*whole.schema.names, "low", "high"])
+
+    return large.select("grp", "key", "pos", "n", "before", "bytes", "low", "high").mapInArrow(run, PART)
+
+
+def split(large: DataFrame, length: int) -> list[DataFrame]:
+    """Spans of repeated strings in groups of any size: they are halved until all parts are small.
+
+    A part whose strings have one place for the anchor is not extended: its strings are counted. So
+    there are as many rounds as the logarithm of the places, for all groups together.
+    """
+    out, now = [], large.withColumns({"low": F.lit(0), "high": F.lit(length - anchors.GRAM)})
+    while not now.isEmpty():
+        both = shared.written(halves(now, length).drop("n"), "halves")
+        sizes = shared.written(both.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+        both = shared.written(both.join(sizes, "grp"), "parts")
+        out.append(expanded(both.where(F.col("n") <= GROUP), length))
+        rest = both.where(F.col("n") > GROUP)
+        out.append(_one_string(rest.where("low = high"), length))
+        now = rest.where("low < high")
+    return out
 
-    strings = shared.written(gathered.select("h", "key", "pos", "many", "before", "bytes").mapInArrow(run, "key long, start int, many long, w long"), "strings")
-    again = strings.groupBy("w").agg(F.sum("many").alias("all")).where("all > 1").select("w")
-    return strings.where("many = 1").join(again, "w").select("key", "start", (F.col("start") + length).alias("stop"))
+
+def _one_string(rest: DataFrame, length: int) -> DataFrame:
+    """The spans of the one string, with `low` bytes before the anchor, that a context may share with others of its group."""
+    start = F.col("before") - F.col("low")
+    held = rest.where((start >= 0) & (F.length("bytes") >= start + length))
+    own = held.select("key", (F.col("pos") - F.col("low")).alias("start"), F.xxhash64("grp", F.substring("bytes", start + 1, F.lit(length))).alias("w"))
+    again = shared.written(own.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w"), "again")
+    return own.join(again, "w").select("key", "start", (F.col("start") + length).alias("stop"))
 
 
 def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """key, start, stop: byte ranges whose union is what repeated strings of `length` bytes cover."""
-    rows, side = keyed(docs), length - anchors.GRAM
-    every = shared.written(anchored(rows, length), "anchors")
-    # Written, so that the join has a shuffle on either side and Spark can split the parts of common anchors.
-    again = shared.written(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
-    occurring = shared.written(every.join(again, "h"), "occurring")
-    shared.drop_written(every)
-    classes = shared.written(occurring.groupBy("h", "c").agg(F.count("*").alias("many"), F.min(F.struct("key", "pos")).alias("one")), "contexts")
-    groups = shared.written(classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "groups")
-    wanted = classes.join(groups, "h").select("one.key", "one.pos", "h", "many", (F.col("n") > GROUP).alias("hot"))
-    gathered = shared.written(contexts(rows, wanted, length), "gathered")
-    partial = shared.written(expanded(gathered.where("NOT hot"), length).unionByName(counted(gathered.where("hot"), length)), "spans")
-    shared.drop_written(gathered)
-    # A context that occurs again as a whole is covered as a whole.
-    whole = occurring.join(classes.where("many > 1").select("h", "c"), ["h", "c"])
-    return partial.unionByName(whole.select("key", F.greatest(F.col("pos") - side, F.lit(0)).alias("start"), (F.col("pos") + length).alias("stop")))
+    with shared.scratch():
+        rows, side = keyed(docs), length - anchors.GRAM
+        every = shared.written(anchored(rows, length), "anchors")
+        found = every.where("stop IS NULL").drop("stop")
+        # Written, so that the join has a shuffle on either side and Spark can split the parts of common anchors.
+        again = shared.written(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
+        occurring = shared.written(shared.passing(found, "h", again).join(again, "h"), "occurring")
+        classes = shared.written(occurring.groupBy("h", "c").agg(F.count("*").alias("many"), F.min(F.struct("key", "pos")).alias("one")), "contexts")
+        groups = shared.written(classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "groups")
+        wanted = classes.join(groups, "h").select("one.key", "one.pos", "h", "n")
+        gathered = shared.written(contexts(rows, wanted, length), "gathered")
+        out = expanded(gathered.where(F.col("n") <= GROUP), length)
+        for part in split(gathered.where(F.col("n") > GROUP), length):
+            out = out.unionByName(part)
+        # A context that occurs again as a whole is covered as a whole.
+        twice = shared.written(classes.where("many > 1").select("h", "c"), "twice")
+        whole = occurring.join(twice, ["h", "c"])
+        out = out.unionByName(whole.select("key", F.greatest(F.col("pos") - side, F.lit(0)).alias("start"), (F.col("pos") + length).alias("stop")))
+        out = out.unionByName(every.where("stop IS NOT NULL").select("key", F.col("pos").alias("start"), "stop"))
+        return shared.written(out, "spans", lasting=True)
 
 
 def cut(text: bytes, ranges: np.ndarray) -> tuple[bytes, int, int]:
@@ -245,7 +299,9 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Repeated rows are elsewhere for each other. Strings are compared by 64-bit hashes of anchors
     and contexts, and byte by byte between different contexts.
     """
-    lists = spans(docs, length).groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    found = spans(docs, length)
+    lists = shared.written(found.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")), "ranges")
+    shared.drop_written(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,11 +312,20 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 out.append((*cut(b, own), len(b)))
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "kept": pa.array([x[0] for x in out], pa.binary()), "n_bytes": pa.array([x[3] for x in out], pa.int64()), "n_removed": pa.array([x[1] for x in out], pa.int64()), "n_spans": pa.array([x[2] for x in out], pa.int64())})
 
-    rows = keyed(docs).withColumn("doc_id", F.col("doc_id").cast("long")).join(lists, "key", "left")
-    return rows.select("doc_id", "text", "ranges").mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    rows = keyed(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
+    marked = shared.flagged(rows, F.col("key"), shared.bitmap(lists, "key"), "__may")
+    # Texts that lose nothing stay where they are.
+    whole = marked.where("NOT __may").select("doc_id", F.encode("text", "UTF-8").alias("kept"), F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"))
+    some = marked.where("__may").join(lists, "key", "left").select("doc_id", "text", "ranges").mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    return whole.unionByName(some)
 
 
 def op3_repeated_bytes(spark, sf_dir: str) -> DataFrame:
-    """What is left of every whole text without strings of 200 bytes that start elsewhere too."""
+    """What is left of every whole text without strings of 200 bytes that start elsewhere too.
+
+    Null texts count as empty and, like texts below 200 bytes, stay whole. Repeated rows and ties are
+    elsewhere for each other, and each row is returned, also with a null doc_id. An empty table gives
+    no rows. Very long texts are taken in segments; other columns are ignored.
+    """
     out = remove(shared.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
