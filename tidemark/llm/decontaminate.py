@@ -69,29 +69,55 @@ def _step(width: int) -> int:
     return max(width // 2, 1)
 
 
-def _grams(rows: DataFrame, width: int, starts: Column) -> DataFrame:
-    """rows (with mark) with words, n, and grams: pos, of_template and of_plain, hashes of so many tokens from each start on.
+def _hashed(rows: DataFrame) -> DataFrame:
+    """rows (with mark) with words, n, and the hashes of their template tokens and of their words in one case."""
+    rows = rows.withColumn("words", F.split("mark", " ")).withColumn("n", F.size("words"))
+    rows = rows.withColumn("__tokens", F.transform(template(F.col("words")), lambda x: F.xxhash64(x)))
+    return rows.withColumn("__plain", F.transform(F.split(folded(F.col("mark")), " "), lambda x: F.xxhash64(x))).drop("mark")
+
+
+def _of_template(pos: Column, size: int) -> Column:
+    return F.xxhash64(F.lit(size), F.slice("__tokens", pos + 1, size))
+
+
+def _of_plain(pos: Column, size: int) -> Column:
+    return F.xxhash64(F.lit(-size), F.slice("__plain", pos + 1, size))
+
 
-    Each window holds the first token of just one gram at a multiple of the step, and that whole
+def _starts(width: int, step: int) -> Column:
+    return F.sequence(F.lit(0), F.col("n") - (width - _step(width) + 1), F.lit(step))
+
+
+def _grams(rows: DataFrame, width: int, step: int) -> DataFrame:
+    """rows with words, n, and grams: pos, of_template and of_plain, hashes of so many tokens from each multiple of the step on.
+
+    Each window holds the first token of just one gram at a multiple of its own step, and that whole
     gram. A sequence shorter than a window has one gram, the whole.
     """
-    long = width - _step(width) + 1
-    rows = rows.withColumn("words", F.split("mark", " ")).withColumn("n", F.size("words"))
-    rows = rows.withColumn("__tokens", F.transform(template(F.col("words")), lambda x: F.xxhash64(x)))
-    rows = rows.withColumn("__plain", F.transform(F.split(folded(F.col("mark")), " "), lambda x: F.xxhash64(x)))
-    gram = lambda pos, size, kind: F.struct(
-        pos.cast("int").alias("pos"),
-        F.xxhash64(F.lit(f"{kind} template"), F.slice("__tokens", pos + 1, size)).alias("of_template"),
-        F.xxhash64(F.lit(f"{kind} plain"), F.slice("__plain", pos + 1, size)).alias("of_plain"),
-    )
-    whole = F.array(gram(F.lit(0), F.lit(width), "whole"))
-    grams = F.when(F.col("n") < width, whole).otherwise(F.transform(starts, lambda p: gram(p, F.lit(long), "gram")))
-    return rows.withColumn("grams", grams).drop("mark", "__tokens", "__plain")
+    size = width - _step(width) + 1
+    gram = lambda pos, n: F.struct(pos.cast("int").alias("pos"), _of_template(pos, n).alias("of_template"), _of_plain(pos, n).alias("of_plain"))
+    rows = _hashed(rows)
+    grams = F.when(F.col("n") < width, F.array(gram(F.lit(0), width))).otherwise(F.transform(_starts(width, step), lambda p: gram(p, size)))
+    return rows.withColumn("grams", grams).drop("__tokens", "__plain")
+
+
+def may_hold(docs: DataFrame, own: DataFrame, width: int, small: bool) -> DataFrame:
+    """text_key and mark of the texts of docs with a gram of the items' keys, and few others. No text moves."""
+    size, step = width - _step(width) + 1, _step(width)
+    texts = docs.select("doc_id", "text", text_key(F.col("doc_id"), F.col("text")).alias("text_key"))
+    rows = _hashed(texts.select("text_key", marked(F.col("text")).alias("mark")))
+    whole = F.array(_of_template(F.lit(0), width), _of_plain(F.lit(0), width))
+    starts = _starts(width, step)
+    every = F.concat(F.transform(starts, lambda p: _of_template(p, size)), F.transform(starts, lambda p: _of_plain(p, size)))
+    hashes = rows.select("text_key", F.explode(F.when(F.col("n") < width, whole).otherwise(every)).alias("h"))
+    hit = hashes.join(F.broadcast(own.select("h").distinct()), "h", "left_semi") if small else shared.passing(hashes, "h", own.select("h"))
+    found = shared.written(hit.select("text_key").distinct(), "candidates")
+    return shared.passing(texts, "text_key", found)
 
 
 def item_keys(items: DataFrame, width: int) -> DataFrame:
     """What a document is joined on: h, the grams of each window by its template, if it is rich, and by its words in one case."""
-    at = _grams(items, width, F.sequence(F.lit(0), F.col("n") - (width - _step(width) + 1)))
+    at = _grams(items, width, 1)
     at = at.withColumn("item_pos", F.explode(F.sequence(F.lit(0), F.greatest(F.col("n") - width, F.lit(0)))))
     at = at.withColumn("item_words", F.slice("words", F.col("item_pos") + 1, width))
     rich = F.size(F.filter("item_words", lambda x: ~_marks(x))) >= F.least(F.lit(PLAIN_WORDS), F.col("n"))
@@ -108,7 +134,7 @@ def text_keys(texts: DataFrame, width: int) -> DataFrame:
     A row holds the words of the windows that its gram may stand for, never the whole text.
     """
     step = _step(width)
-    rows = _grams(texts, width, F.sequence(F.lit(0), F.col("n") - (width - step + 1), F.lit(step)))
+    rows = _grams(texts, width, step)
     near = lambda pos: F.slice("words", F.greatest(pos - (step - 1), F.lit(0)) + 1, width + step - 1)
     keyed = F.transform("grams", lambda g: F.struct(g["pos"].alias("pos"), F.array(g["of_template"], g["of_plain"]).alias("hs"), near(g["pos"]).alias("near")))
     return rows.select("doc_id", "text_hash", "text_key", F.inline(keyed)).select("doc_id", "text_hash", "text_key", "pos", "near", F.explode("hs").alias("h"))
@@ -124,12 +150,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage:
     of docs give one row; repeated items with the same id count as one. Other columns are ignored.
     """
     items = benchmark.select(F.col("item_id").alias("item_id"), marked(F.col("text")).alias("mark")).where("mark <> ''").distinct()
-    whole = F.coalesce("text", F.lit(""))
-    texts = docs.select("doc_id", F.xxhash64(whole).alias("text_hash"), text_key(F.col("doc_id"), F.col("text")).alias("text_key"), marked(F.col("text")).alias("mark")).where("mark <> ''")
-    own, keys = item_keys(items, width), text_keys(texts, width)
+    own = item_keys(items, width)
     length = lambda words: F.length(F.array_join(words, " ")) + 16 * F.size(words)
     held = own.agg(F.sum(length("item_words") + length("item_tokens") + length("item_plain") + 64)).first()[0]
-    if (held or 0) <= BROADCAST_BYTES:
+    small = (held or 0) <= BROADCAST_BYTES
+    # First the texts that share any gram, by hashes alone; only these are compared word by word.
+    some = may_hold(docs, own, width, small)
+    texts = some.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text_key", marked(F.col("text")).alias("mark"))
+    keys = text_keys(texts, width)
+    if small:
         own = F.broadcast(own)
     else:
         keys = shared.passing(keys, "h", own.select("h"))
