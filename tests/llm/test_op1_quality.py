@@ -56,3 +56,33 @@ def test_gradient_of_the_attention_model():
     a, z = quality.pooled(codes, quality.attend(codes, model), np.arange(0, 300, 3), np.repeat(np.arange(100), 3))
     assert a.reshape(100, 3).sum(axis=1) == pytest.approx(np.ones(100), abs=1e-4)
     assert np.mean((z @ model["c"] + model["c0"] > 0) == (labels == 1)) > 0.9
+
+
+def test_scores_equal_a_plain_version(spark, awkward):
+    """One passage at a time, with loops, against the score of whole batches."""
+    rng = np.random.default_rng(4)
+    x = rng.random((90, quality.N_FEATURES)).astype(np.float32)
+    model = quality.train(x, np.full(30, 3), (np.arange(30) % 2).astype(np.float32), epochs=3)
+
+    def plain(text):
+        b = (text or "").encode()
+        weights, codes = [], []
+        for at in range(0, max(len(b), 1), quality.PASSAGE):
+            f = quality.features([b[at : at + quality.PASSAGE]])[0][0]
+            code = np.tanh(np.clip((f - model["mean"]) / model["scale"], -5, 5) @ model["W"] + model["b"])
+            gate = 1 / (1 + np.exp(-(code @ model["U"])))
+            weights.append(np.exp(float((np.tanh(code @ model["V"]) * gate) @ model["w"])))
+            codes.append(code)
+        z = sum(w * c for w, c in zip(weights, codes, strict=True)) / sum(weights)
+        return float(1 / (1 + np.exp(-(z @ model["c"] + model["c0"])[0])))
+
+    out = quality.score(awkward, model).select("text", "score").collect()
+    assert len(out) == 16
+    assert np.allclose([r.score for r in out], [plain(r.text) for r in out], atol=1e-4)
+
+
+def test_a_document_gives_a_bounded_bag():
+    text = bytes(range(256)) * 40_000
+    assert len(quality.spaced(text, 32)) == 32 and quality.spaced(text, 32)[-1] in text
+    assert quality.spaced(b"ab", 32) == [b"ab"] and quality.spaced(b"", 32) == [b""]
+    assert b"".join(quality.spaced(text[:20_000], 32)) == text[:20_000]

@@ -20,6 +20,8 @@ from . import shared
 
 #: About so many labelled documents are fitted on at most, drawn by a hash of the id.
 FIT_DOCUMENTS = 6_000
+#: Passages of a document that are fitted on at most, evenly spaced; so what reaches the driver is bounded.
+FIT_PASSAGES = 32
 #: Bytes of a passage.
 PASSAGE = 800
 #: Bytes that are turned into features at a time.
@@ -57,6 +59,13 @@ def portions(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
         yield owners, pieces
 
 
+def spaced(text: bytes, most: int) -> list[bytes]:
+    """The passages of a text, or so many of them, evenly spaced over the whole text."""
+    n = max(1, -(-len(text) // PASSAGE))
+    at = range(n) if n <= most else [i * n // most for i in range(most)]
+    return [text[i * PASSAGE : (i + 1) * PASSAGE] for i in at]
+
+
 def features(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Features of every passage of the pieces, and how many passages each piece has (an empty one: one).
 
@@ -169,6 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_documents: int = FIT_DOCUMENTS)
 
     Ids labelled both ways go by the majority, ties count as 1; null labels and ids are left out.
     Without labels of both kinds the model is a constant: the share of label 1, or 0.5 without any.
+    Of each document FIT_PASSAGES passages at most are encoded.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
     counts = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
@@ -181,12 +191,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_documents: int = FIT_DOCUMENTS)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(t.as_py() or "").encode() for t in batch.column(1)]
-            for owners, pieces in portions(texts):
-                x, per = features(pieces)
-                ends = np.cumsum(per)
-                ys = [batch.column(0)[i].as_py() for i in owners]
-                yield pa.RecordBatch.from_pydict({"y": pa.array(ys, pa.int32()), "x": pa.array([x[e - k : e].astype(np.float16).tobytes() for e, k in zip(ends, per, strict=True)], pa.binary())})
+            if batch.num_rows:
+                bags = [features(spaced((t.as_py() or "").encode(), FIT_PASSAGES))[0].astype(np.float16).tobytes() for t in batch.column(1)]
+                yield pa.RecordBatch.from_pydict({"y": batch.column(0), "x": pa.array(bags, pa.binary())})
 
     rows = drawn.mapInArrow(encode, "y int, x binary").collect()
     rows.sort(key=lambda r: (r[0], bytes(r[1])))
