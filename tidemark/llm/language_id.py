@@ -1,8 +1,8 @@
 """Language identification by words first, then shorter and shorter character n-grams (operator 10).
 
-A model holds per-language log frequencies of the most frequent words and of character n-grams of
-one to five letters. A known word is scored by its frequencies; an unseen word by its n-grams of
-the greatest order of which the model knows any, down to single letters.
+A model holds per-language log frequencies of words and of character n-grams of one to five letters,
+all that occur in the documents it is fitted on. A known word is scored by its frequencies; an unseen
+word by its n-grams of the greatest order of which the model knows any, down to single letters.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from . import pieces, shared
 
-#: The model is fitted on about this many labelled documents at most, drawn by a hash of id and text.
-FIT_DOCUMENTS = 20_000
-#: Most frequent words, and n-grams of each order, that the model keeps; this bounds what is broadcast.
-KEEP_WORDS = 40_000
-KEEP_GRAMS = 20_000
+#: The model is fitted on about this many labelled documents of each language at most, drawn by a
+#: hash of id and text; this bounds its vocabulary, of which nothing is left out.
+FIT_DOCUMENTS = 1_000
 ORDERS = (5, 4, 3, 2, 1)
+#: Share of each language's probability that is spread evenly over all items of a table.
+UNSEEN = 0.1
 #: Words whose scores a task keeps in memory.
 CACHE_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -116,44 +116,48 @@ def counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _scores(rows: list, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    """Add-one smoothed log frequency of each item in each language, with one class for all others."""
+def scored(rows: pa.Table, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
+    """Item -> row, and the rows of log frequencies, from lang, item and n.
+
+    A share UNSEEN of each language's probability is spread over all items and one class for others,
+    so that an item that a language lacks weighs the same whatever the language's size.
+    """
     items: dict[str, int] = {}
-    for r in rows:
-        items.setdefault(r[1], len(items))
+    at = [items.setdefault(x, len(items)) for x in rows.column(1).to_pylist()]
+    places = {x: i for i, x in enumerate(languages)}
     table = np.zeros((len(items), len(languages)))
-    at = {x: i for i, x in enumerate(languages)}
-    for lang, item, n in rows:
-        table[items[item], at[lang]] = n
-    return items, np.log((table + 0.5) / (table.sum(axis=0) + 0.5 * (len(items) + 1)))
+    np.add.at(table, (at, [places[x] for x in rows.column(0).to_pylist()]), rows.column(2).to_numpy())
+    share = table / np.maximum(table.sum(axis=0), 1)
+    return items, np.log((1 - UNSEEN) * share + UNSEEN / (len(items) + 1))
+
+
+def drawn(docs: DataFrame, fit_documents: int) -> tuple[DataFrame, list[str]]:
+    """Labelled rows, at most about fit_documents of each language, and the languages."""
+    labelled = docs.select("doc_id", "text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    sizes = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}  # one row a language
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
+    out = F.lit(False)
+    for lang, n in sizes.items():
+        out = out | ((F.col("lang") == lang) & (place < math.ceil(min(1.0, fit_documents / n) * (1 << 20))))
+    return labelled.where(out), sorted(sizes)
 
 
-def fit(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS, keep_words: int = KEEP_WORDS, keep_grams: int = KEEP_GRAMS) -> Model:
+def fit(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Model:
     """A model from the columns text and lang; rows with a null in either are left out.
 
-    At most about fit_documents rows are counted, drawn by hash, so that the model's size and cost
-    are bounded. Words are counted on the executors; only the kept entries reach the driver.
+    At most about fit_documents rows of each language are counted, on the executors; the counts of
+    these reach the driver. A rare language has all its rows.
     """
-    labelled = docs.select("doc_id", "text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    n = labelled.count()
-    if n > fit_documents:
-        labelled = labelled.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < math.ceil(fit_documents / n * (1 << 20)))
-    languages = sorted(r[0] for r in labelled.select("lang").distinct().collect())
-    by_word = shared.written(counts(labelled), "word-counts")
-
-    def kept(table: DataFrame, item: str, most: int) -> list:
-        top = table.groupBy(item).agg(F.sum("n").alias("all")).orderBy(F.desc("all"), item).limit(most)
-        return [tuple(r) for r in table.join(F.broadcast(top.select(item)), item).select("lang", item, "n").collect()]
-
-    word_rows, word_scores = _scores(kept(by_word.where("n > 1"), "word", keep_words), languages)
-    tables = {}
-    for order in ORDERS:
-        marked = F.concat(F.lit("<"), "word", F.lit(">")) if order > 1 else F.col("word")
-        pieces = F.transform(F.sequence(F.lit(1), F.length(marked) - (order - 1)), lambda i: F.substring(F.col("marked"), i, F.lit(order)))
-        exploded = by_word.withColumn("marked", marked).where(F.length("marked") >= order).select("lang", "n", F.explode(pieces).alias("gram"))
-        table = exploded.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        tables[order] = _scores(kept(table, "gram", keep_grams), languages)
-    shared.drop_written(by_word)
+    labelled, languages = drawn(docs, fit_documents)
+    with shared.scratch():
+        by_word = shared.written(counts(labelled), "word-counts")
+        word_rows, word_scores = scored(by_word.select("lang", "word", "n").toArrow(), languages)
+        tables = {}
+        for order in ORDERS:
+            marked = F.concat(F.lit("<"), "word", F.lit(">")) if order > 1 else F.col("word")
+            parts = F.transform(F.sequence(F.lit(1), F.length(marked) - (order - 1)), lambda i: F.substring(F.col("marked"), i, F.lit(order)))
+            exploded = by_word.withColumn("marked", marked).where(F.length("marked") >= order).select("lang", "n", F.explode(parts).alias("gram"))
+            tables[order] = scored(exploded.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow(), languages)
     return Model(languages, word_rows, word_scores, tables)
 
 
@@ -177,7 +181,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def op10_language_id(spark, sf_dir: str) -> DataFrame:
     """The predicted language of every whole text, learned from documents that are not held out.
 
-    An empty table gives no rows; without any labelled row every prediction is ``und``.
+    Null texts and texts without letters are ``und``; of languages that score alike the first by name
+    is taken. Repeated rows each get their row; a null doc_id counts as the empty text in the split.
+    Without any labelled row every prediction is ``und``; an empty table gives no rows. Very long
+    texts are scored in pieces; other columns are ignored.
     """
     docs = shared.table(spark, sf_dir, "documents")
     model = fit(docs.where(shared.bucket_of_id(F.col("doc_id")) != 2))
