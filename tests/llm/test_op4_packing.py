@@ -39,3 +39,15 @@ def test_empty_table_and_clashing_columns(nothing, awkward):
     assert packing.pack(nothing).count() == 0
     clash = awkward.withColumn("batch", F.lit(1)).withColumn("chunk", F.lit(1)).withColumn("n_tokens", F.lit("x"))
     assert packing.pack(clash).count() == packing.pack(awkward).count()
+
+
+def test_very_many_repeated_rows_fill_all_slots(spark):
+    docs = spark.range(2_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one two three").alias("text")).unionByName(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"))
+    rows = packing.pack(docs, 64, 4, 30).collect()
+    assert len(rows) == 2_002
+    places = [(r.bucket_len, r.batch, r.slot) for r in rows]
+    assert len(set(places)) == 2_002
+    for bucket in {r.bucket_len for r in rows}:
+        own = sorted((b, s) for x, b, s in places if x == bucket)
+        fits = max(1, 30 // max(bucket, 1))
+        assert own == [(i // fits, i % fits) for i in range(len(own))]

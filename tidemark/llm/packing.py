@@ -2,13 +2,12 @@
 
 The lengths of all units form one histogram, which has at most max_len + 1 entries. Dynamic
 programming over it chooses the bucket boundaries with the least padding. Inside each bucket,
-units are numbered in a fixed random-like order and cut into batches of a token budget.
+units are numbered in a fixed random-like order, by ranges that are as large as each other also
+where a row is repeated very often, and cut into batches of a token budget.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,8 +17,6 @@ from . import shared
 MAX_LEN = 2048
 BUCKETS = 8
 TOKEN_BUDGET = 16384
-#: Units that one numbering block holds on average.
-BLOCK_UNITS = 2000
 
 
 def n_words(text: Column) -> Column:
@@ -76,26 +73,33 @@ def pack(docs: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS, token_
     bucket_len. Repeated rows and ids give units of their own; columns other than doc_id and text
     are ignored; an empty table gives no rows.
     """
-    # Counting words is the costly part, so it is done once.
-    every = shared.written(units(docs, max_len), "units")
-    histogram = {r[0]: r[1] for r in every.groupBy("n_tokens").count().collect()}  # max_len + 1 rows at most
-    bounds = boundaries(histogram, buckets)
-    total = sum(histogram.values())
-    digits = max(1, math.ceil(math.log(max(1, total) / BLOCK_UNITS, 16))) if total else 1
-    bucket = F.coalesce(*[F.when(F.col("n_tokens") <= b, b) for b in bounds], F.lit(0)).cast("long")
-    placed = every.withColumn("bucket_len", bucket).withColumn("block", F.substring("order_key", 1, digits))
-    # Numbers inside a bucket: those of the blocks before, plus the number inside the block.
-    before = Window.partitionBy("bucket_len").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = placed.groupBy("bucket_len", "block").agg(F.count("*").alias("in_block"))
-    offsets = blocks.select("bucket_len", "block", F.coalesce(F.sum("in_block").over(before), F.lit(0)).alias("offset"))
-    inside = F.row_number().over(Window.partitionBy("bucket_len", "block").orderBy("order_key", "doc_id", "chunk"))
-    numbered = placed.withColumn("inside", inside).join(offsets, ["bucket_len", "block"]).withColumn("number", F.col("offset") + F.col("inside") - 1)
+    spark = docs.sparkSession
+    with shared.scratch():
+        # Counting words is the costly part, so it is done once. The tie tells repeated rows apart.
+        every = shared.written(units(docs, max_len).withColumn("tie", F.monotonically_increasing_id()), "units")
+        histogram = {r[0]: r[1] for r in every.groupBy("n_tokens").count().collect()}  # max_len + 1 rows at most
+        bounds = boundaries(histogram, buckets)
+        bucket = F.coalesce(*[F.when(F.col("n_tokens") <= b, b) for b in bounds], F.lit(0)).cast("long")
+        order = ("bucket_len", "order_key", "doc_id", "chunk", "tie")
+        ranges = every.withColumn("bucket_len", bucket).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order)
+        placed = shared.written(ranges.sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "ranges", lasting=True)
+    # Numbers inside a bucket: those of the ranges before, plus the number inside the range. One row a range and bucket.
+    part = F.shiftright("at", 33)
+    before = Window.partitionBy("bucket_len").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("bucket_len", part.alias("part")).agg(F.count("*").alias("held"), F.min("at").alias("first"))
+    offsets = sizes.select("bucket_len", "part", (F.coalesce(F.sum("held").over(before), F.lit(0)) - F.col("first")).alias("offset"))
+    numbered = placed.withColumn("part", part).join(offsets, ["bucket_len", "part"]).withColumn("number", F.col("at") + F.col("offset"))
     fits = F.greatest(F.floor(F.lit(token_budget) / F.greatest("bucket_len", F.lit(1))), F.lit(1)).cast("long")
     return numbered.select("doc_id", "chunk", "start", "n_tokens", "bucket_len", F.floor(F.col("number") / fits).alias("batch"), (F.col("number") % fits).alias("slot"))
 
 
 def op4_packing(spark, sf_dir: str) -> DataFrame:
-    """Every document packed into token-budget batches of optimal length buckets."""
+    """Every document packed into token-budget batches of optimal length buckets.
+
+    Null and empty texts are units of length 0; repeated rows, also with a null doc_id, are units of
+    their own, in any order among themselves; very long texts are split into units, not cut off. Of
+    equal costs the boundary with the shorter lower bucket is taken. An empty table gives no rows.
+    """
     return pack(shared.table(spark, sf_dir, "documents"))
 
 
