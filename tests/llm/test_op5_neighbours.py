@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tidemark.llm import neighbours
 
@@ -50,3 +51,32 @@ def test_empty_null_ids_and_repeated_rows(spark):
     rows = [(None, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])]
     out = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in neighbours.near_duplicates(spark.createDataFrame(rows, schema)).collect()), key=str)
     assert out == [(1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True), (None, 0, None, False)]
+
+
+def test_a_wide_component_is_compared_where_angles_do_not_decide(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PORTION", 8)
+    rng = np.random.default_rng(9)
+    # A chain of vectors on an arc, with noise, and a tight group at one end.
+    vectors = [[np.cos(a), np.sin(a), *(0.02 * rng.normal(size=4))] for a in np.linspace(0, 1.4, 120)]
+    vectors += [[1.0, *(0.01 * rng.normal(size=5))] for _ in range(60)]
+    vectors = [[float(x) for x in v] for v in vectors]
+    rows = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in neighbours.near_duplicates(rows).collect()}
+    links, component = brute(vectors, 0.95)
+    assert [got[i].n_links for i in range(len(vectors))] == links
+    assert [got[i].component_id for i in range(len(vectors))] == component
+
+
+def test_codings_grow_with_the_table():
+    for n in (1, 10_000, 1_000_000, 30_000_000, 10**12):
+        bits, tables = neighbours.codings(n, 0.95)
+        meet = (1 - np.arccos(0.95) / np.pi) ** bits
+        assert (1 - meet) ** tables <= neighbours.MISSED and tables <= 1024
+
+
+def test_too_little_recall_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PASSES", 1)
+    monkeypatch.setattr(neighbours, "audit", lambda *a: 0.5)
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.001])], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError):
+        neighbours.near_duplicates(rows)

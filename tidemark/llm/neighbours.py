@@ -4,13 +4,16 @@ Equal vectors are one class. A neighbour graph over the classes starts from buck
 hyperplane codes and is refined by joins with the neighbours of neighbours; lists whose entries
 all pass the threshold are enlarged. An audit compares the graph's components with the exact
 neighbours of a fixed number of drawn vectors; while it finds too few, more buckets are made.
-Edges at the threshold give the components, and inside each component all links are counted in
-blocks, so lists of any length are whole.
+Edges at the threshold give the components, and inside each component all links are counted, so
+lists of any length are whole: blocks of vectors that lie close enough to the component's centre
+are linked as a whole, those too far apart are not, and only the blocks between are compared.
 """
 
 from __future__ import annotations
 
 import hashlib
+import logging
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +27,13 @@ THRESHOLD = 0.95
 #: Similarity that a neighbour has at least; below it, an entry leads nowhere.
 FLOOR = 0.90
 LIST, SAMPLE, ROUNDS = 16, 12, 3
-#: Buckets per pass, passes at most, vectors audited, and the recall asked of the audit.
-TABLES, PASSES, AUDITED, RECALL = 16, 4, 128, 0.98
+#: Share of pairs at the threshold that may miss each other in all codings of a pass.
+MISSED = 0.005
+#: Vectors audited, the recall at which no further pass is made, and the one below which there is no result.
+AUDITED, RECALL, LEAST_RECALL, PASSES = 512, 0.98, 0.9, 16
+#: Angles closer than this to a bound are decided by the vectors themselves.
+SLACK = 1e-6
+_LOG = logging.getLogger(__name__)
 #: Rows of a bucket's portion and of a block of a component.
 PORTION = 512
 
@@ -70,9 +78,16 @@ def _grouped_by(df: DataFrame, key) -> DataFrame:
     return df.withColumn("__key", key).repartition(n, "__key").sortWithinPartitions("__key")
 
 
-def bucket_edges(vectors: DataFrame, n: int, seed: int, tables: int, floor: float) -> DataFrame:
-    """Lists of nearest vectors inside portions of buckets of equal hyperplane codes, for `tables` codings."""
+def codings(n: int, threshold: float) -> tuple[int, int]:
+    """Bits of a code, so that buckets stay small among n vectors, and codings, so that MISSED holds at every n."""
     bits = int(np.clip(np.ceil(np.log2(max(n, 2) / 16)), 2, 40))
+    meet = (1 - math.acos(threshold) / math.pi) ** bits
+    return bits, math.ceil(math.log(MISSED) / math.log(1 - meet))
+
+
+def bucket_edges(vectors: DataFrame, n: int, seed: int, threshold: float, floor: float) -> DataFrame:
+    """Lists of nearest vectors inside portions of buckets of equal hyperplane codes."""
+    bits, tables = codings(n, threshold)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +98,7 @@ def bucket_edges(vectors: DataFrame, n: int, seed: int, tables: int, floor: floa
                 x = unit([vecs[int(i)] for i in at])
                 planes = np.random.default_rng([seed, int(d)]).standard_normal((int(d), tables * bits))
                 signs = (x @ planes > 0).reshape(len(at), tables, bits)
-                codes = (signs * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2) * 64 + np.arange(tables)
+                codes = (signs * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2) * 1024 + np.arange(tables)
                 yield pa.RecordBatch.from_pydict({"node": nodes.take(pa.array(at)), "dim": pa.array(np.full(len(at), d), pa.int64()), "codes": pa.array(codes.tolist(), pa.list_(pa.int64()))})
 
     coded = vectors.select("node", "vec").mapInArrow(code, "node long, dim long, codes array<long>").select("node", "dim", F.explode("codes").alias("code"))
@@ -171,8 +186,14 @@ def refine(edges: DataFrame, vectors: DataFrame, threshold: float, floor: float)
 
 
 def audit(vectors: DataFrame, found: DataFrame, threshold: float, audited: int = AUDITED) -> float:
-    """The share of exact links of `audited` drawn vectors whose ends the graph has in one component; 1.0 without any."""
-    drawn = vectors.select("node", "vec").orderBy(F.xxhash64("node")).limit(audited).collect()
+    """The mean share of a drawn vector's exact links whose other end is in its component; 1.0 without any link.
+
+    Half the vectors are drawn from those in components, half from all others, so that neither a
+    large group nor the many without links outweigh the rest.
+    """
+    both = vectors.select("node", "vec").join(found.select("node", F.col("component").alias("own")), "node", "left")
+    half = lambda cond: both.where(cond).orderBy(F.xxhash64("node")).limit(audited // 2).collect()
+    drawn = half("own IS NOT NULL") + half("own IS NULL")
     queries: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for d in {len(r[1]) for r in drawn}:
         own = [r for r in drawn if len(r[1]) == d]
@@ -187,23 +208,65 @@ def audit(vectors: DataFrame, found: DataFrame, threshold: float, audited: int =
                     i, j = np.nonzero(q @ unit([batch.column(1)[int(k)] for k in at]).T >= threshold)
                     yield pa.RecordBatch.from_pydict({"a": pa.array(nodes[i], pa.int64()), "b": batch.column(0).take(pa.array(at[j]))})
 
-    links = vectors.select("node", "vec").mapInArrow(exact, "a long, b long").where("a <> b")
+    links = shared.written(vectors.select("node", "vec").mapInArrow(exact, "a long, b long").where("a <> b"), "audit")
     for x in ("a", "b"):
         links = links.join(found.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")), x, "left")
-    n, hit = links.agg(F.count("*"), F.count(F.when(F.col("of_a") == F.col("of_b"), 1))).first()
-    return hit / n if n else 1.0
+    each = links.groupBy("a").agg(F.avg(F.coalesce((F.col("of_a") == F.col("of_b")).cast("int"), F.lit(0))).alias("share"))
+    share = each.agg(F.avg("share")).first()[0]
+    return 1.0 if share is None else share
+
+
+def angles(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """members (component, node, many, vec) with angle, to the vector of their component with most neighbours."""
+    degrees = edges.groupBy("a").agg(F.count("*").alias("degree")).withColumnRenamed("a", "node")
+    light = members.select("component", "node").join(degrees, "node", "left")
+    centres = shared.written(light.groupBy("component").agg(F.max_by("node", F.struct(F.coalesce("degree", F.lit(0)), "node")).alias("node")).select("node"), "centres")
+    centre = shared.written(members.join(centres, "node").select("component", F.col("vec").alias("centre")), "centre")
+
+    def angle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                out = np.full(batch.num_rows, np.pi)
+                sizes = np.array([(len(x.as_buffer()), len(y.as_buffer())) for x, y in zip(batch.column(3), batch.column(4), strict=True)])
+                for d in np.unique(sizes[:, 0]):
+                    at = np.flatnonzero((sizes[:, 0] == d) & (sizes[:, 1] == d))
+                    if len(at):
+                        cosine = (unit([batch.column(3)[int(i)] for i in at]) * unit([batch.column(4)[int(i)] for i in at])).sum(axis=1)
+                        out[at] = np.arccos(np.clip(cosine, -1, 1))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out)], names=["component", "node", "many", "vec", "angle"])
+
+    near = members.join(centre, "component").select("component", "node", "many", "vec", "centre")
+    return shared.written(near.mapInArrow(angle, "component long, node long, many long, vec binary, angle double"), "angles")
 
 
-def counted(members: DataFrame, threshold: float) -> DataFrame:
+def counted(members: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
     """node and n_links: rows linked with each class, itself included, over all pairs inside each component.
 
-    members: component, node, many, vec. A component is cut into blocks of about PORTION classes;
-    each pair of blocks is one bounded group, of which only counts come out.
+    members: component, node, many, vec. A component is cut into blocks of about PORTION classes by
+    their angle to its centre. Two vectors whose angles to it add up to no more than the threshold's
+    are linked; if they differ by more, they are not. So each block is linked with all blocks up to
+    some angle, and only those beyond, up to another, are compared, two at a time.
     """
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / PORTION).cast("int").alias("blocks"))
-    placed = members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    asks = placed.select(F.xxhash64("component", "block", "other").alias("pair"), F.lit(True).alias("asks"), "node", "many", "vec")
-    told = placed.select(F.xxhash64("component", "other", "block").alias("pair"), F.lit(False).alias("asks"), "node", "many", "vec")
+    placed, most = angles(members, edges), math.acos(threshold)
+    sizes = placed.groupBy("component").agg(F.ceil(F.count("*") / PORTION).cast("int").alias("blocks"), F.max("angle").alias("widest"))
+    # Blocks of one angle each are of about one size where angles are spread evenly; a portion keeps them bounded elsewhere.
+    ring = F.least(F.floor(F.col("angle") / F.greatest("widest", F.lit(1e-12)) * F.sqrt("blocks")), F.floor(F.sqrt("blocks")) - 1).cast("int")
+    held = placed.join(shared.written(sizes, "sizes"), "component").withColumn("ring", F.greatest(ring, F.lit(0)))
+    rings = held.groupBy("component", "ring").agg(F.ceil(F.count("*") / PORTION).cast("int").alias("portions"), F.sum("many").alias("all"), F.min("angle").alias("low"), F.max("angle").alias("high"))
+    rings = shared.written(rings, "rings")
+    # Pairs of rings of a component: about as many as it has blocks.
+    one, two = rings.alias("o"), rings.alias("t")
+    pairs = one.join(two, F.col("o.component") == F.col("t.component")).select(F.col("o.component").alias("component"), F.col("o.ring").alias("ring"), F.col("t.ring").alias("other"), F.col("t.portions").alias("portions"), F.col("t.all").alias("all"), (F.col("o.high") + F.col("t.high")).alias("far"), F.greatest(F.col("o.low") - F.col("t.high"), F.col("t.low") - F.col("o.high")).alias("apart"))
+    pairs = shared.written(pairs.where(F.col("apart") <= most + SLACK), "pairs")
+    sure = pairs.where(F.col("far") <= most - SLACK).groupBy("component", "ring").agg(F.sum("all").alias("sure"))
+    portioned = held.join(rings.select("component", "ring", "portions"), ["component", "ring"]).withColumn("portion", F.pmod(F.xxhash64("node"), F.col("portions")).cast("int"))
+    portioned = shared.written(portioned.select("component", "ring", "portion", "node", "many", "vec"), "portioned")
+    open_ = pairs.where(F.col("far") > most - SLACK)
+    mine = rings.select("component", "ring", F.col("portions").alias("own"))
+    blocks = open_.join(mine, ["component", "ring"]).select("component", "ring", "other", F.explode(F.sequence(F.lit(0), F.col("own") - 1)).alias("portion"), "portions").select("*", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("second"))
+    blocks = shared.written(blocks.select("component", "ring", "portion", "other", "second", F.xxhash64("component", "ring", "portion", "other", "second").alias("pair")), "blocks")
+    asks = portioned.join(blocks, ["component", "ring", "portion"]).select("pair", F.lit(True).alias("asks"), "node", "many", "vec")
+    told = portioned.join(blocks.select("component", F.col("other").alias("ring"), F.col("second").alias("portion"), "pair"), ["component", "ring", "portion"]).select("pair", F.lit(False).alias("asks"), "node", "many", "vec")
     keyed = _grouped_by(asks.unionByName(told), F.col("pair")).select("__key", "asks", "node", "many", "vec")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +276,9 @@ def counted(members: DataFrame, threshold: float) -> DataFrame:
             links = (x[asks] @ x[~asks].T >= threshold) @ many[~asks]
             yield pa.RecordBatch.from_pydict({"node": pa.array(run.column(2).to_numpy()[asks], pa.int64()), "n": pa.array(links, pa.int64())})
 
-    return keyed.mapInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n_links"))
+    compared = keyed.mapInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+    out = portioned.select("component", "ring", "node").join(shared.written(sure, "sure"), ["component", "ring"], "left").join(shared.written(compared, "compared"), "node", "left")
+    return out.select("node", (F.coalesce("sure", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("n_links"))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, floor: float = FLOOR) -> DataFrame:
@@ -223,28 +288,41 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, floor: flo
     do those with a null vec_id (component_id null, kept false). Vectors of different lengths do not
     link. Rows that repeat a vec_id are rows of their own and count as links of each other when near.
     """
-    rows = packed(vectors)
-    of_class = [F.min("vec_id").alias("rep"), F.count("*").alias("many"), F.first("vec").alias("vec")]
-    nodes = shared.written(rows.where("node IS NOT NULL").groupBy("node").agg(*of_class), "vectors")
-    n = nodes.count()
-    edges = None
-    for k in range(PASSES):
-        fresh = bucket_edges(nodes, n, seed=k, tables=TABLES, floor=floor)
-        edges = refine(fresh if edges is None else edges.unionByName(fresh).distinct(), nodes, threshold, floor)
-        found = shared.written(graph.components(edges.where(F.col("sim") >= threshold).select("a", "b")), "components")
-        if audit(nodes, found, threshold) >= RECALL:
-            break
-    members = shared.written(found.join(nodes, "node"), "members")
-    links = counted(members, threshold)
-    least = members.groupBy("component").agg(F.min("rep").alias("component_id"))
-    linked = members.select("node", "component").join(links, "node").join(least, "component").select("node", "n_links", "component_id")
-    alone = nodes.select("node", F.col("many").alias("own"), "rep").join(linked, "node", "left")
-    named = alone.select("node", F.coalesce("n_links", "own").alias("all_links"), F.coalesce("component_id", "rep").alias("component_id"))
+    with shared.scratch():
+        rows = packed(vectors)
+        of_class = [F.min("vec_id").alias("rep"), F.count("*").alias("many"), F.first("vec").alias("vec")]
+        nodes = shared.written(rows.where("node IS NOT NULL").groupBy("node").agg(*of_class), "vectors")
+        n, edges, recall = nodes.count(), None, 0.0
+        for k in range(PASSES):
+            fresh = bucket_edges(nodes, n, seed=k, threshold=threshold, floor=floor)
+            edges = refine(fresh if edges is None else edges.unionByName(fresh).distinct(), nodes, threshold, floor)
+            linked = edges.where(F.col("sim") >= threshold).select("a", "b")
+            found = shared.written(graph.components(linked), "components")
+            recall = audit(nodes, found, threshold)
+            _LOG.info("pass %d: recall %.4f of %d drawn vectors", k + 1, recall, AUDITED)
+            if recall >= RECALL:
+                break
+        else:
+            _LOG.warning("recall %.4f after %d passes", recall, PASSES)
+            if recall < LEAST_RECALL:
+                raise RuntimeError(f"recall {recall:.4f} after {PASSES} passes is below {LEAST_RECALL}")
+        members = shared.written(found.join(nodes, "node").select("component", "node", "many", "vec", "rep"), "members")
+        links = counted(members.drop("rep"), linked, threshold)
+        least = members.groupBy("component").agg(F.min("rep").alias("component_id"))
+        linked = members.select("node", "component").join(links, "node").join(least, "component").select("node", "n_links", "component_id")
+        alone = nodes.select("node", F.col("many").alias("own"), "rep").join(linked, "node", "left")
+        named = alone.select("node", F.coalesce("n_links", "own").alias("all_links"), F.coalesce("component_id", "rep").alias("component_id"))
+        named = shared.written(named, "named", lasting=True)
     out = rows.select("vec_id", "node").join(named, "node", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce(F.col("all_links") - 1, F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"))
 
 
 def op5_nn_descent(spark, sf_dir: str) -> DataFrame:
-    """Links, component and survivor of every vector at cosine 0.95 or more."""
+    """Links, component and survivor of every vector at cosine 0.95 or more.
+
+    Null, empty and zero vectors, vectors with null or non-finite components and rows with a null
+    vec_id link with nothing. Repeated rows count as links of each other. An empty table gives no
+    rows; other columns are ignored. Recall is audited and logged, and the query fails below 0.9.
+    """
     return near_duplicates(shared.table(spark, sf_dir, "embeddings"))
