@@ -41,3 +41,19 @@ def test_words_stand_for_whole_texts():
 def test_empty_table(spark, nothing):
     manifest = token_files.write(nothing, shared.new_path(spark, "t"), WORD)
     assert manifest.count() == 0 and token_files.read(manifest).count() == 0
+
+
+def test_files_are_flat_and_read_by_ranges(spark, awkward, monkeypatch, tmp_path):
+    monkeypatch.setattr(token_files, "READ_DOCS", 3)
+    monkeypatch.setattr(token_files, "READ_IDS", 7)
+    manifest = token_files.write(awkward, f"file://{tmp_path}/t", WORD, partitions=2)
+    mapped = sorted(map(str, token_files.read(manifest).collect()))
+    for file in manifest.collect():
+        offsets = np.fromfile(file.path.removeprefix("file://") + ".offsets", "<i8")
+        ids = np.fromfile(file.path.removeprefix("file://") + ".ids", file.dtype)
+        assert offsets[0] == 0 and offsets[-1] == len(ids) == file.n_ids and len(offsets) == file.n_docs + 1
+        assert all(ids[e - 1] == 2 for e in offsets[1:])
+    monkeypatch.setattr(token_files.pafs, "LocalFileSystem", type("Other", (), {}))  # as a store that cannot be mapped
+    flat = token_files.Flat(file.path + ".ids", file.dtype)
+    assert flat.whole is None and flat.range(2, 9).tolist() == ids[2:9].tolist()
+    assert len(mapped) == 16

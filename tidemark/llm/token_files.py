@@ -1,10 +1,11 @@
 """Flat token-id files (operator 7).
 
-Documents are range-partitioned by id; each task writes one flat file of little-endian
-unsigned ids (16-bit where the vocabulary fits, else 32-bit) and one index of 64-bit offsets,
-under names of its own attempt. The manifest row that a task returns names the files of the attempt that counts, so a lost
-executor only leaves unread files behind. The manifest (one row a partition) is written;
-a running sum over it gives each partition's base. Reading maps the files into memory.
+Documents are range-partitioned by id; each task writes a flat file of little-endian unsigned ids
+(16-bit where the vocabulary fits, else 32-bit), one of 64-bit offsets and one of document ids, as
+the documents come, under names of its own attempt. The manifest row that a task returns names the
+files of the attempt that counts, so a lost executor only leaves unread files behind. The manifest
+(one row a partition) is written; a running sum over it gives each partition's base. Reading maps
+the files into memory, or reads them by ranges where the store is no file system.
 """
 
 from __future__ import annotations
@@ -28,14 +29,16 @@ from . import pieces, shared
 #: Words kept with their ids in a worker's memory; the cache is emptied beyond that.
 CACHE_WORDS = 400_000
 
-MANIFEST = "part int, dtype string, ids_path string, index_path string, n_docs long, n_ids long"
+MANIFEST = "part int, dtype string, path string, n_docs long, n_ids long"
+#: Documents that are read back together; their ids are read in ranges of about so many.
+READ_DOCS, READ_IDS = 10_000, 1 << 22
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 #: What a tokenizer's file must say for WordIds to hold: lower case, white space and all other
 #: separators dropped, letters in runs, bytes written as characters.
 SEPARABLE = {
-    "normalizers": ["NFC", "Replace", "Lowercase"],
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
     "split": ("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "Removed", True),
 }
 #: Bytes that byte-level tokenizers write as characters from 256 on; all others stay as they are.
@@ -46,7 +49,7 @@ def separable(tokenizer_json: str) -> bool:
     """Whether a text's ids are those of its parts between spaces and line ends, in order."""
     spec = json.loads(tokenizer_json)
     try:
-        kinds = [x["type"] for x in spec["normalizer"]["normalizers"]]
+        kinds = spec["normalizer"]["normalizers"]
         split, level = spec["pre_tokenizer"]["pretokenizers"]
         how = (split["pattern"]["Regex"], split["behavior"], split["invert"])
         plain = level["type"] == "ByteLevel" and not level["add_prefix_space"] and not level["use_regex"]
@@ -124,60 +127,73 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, pa
         by_word = separable(tokenizer.to_str())
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}"
         store, path = _open(name)
-        ids_out, doc_ids, known, offsets, at = None, [], [], [0], 0
+        out, n, at = None, 0, 0
         for batch in batches:
-            if ids_out is None:
+            if out is None:
                 store.create_dir(os.path.dirname(path), recursive=True)
-                ids_out = store.open_output_stream(path + ".ids")
-            column = batch.column(0)
-            doc_ids.append(column.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
-            known.append(np.asarray(column.is_valid()).astype("u1"))
+                out = {end: store.open_output_stream(f"{path}.{end}") for end in ("ids", "offsets", "docs")}
+                out["offsets"].write(np.zeros(1, "<i8").tobytes())
+            ends = []
             for text in batch.column(1):
                 text = text.as_py()
                 ids = (words.encode(text) if by_word else words.packed(tokenizer.encode(text, add_special_tokens=False).ids)) + end
-                ids_out.write(ids)
+                out["ids"].write(ids)
                 at += len(ids) // width
-                offsets.append(at)
-        if ids_out is None:
+                ends.append(at)
+            n += len(ends)
+            out["offsets"].write(np.asarray(ends, "<i8").tobytes())
+            column = batch.column(0)  # each document's id, and whether it has one
+            pairs = np.stack([column.fill_null(0).to_numpy(zero_copy_only=False), np.asarray(column.is_valid())], axis=1)
+            out["docs"].write(pairs.astype("<i8").tobytes())
+        if out is None:
             return
-        ids_out.close()
-        with store.open_output_stream(path + ".idx") as out:  # offsets, document ids, then which ids are known
-            out.write(np.asarray(offsets, "<i8").tobytes())
-            out.write(np.concatenate(doc_ids).tobytes())
-            out.write(np.concatenate(known).tobytes())
-        yield pa.RecordBatch.from_pydict(
-            {"part": pa.array([part], pa.int32()), "dtype": [dtype], "ids_path": [name + ".ids"], "index_path": [name + ".idx"], "n_docs": pa.array([len(offsets) - 1], pa.int64()), "n_ids": pa.array([at], pa.int64())}
-        )
+        for stream in out.values():
+            stream.close()
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "dtype": [dtype], "path": [name], "n_docs": pa.array([n], pa.int64()), "n_ids": pa.array([at], pa.int64())})
 
     manifest = shared.written(ordered.mapInArrow(encode, MANIFEST), "manifest")
     # One row a partition, so a single ordered window is bounded by the number of files.
     return manifest.withColumn("base", F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["base"])
 
 
-def mapped(path: str, dtype: str) -> np.ndarray:
-    """A file as an array: mapped into memory where the store is a file system, else read."""
-    store, inner = _open(path)
-    if isinstance(store, pafs.LocalFileSystem):
-        return np.memmap(inner, dtype, "r") if os.path.getsize(inner) else np.zeros(0, dtype)
-    with store.open_input_file(inner) as source:
-        return np.frombuffer(source.read(), dtype)
+class Flat:
+    """A file as an array: mapped into memory where the store is a file system, else read by ranges."""
+
+    def __init__(self, path: str, dtype: str):
+        store, inner = _open(path)
+        self.dtype, self.source, self.whole = np.dtype(dtype), None, None
+        if not isinstance(store, pafs.LocalFileSystem):
+            self.source = store.open_input_file(inner)
+        else:
+            self.whole = np.memmap(inner, dtype, "r") if os.path.getsize(inner) else np.zeros(0, dtype)
+
+    def range(self, start: int, stop: int) -> np.ndarray:
+        if self.whole is not None:
+            return self.whole[start:stop]
+        size = self.dtype.itemsize
+        return np.frombuffer(self.source.read_at((stop - start) * size, start * size), self.dtype)
 
 
 def read(manifest: DataFrame) -> DataFrame:
     """Reads the files of a manifest: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
 
+    def crc(ids: Flat, start: int, stop: int) -> int:
+        out = 0
+        for at in range(start, stop, READ_IDS):
+            out = zlib.crc32(ids.range(at, min(at + READ_IDS, stop)).astype("<u4"), out)
+        return out
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file in batch.to_pylist():
-                n = file["n_docs"]
-                index = mapped(file["index_path"], "u1")
-                offsets = index[: 8 * (n + 1)].view("<i8")
-                doc_ids, known = index[8 * (n + 1) : 16 * n + 8].view("<i8"), index[16 * n + 8 :].view(bool)
-                ids = mapped(file["ids_path"], file["dtype"])
-                crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                yield pa.RecordBatch.from_pydict(
-                    {"doc_id": pa.array(np.array(doc_ids), pa.int64(), mask=~known), "start": pa.array(offsets[:-1] + file["base"], pa.int64()), "n_tokens": pa.array(np.diff(offsets), pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
-                )
+                ids, offsets, docs = Flat(file["path"] + ".ids", file["dtype"]), Flat(file["path"] + ".offsets", "<i8"), Flat(file["path"] + ".docs", "<i8")
+                for first in range(0, file["n_docs"], READ_DOCS):
+                    last = min(first + READ_DOCS, file["n_docs"])
+                    own, pairs = np.array(offsets.range(first, last + 1)), np.array(docs.range(2 * first, 2 * last)).reshape(-1, 2)
+                    sums = [crc(ids, a, b) for a, b in zip(own[:-1].tolist(), own[1:].tolist(), strict=True)]
+                    yield pa.RecordBatch.from_pydict(
+                        {"doc_id": pa.array(pairs[:, 0].copy(), pa.int64(), mask=pairs[:, 1] == 0), "start": pa.array(own[:-1] + file["base"], pa.int64()), "n_tokens": pa.array(np.diff(own), pa.int64()), "ids_crc32": pa.array(sums, pa.int64())}
+                    )
 
     spark = manifest.sparkSession
     files = manifest.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
@@ -185,7 +201,12 @@ def read(manifest: DataFrame) -> DataFrame:
 
 
 def op7_token_files(spark, sf_dir: str) -> DataFrame:
-    """Token-id files of all documents, written and read back."""
+    """Token-id files of all documents, written and read back.
+
+    A null or empty text is the end id alone; null ids come first, repeated rows and ids follow each
+    other and each have their row. An empty table gives no rows. Very long texts are encoded whole;
+    other columns are ignored. There are as many files as shuffle partitions.
+    """
     import public_tokenizers
 
     docs = shared.table(spark, sf_dir, "documents")
