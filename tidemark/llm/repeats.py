@@ -194,7 +194,7 @@ def expanded(gathered: DataFrame, length: int) -> DataFrame:
     return together.mapInArrow(run, SPANS)
 
 
-PART = f"{CONTEXT}, low int, high int"
+PART = f"{CONTEXT}, low int, high int, asks boolean"
 
 
 def halves(large: DataFrame, length: int) -> DataFrame:
@@ -208,49 +208,47 @@ def halves(large: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: list[list] = [[] for _ in range(8)]
-            for grp, key, pos, n, before, text, low, high in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+            cols: list[list] = [[] for _ in range(9)]
+            for grp, key, pos, n, before, text, low, high, asks in zip(*(batch.column(i).to_pylist() for i in range(9)), strict=True):
                 after, middle = before + anchors.GRAM, (low + high) // 2
                 right, left = text[after : after + side - middle], text[max(0, before - middle - 1) : before]
                 for part, least, a, b in ((right, side - middle, low, middle), (left, middle + 1, middle + 1, high)):
                     if len(part) == least and a <= b:
                         own = hashlib.blake2b(part, digest_size=8, key=(grp & (1 << 64) - 1).to_bytes(8, "little") + bytes([a, b]))
-                        for col, v in zip(cols, (int.from_bytes(own.digest(), "little", signed=True), key, pos, n, before, text, a, b), strict=True):
+                        for col, v in zip(cols, (int.from_bytes(own.digest(), "little", signed=True), key, pos, n, before, text, a, b, asks), strict=True):
                             col.append(v)
             whole = _contexts(cols[:6])
-            ends = [pa.array(c, pa.int32()) for c in cols[6:]]
-            yield pa.RecordBatch.from_arrays([*whole.columns, *ends], names=[*whole.schema.names, "low", "high"])
+            more = [pa.array(c, k) for c, k in zip(cols[6:], (pa.int32(), pa.int32(), pa.bool_()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*whole.columns, *more], names=[*whole.schema.names, "low", "high", "asks"])
 
-    return large.select("grp", "key", "pos", "n", "before", "bytes", "low", "high").mapInArrow(run, PART)
+    return large.select("grp", "key", "pos", "n", "before", "bytes", "low", "high", "asks").mapInArrow(run, PART)
 
 
 def split(large: DataFrame, length: int) -> list[DataFrame]:
     """Spans of repeated strings in groups of any size: they are halved until all parts are small.
 
-    A part whose strings have one place for the anchor is not extended: its strings are counted. So
-    there are as many rounds as the logarithm of the places, for all groups together.
+    A context whose bytes from the first to the last string sought in a part are another's there too
+    is covered as far as they reach: it asks no more, and stays for the others that do. A part whose
+    strings have one place for the anchor is answered by that alone. So there are as many rounds as
+    the logarithm of the places, for all groups together.
     """
-    out, now = [], large.withColumns({"low": F.lit(0), "high": F.lit(length - anchors.GRAM)})
+    out, now = [], large.withColumns({"low": F.lit(0), "high": F.lit(length - anchors.GRAM), "asks": F.lit(True)})
     while not now.isEmpty():
         both = shared.written(halves(now, length).drop("n"), "halves")
-        sizes = shared.written(both.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+        sizes = shared.written(both.groupBy("grp").agg(F.count("*").alias("n"), F.bool_or("asks").alias("any")).where("n > 1 AND any").drop("any"), "sizes")
         both = shared.written(both.join(sizes, "grp"), "parts")
         out.append(expanded(both.where(F.col("n") <= GROUP), length))
-        rest = both.where(F.col("n") > GROUP)
-        out.append(_one_string(rest.where("low = high"), length))
-        now = rest.where("low < high")
+        start, reach = F.col("before") - F.col("high"), F.col("high") - F.col("low") + length
+        whole = (start >= 0) & (F.length("bytes") >= start + reach)
+        rest = both.where(F.col("n") > GROUP).withColumn("w", F.when(whole, F.xxhash64("grp", F.substring("bytes", start + 1, reach))))
+        again = shared.written(rest.where("w IS NOT NULL").groupBy("w").agg(F.count("*").alias("held")).where("held > 1").select("w", F.lit(True).alias("hit")), "again")
+        rest = shared.written(rest.join(again, "w", "left").drop("w"), "rest")
+        found = rest.where("hit AND asks")
+        out.append(found.select("key", (F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + length).alias("stop")))
+        now = rest.where("low < high").withColumn("asks", F.col("asks") & F.col("hit").isNull()).drop("hit")
     return out
 
 
-def _one_string(rest: DataFrame, length: int) -> DataFrame:
-    """The spans of the one string, with `low` bytes before the anchor, that a context may share with others of its group."""
-    start = F.col("before") - F.col("low")
-    held = rest.where((start >= 0) & (F.length("bytes") >= start + length))
-    own = held.select("key", (F.col("pos") - F.col("low")).alias("start"), F.xxhash64("grp", F.substring("bytes", start + 1, F.lit(length))).alias("w"))
-    again = shared.written(own.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w"), "again")
-    return own.join(again, "w").select("key", "start", (F.col("start") + length).alias("stop"))
-
-
 def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """key, start, stop: byte ranges whose union is what repeated strings of `length` bytes cover."""
     with shared.scratch():
