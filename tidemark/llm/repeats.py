@@ -228,9 +228,9 @@ def split(large: DataFrame, length: int) -> list[DataFrame]:
     """Spans of repeated strings in groups of any size: they are halved until all parts are small.
 
     A context whose bytes from the first to the last string sought in a part are another's there too
-    is covered as far as they reach: it asks no more, and stays for the others that do. A part whose
-    strings have one place for the anchor is answered by that alone. So there are as many rounds as
-    the logarithm of the places, for all groups together.
+    is covered as far as they reach and asks no more; one of those with the same bytes stays for the
+    others that do. A part whose strings have one place for the anchor is answered by that alone. So
+    there are as many rounds as the logarithm of the places, for all groups together.
     """
     out, now = [], large.withColumns({"low": F.lit(0), "high": F.lit(length - anchors.GRAM), "asks": F.lit(True)})
     while not now.isEmpty():
@@ -241,11 +241,12 @@ def split(large: DataFrame, length: int) -> list[DataFrame]:
         start, reach = F.col("before") - F.col("high"), F.col("high") - F.col("low") + length
         whole = (start >= 0) & (F.length("bytes") >= start + reach)
         rest = both.where(F.col("n") > GROUP).withColumn("w", F.when(whole, F.xxhash64("grp", F.substring("bytes", start + 1, reach))))
-        again = shared.written(rest.where("w IS NOT NULL").groupBy("w").agg(F.count("*").alias("held")).where("held > 1").select("w", F.lit(True).alias("hit")), "again")
+        again = shared.written(rest.where("w IS NOT NULL").groupBy("w").agg(F.count("*").alias("held"), F.min(F.struct("key", "pos")).alias("one")).where("held > 1").drop("held"), "again")
         rest = shared.written(rest.join(again, "w", "left").drop("w"), "rest")
-        found = rest.where("hit AND asks")
+        found = rest.where("one IS NOT NULL AND asks")
         out.append(found.select("key", (F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + length).alias("stop")))
-        now = rest.where("low < high").withColumn("asks", F.col("asks") & F.col("hit").isNull()).drop("hit")
+        stays = F.col("one").isNull() | ((F.col("one.key") == F.col("key")) & (F.col("one.pos") == F.col("pos")))
+        now = rest.where((F.col("low") < F.col("high")) & stays).withColumn("asks", F.col("asks") & F.col("one").isNull()).drop("one")
     return out
 
 
