@@ -1,3 +1,5 @@
+import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -38,6 +40,19 @@ def test_words_stand_for_whole_texts():
         assert np.frombuffer(words.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_random_strings_of_all_scripts():
+    tokenizer, rng = Tokenizer.from_file(WORD), random.Random(3)
+    words = token_files.WordIds(tokenizer, "<u2")
+    odd = "İıſẞßŉǰΐẗẚΣσςǅ\u212a\u2126\u0958\u0323\u0300\u0301\u0307ﬁﬆ漢字가\u1100\u1161.,;:!?'’-_ \n\t\u00a0\u200b\u3000ªºµ²½٣éÑÄABCxyz019"
+    every = [chr(i) for i in range(1, 0x3100) if unicodedata.category(chr(i))[0] != "C"]
+    texts = ["ANKARALİ.", "DEĞİL, BELİ.", "\u0958."]
+    for _ in range(30_000):
+        pool = odd if rng.random() < 0.6 else every
+        texts.append("".join(rng.choice(pool) if rng.random() < 0.8 else rng.choice("aeE .,;!") for _ in range(rng.randint(1, 14))))
+    for text, whole in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(words.encode(text), "<u2").tolist() == whole.ids, text
+
+
 def test_empty_table(spark, nothing):
     manifest = token_files.write(nothing, shared.new_path(spark, "t"), WORD)
     assert manifest.count() == 0 and token_files.read(manifest).count() == 0

@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import unicodedata
 import uuid
 import zlib
 from array import array
@@ -58,6 +59,14 @@ def separable(tokenizer_json: str) -> bool:
         return False
 
 
+def stays_letters(word: str) -> bool:
+    """Whether a word is letters only, also in NFC and lower case: a mark at its end would join the punctuation after it.
+
+    Said only of scripts below U+0530, whose letters every library's Unicode tables agree on.
+    """
+    return word.isalpha() and max(word) < "\u0530" and unicodedata.normalize("NFC", word).lower().isalpha()
+
+
 class WordIds(dict):
     """Word -> its ids as bytes, for a tokenizer that is separable()."""
 
@@ -79,7 +88,7 @@ class WordIds(dict):
                 ids = self.packed([t.id for t in self.pieces(word if word.isascii() else word.encode().decode("latin-1").translate(_SHIFTED))])
             else:
                 ids = self[low]
-        elif len(word) > 1 and word[-1] in ".,;:!?" and word[:-1].isalpha():
+        elif len(word) > 1 and word[-1] in ".,;:!?" and stays_letters(word[:-1]):
             ids = self[word[:-1]] + self[word[-1]]
         else:
             ids = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids) if word else b""
