@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ordered
+
 
 def parsed_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """metric, labels (map) and value of exposition text; comments and misfits are left out."""
@@ -27,11 +29,24 @@ def latest(samples: DataFrame, series: Sequence[str], ts: str, value: str) -> Da
     return samples.groupBy(*series).agg(F.max_by(value, ts).alias("value"), F.max(ts).alias("at"))
 
 
+def _stepped(samples: DataFrame, series: Sequence[str], order: Sequence[str], value: str) -> ordered.Ranges:
+    line = ordered.ranges(samples, series, order).scan(__before=ordered.before(F.col(value)))
+    was = F.col("__before")
+    gain = F.when(was.isNull(), F.lit(0)).when(F.col(value) < was, F.col(value)).otherwise(F.col(value) - was)
+    return line.with_columns({"increase": gain}).drop("__before")
+
+
 def steps(samples: DataFrame, series: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
-    """samples with increase: what a counter gained since the sample before; after a reset, its new value."""
-    before = F.lag(value).over(Window.partitionBy(*series).orderBy(*order))
-    gain = F.when(before.isNull(), F.lit(0)).when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
-    return samples.withColumn("increase", gain)
+    """samples with increase: what a counter gained since the sample before; after a reset, its new value.
+
+    Series are scanned by ranges of time, so that one may hold any share of the samples.
+    """
+    return _stepped(samples, series, order, value).result()
+
+
+def cumulated(counts: DataFrame, series: Sequence[str], order: Sequence[str], value: str, into: str) -> DataFrame:
+    """counts with the running sum of a column in each series."""
+    return ordered.ranges(counts, series, order).scan(**{into: ordered.total(F.col(value))}).result()
 
 
 def increase(samples: DataFrame, series: Sequence[str], order: Sequence[str], value: str, window: Column) -> DataFrame:
@@ -40,13 +55,19 @@ def increase(samples: DataFrame, series: Sequence[str], order: Sequence[str], va
 
 
 def rate(samples: DataFrame, series: Sequence[str], ts: str, value: str, seconds: int) -> DataFrame:
-    """samples with rate: the gain a second over the range of `seconds` up to each sample."""
-    order = F.unix_seconds(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(*series).orderBy(order).rangeBetween(-seconds, 0)
-    span = order - F.min(order).over(w)
-    stepped = steps(samples, series, [ts], value)
-    inside = F.sum("increase").over(w) - F.first("increase").over(w)
-    return stepped.withColumn("rate", F.when(span > 0, inside / span))
+    """samples with rate: the gain a second over the range of `seconds` up to each sample.
+
+    The gain of a range is the difference of two running sums: that at its end, and that at its first
+    sample, which an ordered lookup finds. No range of time is held in memory.
+    """
+    second = F.unix_seconds(F.col(ts).cast("timestamp"))
+    line = _stepped(samples, series, [ts], value).scan(__sum=ordered.total(F.col("increase"))).with_columns({"__s": second}).staged().result()
+    per = line.groupBy(*series, "__s").agg(F.max_by("__sum", ts).alias("__end"), F.min_by("__sum", ts).alias("__first"))
+    begun = ordered.as_of(per, per, series, F.col("__s") - seconds, F.col("__s"), ["__s", "__first"], forward=True, into="__from")
+    span = F.col("__s") - F.col("__from")["__s"]
+    rates = begun.select(*[F.col(c).alias(f"__of_{c}") for c in series], F.col("__s").alias("__at"), F.when(span > 0, (F.col("__end") - F.col("__from")["__first"]) / span).alias("rate"))
+    both = line.join(rates, ordered.same(line, rates, {**{c: f"__of_{c}" for c in series}, "__s": "__at"}), "left")
+    return both.select(*samples.columns, "increase", "rate")
 
 
 def histogram_quantile(buckets: DataFrame, series: Sequence[str], bound: str, count: str, q: float) -> DataFrame:
@@ -65,11 +86,14 @@ def histogram_quantile(buckets: DataFrame, series: Sequence[str], bound: str, co
 
 
 def sustained(samples: DataFrame, series: Sequence[str], ts: str, condition: Column, seconds: int) -> DataFrame:
-    """Runs of samples that all meet a condition, lasting at least `seconds`: first and last time, samples."""
-    w = Window.partitionBy(*series).orderBy(ts)
-    marked = samples.withColumn("__on", F.coalesce(condition, F.lit(False)))
-    runs = marked.withColumn("__run", F.sum(F.when(F.col("__on"), 0).otherwise(1)).over(w)).where("__on")
-    out = runs.groupBy(*series, "__run").agg(F.min(ts).alias("since"), F.max(ts).alias("until"), F.count("*").alias("samples")).drop("__run")
+    """Runs of samples that all meet a condition, lasting at least `seconds`: first and last time, samples.
+
+    Samples of one time stand together: one that does not meet the condition ends the run before them.
+    """
+    on = F.coalesce(condition, F.lit(False))
+    per = samples.groupBy(*series, ts).agg(F.count_if(on).alias("__on"), F.count_if(~on).alias("__off"))
+    runs = ordered.ranges(per, series, [ts]).scan(__run=ordered.total(F.col("__off"))).result().where("__on > 0")
+    out = runs.groupBy(*series, "__run").agg(F.min(ts).alias("since"), F.max(ts).alias("until"), F.sum("__on").alias("samples")).drop("__run")
     return out.where(F.timestamp_diff("SECOND", F.col("since"), F.col("until")) >= seconds)
 
 

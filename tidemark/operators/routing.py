@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import errors
+from . import ordered, working
 
 
 def result_route(status: Column) -> Column:
@@ -72,9 +73,8 @@ def depth(df: DataFrame, partition: str, offset: str) -> DataFrame:
 
 
 def batches(df: DataFrame, size: int, order: Sequence[str], within: Sequence[str]) -> DataFrame:
-    """df with batch: consecutive rows of each group, `size` to a batch, from 1."""
-    number = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
-    return df.withColumn("batch", F.ceil(number / size).cast("long"))
+    """df with batch: consecutive rows of each group, `size` to a batch, from 1. A group may hold any share of the rows."""
+    return ordered.numbered(df, within, order, "__number").withColumn("batch", F.ceil(F.col("__number") / size).cast("long")).drop("__number")
 
 
 def sampled_letters(failed: DataFrame, events: str, most: int = 3) -> DataFrame:
@@ -85,22 +85,54 @@ def sampled_letters(failed: DataFrame, events: str, most: int = 3) -> DataFrame:
 def deduplicated_within(df: DataFrame, key: Sequence[str], ts: str, order: Sequence[str], seconds: int) -> DataFrame:
     """A row stays if no row of its key that stayed lies less than `seconds` before it; rows without a time stay.
 
-    The rows of a key are sorted and folded batch by batch; what is carried is one time.
+    A key's rows are cut where a gap is that long: each run stands alone. Runs that lie in one range
+    of (key, time) are folded there, batch by batch. One that goes on over ranges (one a border at
+    most) is solved by pointers from each row to the first row `seconds` later, which double in every
+    round, so a key may hold any share of the rows.
     """
-    columns, names = df.columns, list(key)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    span, at = seconds * 1_000_000, F.col("__t")
     timed = df.withColumn("__t", F.unix_micros(F.col(ts).cast("timestamp")))
+    line = ordered.ranges(timed, key, ["__t", *order]).scan(__before=ordered.before(at))
+    starts = at.isNotNull() & (F.col("__before").isNull() | (at - F.col("__before") >= span))
+    line = line.with_columns({"__start": starts}).scan(__run=ordered.total(F.col("__start").cast("bigint")), __n=ordered.number()).staged()
+    part = F.col(ordered.PART)
+    over = line.rows.where(at.isNotNull()).groupBy(*key, "__run").agg(F.min(part).alias("__a"), F.max(part).alias("__b")).where("__a < __b")
+    # One row a border of ranges at most: numbered in one task, and broadcast.
+    over = working.staged(over.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(key)], F.col("__run").alias("__r"), F.row_number().over(Window.orderBy("__a", "__run")).alias("__long")), "long-runs")
+    marked = line.rows.join(F.broadcast(over), ordered.same(line.rows, over, {**{k: f"__key{i}" for i, k in enumerate(key)}, "__run": "__r"}), "left")
+    short = _folded(ordered.Ranges(marked.where("__long IS NULL"), line.keys, line.order, line.parts), df, [*key, "__run"], span)
+    long = marked.where("__long IS NOT NULL")
+    kept = _orbits(long.select("__long", "__n", "__t", "__start"), span)
+    return short.unionByName(long.join(kept, ["__long", "__n"], "left_semi").select(*df.columns))
+
+
+def _folded(line: ordered.Ranges, like: DataFrame, names: Sequence[str], span: int) -> DataFrame:
+    """The rows that stay of runs that lie in one range; what is carried from batch to batch is one time."""
+    columns = like.columns
 
     def fold(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, kept = None, None
+        run, kept = None, None
         for part in parts:
             stays = []
             for *own, t in zip(*[part.column(k).to_pylist() for k in (*names, "__t")], strict=True):
-                if own != last:
-                    last, kept = own, None
-                stays.append(t is None or kept is None or t - kept >= seconds * 1_000_000)
+                if own != run:
+                    run, kept = own, None
+                stays.append(t is None or kept is None or t - kept >= span)
                 if stays[-1] and t is not None:
                     kept = t
             yield part.filter(pa.array(stays, pa.bool_())).select(columns)
 
-    return timed.repartition(n, *names).sortWithinPartitions(*names, "__t", *order).mapInArrow(fold, df.schema)
+    return line.sorted().mapInArrow(fold, like.schema)
+
+
+def _orbits(rows: DataFrame, span: int) -> DataFrame:
+    """__long and __n of the rows that stay: those that a run's first row reaches by steps to the first row `span` later."""
+    jumps = ordered.as_of(rows, rows, ["__long"], F.col("__t") + span, F.col("__t"), ["__n"], ["__n"], forward=True, into="__to")
+    jumps = working.staged(jumps.where("__to IS NOT NULL").select("__long", "__n", F.col("__to")["__n"].alias("__to")), "jumps")
+    kept = rows.where("__start").select("__long", "__n")
+    while not jumps.isEmpty():
+        reached = kept.join(jumps, ["__long", "__n"]).select("__long", F.col("__to").alias("__n"))
+        kept = working.staged(kept.unionByName(reached), "kept")
+        on = jumps.select("__long", F.col("__n").alias("__to"), F.col("__to").alias("__beyond"))
+        jumps = working.staged(jumps.join(on, ["__long", "__to"]).select("__long", "__n", F.col("__beyond").alias("__to")), "jumps")
+    return kept
