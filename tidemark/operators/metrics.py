@@ -29,14 +29,15 @@ def latest(samples: DataFrame, series: Sequence[str], ts: str, value: str) -> Da
     return samples.groupBy(*series).agg(F.max_by(value, ts).alias("value"), F.max(ts).alias("at"))
 
 
-def _stepped(samples: DataFrame, series: Sequence[str], order: Sequence[str], value: str) -> ordered.Ranges:
-    line = ordered.ranges(samples, series, order).scan(__before=ordered.before(F.col(value)))
+def _stepped(samples: DataFrame | ordered.Ranges, series: Sequence[str], order: Sequence[str], value: str) -> ordered.Ranges:
+    line = samples if isinstance(samples, ordered.Ranges) else ordered.ranges(samples, series, order)
+    line = line.scan(__before=ordered.before(F.col(value)))
     was = F.col("__before")
     gain = F.when(was.isNull(), F.lit(0)).when(F.col(value) < was, F.col(value)).otherwise(F.col(value) - was)
     return line.with_columns({"increase": gain}).drop("__before")
 
 
-def steps(samples: DataFrame, series: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+def steps(samples: DataFrame | ordered.Ranges, series: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
     """samples with increase: what a counter gained since the sample before; after a reset, its new value.
 
     Series are scanned by ranges of time, so that one may hold any share of the samples.
@@ -44,30 +45,31 @@ def steps(samples: DataFrame, series: Sequence[str], order: Sequence[str], value
     return _stepped(samples, series, order, value).result()
 
 
-def cumulated(counts: DataFrame, series: Sequence[str], order: Sequence[str], value: str, into: str) -> DataFrame:
-    """counts with the running sum of a column in each series."""
-    return ordered.ranges(counts, series, order).scan(**{into: ordered.total(F.col(value))}).result()
+def cumulated(counts: DataFrame, series: Sequence[str], order: Sequence[str], value: str, into: str) -> ordered.Ranges:
+    """counts with the running sum of a column in each series, in ranges that steps() and rate() take as they are."""
+    return ordered.ranges(counts, series, order).scan(**{into: ordered.total(F.col(value))})
 
 
-def increase(samples: DataFrame, series: Sequence[str], order: Sequence[str], value: str, window: Column) -> DataFrame:
+def increase(samples: DataFrame | ordered.Ranges, series: Sequence[str], order: Sequence[str], value: str, window: Column) -> DataFrame:
     """The gain of each series in each time window."""
     return steps(samples, series, order, value).groupBy(*series, window.alias("window_start")).agg(F.sum("increase").alias("increase"))
 
 
-def rate(samples: DataFrame, series: Sequence[str], ts: str, value: str, seconds: int) -> DataFrame:
+def rate(samples: DataFrame | ordered.Ranges, series: Sequence[str], ts: str, value: str, seconds: int) -> DataFrame:
     """samples with rate: the gain a second over the range of `seconds` up to each sample.
 
     The gain of a range is the difference of two running sums: that at its end, and that at its first
     sample, which an ordered lookup finds. No range of time is held in memory.
     """
     second = F.unix_seconds(F.col(ts).cast("timestamp"))
+    columns = [c for c in (samples.rows if isinstance(samples, ordered.Ranges) else samples).columns if c != ordered.PART]
     line = _stepped(samples, series, [ts], value).scan(__sum=ordered.total(F.col("increase"))).with_columns({"__s": second}).staged().result()
     per = line.groupBy(*series, "__s").agg(F.max_by("__sum", ts).alias("__end"), F.min_by("__sum", ts).alias("__first"))
     begun = ordered.as_of(per, per, series, F.col("__s") - seconds, F.col("__s"), ["__s", "__first"], forward=True, into="__from")
     span = F.col("__s") - F.col("__from")["__s"]
     rates = begun.select(*[F.col(c).alias(f"__of_{c}") for c in series], F.col("__s").alias("__at"), F.when(span > 0, (F.col("__end") - F.col("__from")["__first"]) / span).alias("rate"))
     both = line.join(rates, ordered.same(line, rates, {**{c: f"__of_{c}" for c in series}, "__s": "__at"}), "left")
-    return both.select(*samples.columns, "increase", "rate")
+    return both.select(*columns, "increase", "rate")
 
 
 def histogram_quantile(buckets: DataFrame, series: Sequence[str], bound: str, count: str, q: float) -> DataFrame:

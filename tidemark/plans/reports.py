@@ -152,8 +152,8 @@ _STEPS = f"(SELECT *, CASE WHEN b IS NULL THEN 0 WHEN c < b THEN c ELSE c - b EN
 
 
 def _counter(spark, d):
-    e = ordered.numbered(table(spark, d, "events").select("event_type", "ts", "event_id"), ["event_type"], ["ts", "event_id"])
-    return e.select("event_type", "ts", "event_id", (F.col("number") % 100).cast("double").alias("c"))
+    e = ordered.ranges(table(spark, d, "events").select("event_type", "ts", "event_id"), ["event_type"], ["ts", "event_id"])
+    return e.scan(n=ordered.number()).with_columns({"c": (F.col("n") % 100).cast("double")})
 
 
 @QUERIES.add(f"SELECT event_type, date_trunc('day', ts) AS window_start, sum(gain) AS increase FROM {_STEPS} GROUP BY 1, 2")
@@ -166,7 +166,7 @@ def metric_increase(spark, d):
 WINDOW w AS (PARTITION BY event_type ORDER BY s RANGE BETWEEN 7200 PRECEDING AND CURRENT ROW))""")
 def metric_rate(spark, d):
     per = table(spark, d, "events").groupBy("event_type", "ts").agg(F.count("*").alias("k"))
-    counter = metrics.cumulated(per, ["event_type"], ["ts"], "k", "c").withColumn("c", (F.col("c") % 1000).cast("double"))
+    counter = metrics.cumulated(per, ["event_type"], ["ts"], "k", "c").with_columns({"c": (F.col("c") % 1000).cast("double")})
     out = metrics.rate(counter, ["event_type"], "ts", "c", 7200)
     return out.select("event_type", F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")).alias("s"), F.round("rate", 9).alias("rate"))
 
