@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, language_id, licenses, neighbours, ngram_join, packing, quality, repeats, secret_ledger, token_files
+from . import decontaminate, language_id, licenses, merkle, neighbours, ngram_join, packing, quality, repeats, secret_ledger, token_files
 
 _QUERIES = {
     "op1_quality_mil": quality.op1_quality_mil,
@@ -17,6 +17,7 @@ _QUERIES = {
     "op8_token_groups": ngram_join.op8_token_groups,
     "op9_secret_ledger": secret_ledger.op9_secret_ledger,
     "op10_language_id": language_id.op10_language_id,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -30,4 +31,5 @@ def oracle_sql():
         "op2_template_windows": decontaminate.oracle(),
         "op4_packing": packing.oracle(),
         "op6_license_digests": licenses.oracle(),
+        "op11_merkle_manifest": merkle.oracle(),
     }
