@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, language_id, licenses, merkle, neighbours, ngram_join, packing, quality, repeats, secret_ledger, token_files
+from . import alignment, decontaminate, language_id, licenses, merkle, neighbours, ngram_join, packing, quality, repeats, secret_ledger, token_files
 
 _QUERIES = {
     "op1_quality_mil": quality.op1_quality_mil,
@@ -18,6 +18,7 @@ _QUERIES = {
     "op9_secret_ledger": secret_ledger.op9_secret_ledger,
     "op10_language_id": language_id.op10_language_id,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_token_alignment": alignment.op12_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 

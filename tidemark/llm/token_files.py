@@ -43,7 +43,7 @@ SEPARABLE = {
     "split": ("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "Removed", True),
 }
 #: Bytes that byte-level tokenizers write as characters from 256 on; all others stay as they are.
-_SHIFTED = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
+SHIFTED = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
 def separable(tokenizer_json: str) -> bool:
@@ -85,7 +85,7 @@ class WordIds(dict):
         if letters and (word.isascii() or max(word) < "\u0100"):  # in NFC; lower case is one character for one
             low = word.lower()
             if low == word:
-                ids = self.packed([t.id for t in self.pieces(word if word.isascii() else word.encode().decode("latin-1").translate(_SHIFTED))])
+                ids = self.packed([t.id for t in self.pieces(word if word.isascii() else word.encode().decode("latin-1").translate(SHIFTED))])
             else:
                 ids = self[low]
         elif len(word) > 1 and word[-1] in ".,;:!?" and stays_letters(word[:-1]):
