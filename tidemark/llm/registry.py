@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import alignment, decontaminate, language_id, licenses, merkle, neighbours, ngram_join, packing, quality, repeats, secret_ledger, token_files
+from . import alignment, decontaminate, language_id, licenses, merkle, neighbours, ngram_join, packing, quality, repeats, secret_ledger, token_files, warc
 
 _QUERIES = {
     "op1_quality_mil": quality.op1_quality_mil,
@@ -19,6 +19,7 @@ _QUERIES = {
     "op10_language_id": language_id.op10_language_id,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_token_alignment": alignment.op12_token_alignment,
+    "op13_warc_captures": warc.op13_warc_captures,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -33,4 +34,5 @@ def oracle_sql():
         "op4_packing": packing.oracle(),
         "op6_license_digests": licenses.oracle(),
         "op11_merkle_manifest": merkle.oracle(),
+        "op13_warc_captures": warc.oracle(),
     }
