@@ -32,14 +32,14 @@ def test_messages_to_files_by_topic(spark, tmp_path):
 def test_a_stream_of_messages_is_added_once(spark, tmp_path):
     spark.createDataFrame([(i,) for i in range(5)], "id int").write.json(str(tmp_path / "in"))
     stream = spark.readStream.schema("id int").json(str(tmp_path / "in"))
-    table = tables.VersionedTable(spark, f"file://{tmp_path}/t")
+    table = tables.Folder(spark, f"file://{tmp_path}/t")
     for _ in range(2):
         writers.send_stream(writers.as_messages(stream, "t", F.col("id")), {"kind": "table", "table": table}, str(tmp_path / "cp")).awaitTermination()
     assert sorted(int(r.key) for r in table.read().collect()) == [0, 1, 2, 3, 4]
 
 
 def test_form_batches_go_to_two_tables_once(spark, tmp_path):
-    forms, files = (tables.VersionedTable(spark, f"file://{tmp_path}/{n}") for n in ("forms", "files"))
+    forms, files = (tables.Folder(spark, f"file://{tmp_path}/{n}") for n in ("forms", "files"))
     sink = sinks.form_writer(forms, files, "response", "form", ["damage_description"], {"c1": "first"})
     batch = spark.createDataFrame([(1, FORM)], "form int, response string")
     sink(batch, 0)
@@ -49,7 +49,7 @@ def test_form_batches_go_to_two_tables_once(spark, tmp_path):
 
 
 def test_rows_without_a_table_are_left_alone(spark, tmp_path):
-    table = tables.VersionedTable(spark, f"file://{tmp_path}/t")
+    table = sinks.entity_table(spark, f"file://{tmp_path}/t", "projects")
     rows = spark.createDataFrame([("p1",)], "project_id string")
     done = sinks.write_all({"projects": table}, {"projects": rows, "odd": rows, "tasks": rows, "media": rows.limit(0)}, F.current_timestamp())
     assert done == {"projects": 1} and set(table.read().columns) == {"project_id", "created_at", "updated_at"}

@@ -28,7 +28,7 @@ def test_first_row_of_each_key_within_a_day(spark, tmp_path):
 def test_batches_fan_out_and_restart_where_they_stopped(spark, tmp_path):
     schema = "type string, version int, utcDateTime string, traceId string, data string"
     rows = [(f"x.y.kind{i % 2}", 1, "2024-01-01T00:00:00Z", f"t{i}", '{"attachments": ["f.pdf"], "assignmentId": "A"}' if i % 2 else "{bad") for i in range(6)]
-    events, tasks = tables.VersionedTable(spark, f"file://{tmp_path}/events"), tables.VersionedTable(spark, f"file://{tmp_path}/tasks")
+    events, tasks = tables.Folder(spark, f"file://{tmp_path}/events"), tables.Folder(spark, f"file://{tmp_path}/tasks")
     sink = pipelines.fan_out_sink({"events": (flatten.flatten_events, events.append), "tasks": (lambda b: flatten.flatten_events(b).where("attachments <> ''").select("trace_id", "attachments"), tasks.append)})
     for part in (rows[:4], rows[4:]):
         stream = files(spark, tmp_path / "in", [part], schema)
@@ -90,8 +90,8 @@ def test_sources(spark, tmp_path):
     (tmp_path / "m.txt").write_text('# HELP x\nx_total{topic="a",le="+Inf"} 3\nup 1\nbad line here\ny NaN\n')
     got = {r.metric: (r.labels, r.value) for r in readers.exposition(spark, str(tmp_path / "m.txt")).collect()}
     assert got["x_total"] == ({"topic": "a", "le": "+Inf"}, 3.0) and got["up"] == ({}, 1.0) and "bad" not in got
-    a = generators.events(spark, 100, 1, 5)
-    assert a.exceptAll(generators.events(spark, 100, 1, 5)).isEmpty()
+    a = generators.events(spark.range(100), 1, 5)
+    assert a.exceptAll(generators.events(spark.range(100), 1, 5)).isEmpty()
     assert a.select("event_id").distinct().count() == 100
     assert readers.message_stream(spark, {"kind": "rate"}).isStreaming
 

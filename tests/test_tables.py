@@ -46,55 +46,40 @@ def test_batch_is_coalesced_like_a_dictionary(spark, batch):
     assert rows(got) == sorted(((k, *v) for k, v in want.items()), key=str)
 
 
-def test_versions_appends_tokens_and_time_travel(spark, tmp_path):
-    table = tables.VersionedTable(spark, f"file://{tmp_path}/t")
+def test_appends_are_aligned_and_once_for_a_token(spark, tmp_path):
+    table = tables.Folder(spark, f"file://{tmp_path}/t", partition_by=["id"])
     assert not table.exists()
-    table.merge(spark.createDataFrame([(1, 1, "a"), (2, 1, None), (3, 2, "b")], "n int, id int, v string"), ["id"], ["n"])
-    assert rows(table.read().drop("n")) == [(1, "a"), (2, "b")]
-    table.merge(spark.createDataFrame([(4, 2, "B"), (5, 3, "c")], "n int, id int, v string"), ["id"], ["n"])
-    assert rows(table.read().drop("n")) == [(1, "a"), (2, "B"), (3, "c")]
-    assert rows(table.read(1).drop("n")) == [(1, "a"), (2, "b")]
-    assert table.append_token(spark.createDataFrame([("6", "4", "x")], "n string, id string, v string"), "t1")
-    assert not table.append_token(spark.createDataFrame([("6", "4", "x")], "n string, id string, v string"), "t1")
-    assert table.read().count() == 4 and dict(table.read().dtypes)["id"] == "int"
-    table.cluster(["id"], 2)
-    table.vacuum(1)
-    assert len(table.versions()) == 1 and table.read().count() == 4
-
-
-def test_appended_columns_are_read_every_time(spark, tmp_path):
-    for i in range(8):
-        table = tables.VersionedTable(spark, f"file://{tmp_path}/t{i}")
-        table.append(spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"), ["id"])
-        table.append(spark.createDataFrame([(3, "c", 1.5)], "id int, name string, extra double"), ["id"])
-        assert table.read().columns == ["id", "name", "extra"]
-        assert rows(table.read()) == [(1, "a", None), (2, "b", None), (3, "c", 1.5)]
-        assert rows(table.read(1)) == [(1, "a"), (2, "b")]
-
-
-def test_of_two_writers_of_a_version_one_comes_after_the_other(spark, tmp_path, monkeypatch):
-    table = tables.VersionedTable(spark, f"file://{tmp_path}/t")
-    one, two = (spark.createDataFrame([(i,)], "id int") for i in (1, 2))
-    claim, calls = tables.VersionedTable._claim, []
-
-    def raced(self, version, entry):
-        if not calls:  # another writer commits between this one's listing and its commit
-            calls.append(version)
-            tables.VersionedTable(spark, table.path).append(two)
-        return claim(self, version, entry)
-
-    monkeypatch.setattr(tables.VersionedTable, "_claim", raced)
-    table.append(one)
-    assert table.versions() == [1, 2] and rows(table.read()) == [(1,), (2,)] and rows(table.read(1)) == [(2,)]
-    assert [r.rows_affected for r in table.history().collect()] == [1, 1]
-
-
-def test_a_repeated_append_adds_nothing(spark, tmp_path):
-    table = tables.VersionedTable(spark, f"file://{tmp_path}/t")
+    table.append(spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"))
     for _ in range(2):
-        table.append(spark.createDataFrame([(1,)], "id int"), token="a")
-    table.append(spark.createDataFrame([(1,)], "id int"), token="b")
-    assert rows(table.read()) == [(1,), (1,)] and table.versions() == [1, 2]
+        table.append(spark.createDataFrame([("3", "c", 1.5), ("x", "d", 2.5)], "id string, name string, extra double"), token="checkpoint#7")
+    assert sorted(table.read().columns) == ["extra", "id", "name"]
+    assert rows(table.read().select("id", "name", "extra")) == sorted([(1, "a", None), (2, "b", None), (3, "c", 1.5), (None, "d", 2.5)], key=str)
+    assert [(w.rows, w.new_columns) for w in table.history] == [(2, ()), (2, ("extra",)), (2, ())]
+    assert table.append(spark.createDataFrame([], "id int")).rows == 0
+
+
+def files(path):
+    return {str(f): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_a_merge_writes_only_the_buckets_that_it_meets(spark, tmp_path):
+    table = tables.Folder(spark, f"file://{tmp_path}/t", keys=["id"])
+    table.merge(spark.createDataFrame([(i, i, "a") for i in range(200)] + [(7, 7, None), (0, None, "n")], "n int, id int, v string"), ["n"])
+    before = files(tmp_path / "t")
+    assert table.read().count() == 201
+    table.merge(spark.createDataFrame([(1, "7", "B", True), (2, "500", "c", None)], "n int, id string, v string, more boolean"), ["n"])
+    after = files(tmp_path / "t")
+    assert len(set(before) & set(after)) >= len(before) - 2 and all(before[f] == after[f] for f in set(before) & set(after))
+    got = {r.id: (r.v, r.more) for r in table.read().collect()}
+    assert len(got) == 202 and got[7] == ("B", True) and got[500] == ("c", None) and got[8] == ("a", None) and got[None] == ("n", None)
+
+
+def test_a_merge_that_deletes_leaves_no_rows_behind(spark, tmp_path):
+    table = tables.Folder(spark, f"file://{tmp_path}/t", keys=["id"], buckets=4)
+    df = spark.createDataFrame([(i, i) for i in range(8)], "n int, id int")
+    table.merge(df, ["n"])
+    table.merge(df.where("id < 8"), ["n"], when_matched="delete")
+    assert not list((tmp_path / "t").rglob("*.parquet"))
 
 
 def test_layout_columns():

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
 from . import flatten, forms
-from .tables import VersionedTable
+from .tables import Folder
 
 #: Keys of the entity tables. Fixed values.
 MERGE_KEYS = {
@@ -73,29 +73,35 @@ def with_audit(rows: DataFrame, now: Column) -> DataFrame:
     return rows.withColumns({c: F.coalesce(F.col(c), now) if c in rows.columns else now for c in ("created_at", "updated_at")})
 
 
-def write_rows(table: VersionedTable, name: str, rows: DataFrame, now: Column, order: Sequence[str] = ("updated_at",)) -> int:
-    """Rows into an entity table, in the way of that table: append, merge or merge under a condition."""
+def entity_table(spark: SparkSession, path: str, name: str) -> Folder:
+    """The table of an entity: appended to, or merged by its keys."""
+    return Folder(spark, path, () if name in APPENDED else MERGE_KEYS[name])
+
+
+def write_rows(table: Folder, name: str, rows: DataFrame, now: Column, order: Sequence[str] = ("updated_at",)) -> int:
+    """Rows into an entity table, in the way of that table: append, merge or merge under a condition. Returns how many were written."""
     rows = with_audit(rows, now)
     if name in APPENDED:
-        return table.append(rows)
-    return table.merge(rows, MERGE_KEYS[name], order, condition=CONDITIONS.get(name))
+        return table.append(rows).rows
+    return table.merge(rows, order, condition=CONDITIONS.get(name)).rows
 
 
-def write_all(tables: Mapping[str, VersionedTable], rows: Mapping[str, DataFrame], now: Column) -> dict[str, int]:
-    """The rows of a batch into their tables; names without keys and tables without rows are left alone."""
-    return {name: write_rows(tables[name], name, df, now) for name, df in rows.items() if name in MERGE_KEYS and name in tables and not df.isEmpty()}
+def write_all(tables: Mapping[str, Folder], rows: Mapping[str, DataFrame], now: Column) -> dict[str, int]:
+    """The rows of a batch into their tables, and how many rows each write wrote; names without keys or a table are left alone."""
+    done = {name: write_rows(tables[name], name, df, now) for name, df in rows.items() if name in MERGE_KEYS and name in tables}
+    return {name: n for name, n in done.items() if n}
 
 
-def mapped_writer(table: VersionedTable, mapping: dict[str, str], partition_by: Sequence[str] = (), defaults: dict | None = None) -> Callable[[DataFrame, int], None]:
+def mapped_writer(table: Folder, mapping: dict[str, str], defaults: dict | None = None) -> Callable[[DataFrame, int], None]:
     """A sink for batches: output columns from input paths, appended once a batch with new columns kept."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table.append(flatten.mapped(batch, mapping, defaults), partition_by, token=f"batch {batch_id}")
+        table.append(flatten.mapped(batch, mapping, defaults), token=f"batch {batch_id}")
 
     return sink
 
 
-def form_writer(submissions: VersionedTable, attachments: VersionedTable, response: str, key: str, fields: Sequence[str], controls: dict[str, str]) -> Callable[[DataFrame, int], None]:
+def form_writer(submissions: Folder, attachments: Folder, response: str, key: str, fields: Sequence[str], controls: dict[str, str]) -> Callable[[DataFrame, int], None]:
     """A sink for batches of forms with two tables: one row a form, and one row an attachment, each once a batch."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -107,6 +113,13 @@ def form_writer(submissions: VersionedTable, attachments: VersionedTable, respon
     return sink
 
 
+def counted(df: DataFrame, write: Callable[[DataFrame], None], **counts: Column) -> dict[str, int]:
+    """Writes df and returns the named aggregates over it, computed by the write's own pass."""
+    seen = Observation()
+    write(df.observe(seen, *[c.alias(name) for name, c in counts.items()]))
+    return dict(seen.get)
+
+
 def committed(letters: DataFrame, done: Column | None = None) -> DataFrame:
     """topic, partition and next offset after the messages that are done; done=None: all (a purge)."""
     own = letters if done is None else letters.where(done)

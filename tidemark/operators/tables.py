@@ -1,23 +1,19 @@
-"""Reads and writes of tables: scans, keyset and watermark reads, aligned append, keyed merge.
-
-A table is a folder of Parquet folders and of commits: `_commits/<n>` names the folders and the
-schema of version n. A reader never sees a version that is being written, since its commit comes
-after its files, and of two writers of one version only one can make the commit.
-"""
+"""Reads and writes of tables: scans, keyset and watermark reads, aligned append, keyed merge."""
 
 from __future__ import annotations
 
-import datetime
-import json
-import os
+import time
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import working
+
 # --- reads -----------------------------------------------------------------------------------
 
 
@@ -167,7 +163,6 @@ def appended_once(df: DataFrame, event_key: str, key: str, order: Sequence[str])
 # --- files -----------------------------------------------------------------------------------
 
 
-HISTORY = "version int, operation string, rows_affected long, token string, committed_at string, columns array<string>, schema_changes array<string>"
 #: Columns by which tables are laid out, by a part of their name. Fixed values.
 LAYOUT_COLUMNS = {
     "inventory": ["created_date", "status", "trace_id"],
@@ -181,132 +176,88 @@ def layout_columns(path: str, filters: Sequence[str] = ()) -> list[str]:
     return list(filters) or next((c for part, c in LAYOUT_COLUMNS.items() if part in path.lower()), ["created_date"])
 
 
+#: Partition columns of a Folder: what was appended together, and the bucket of a row's keys.
+BATCH, BUCKET = "__batch", "__bucket"
+
+
+@dataclass(frozen=True)
+class Written:
+    """What one write did. rows is counted by the write itself."""
+
+    operation: str
+    rows: int
+    new_columns: tuple[str, ...] = ()
+    token: str | None = None
+
+
 @dataclass
-class VersionedTable:
-    """A table of versions below a path that Spark can write. Appends share the folders of older versions."""
+class Folder:
+    """A table as a folder of Parquet files, written by Spark's own writer alone.
+
+    Without keys it is appended to: each append is a partition of its own, named by its token, so that
+    one that comes again replaces itself. With keys it is merged into: rows lie in buckets of their
+    keys, and a merge reads and writes only the buckets that its batch's keys meet. Snapshots,
+    concurrent writers, time travel, compaction and vacuum are a table format's work and not done here.
+    """
 
     spark: SparkSession
     path: str
-    #: How often a write is tried again when another writer has taken its version.
-    attempts: int = 10
-
-    def _fs(self, path: str):
-        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
-
-    def versions(self) -> list[int]:
-        fs, at = self._fs(f"{self.path}/_commits")
-        return sorted(int(s.getPath().getName()) for s in fs.listStatus(at) if s.getPath().getName().isdigit()) if fs.exists(at) else []
+    keys: Sequence[str] = ()
+    partition_by: Sequence[str] = ()
+    buckets: int = 32
+    history: list[Written] = field(default_factory=list)
 
     def exists(self) -> bool:
-        return bool(self.versions())
-
-    def _commit(self, version: int) -> dict:
-        fs, at = self._fs(f"{self.path}/_commits/{version}")
-        source = fs.open(at)
-        try:
-            return json.loads(bytes(source.readAllBytes()).decode())
-        finally:
-            source.close()
-
-    def _claim(self, version: int, entry: dict) -> bool:
-        """Makes the commit of a version, whole or not at all; False if another writer has made it."""
-        name, final = f"{self.path}/_commits/.{uuid.uuid4().hex}", f"{self.path}/_commits/{version}"
-        fs, at = self._fs(name)
-        out = fs.create(at, False)
-        out.write(bytearray(json.dumps(entry).encode()))
-        out.close()
-        if fs.getScheme() == "file":  # a rename there would replace the other commit
-            try:
-                os.link(at.toUri().getPath(), self._fs(final)[1].toUri().getPath())
-                return True
-            except FileExistsError:
-                return False
-            finally:
-                fs.delete(at, False)
-        claimed = fs.rename(at, self._fs(final)[1])  # false where the name is taken
-        if not claimed:
-            fs.delete(at, False)
-        return bool(claimed)
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The newest version, or an older one (time travel), with the schema that it was committed with."""
-        commit = self._commit(self.versions()[-1] if version is None else version)
-        schema = T.StructType.fromJson(commit["schema"])
-        whole = T.StructType([*schema.fields, T.StructField("__data", T.StringType())])  # the folders are partitions of one table
-        reader = self.spark.read.schema(whole).option("basePath", self.path)
-        return reader.parquet(*[f"{self.path}/{f}" for f in commit["folders"]]).select(*[f"`{n}`" for n in schema.names])
-
-    def _written(self, df: DataFrame, partition_by: Sequence[str]) -> tuple[str, int]:
-        folder = f"__data={uuid.uuid4().hex}"
-        df.write.partitionBy(*partition_by).parquet(f"{self.path}/{folder}")
-        return folder, self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}").count()
-
-    def _add(self, make, operation: str, partition_by: Sequence[str] = (), keep: bool = False, token: str | None = None) -> int:
-        """Commits make(), which gives the rows to write for the table as it is now; again if another writer was first.
-
-        keep: the older folders stay part of the table, and new ones are partitioned as they are.
-        """
-        for _ in range(self.attempts):
-            last = (self.versions() or [0])[-1]
-            old = self._commit(last) if last else {"folders": [], "schema": T.StructType().jsonValue(), "tokens": [], "partition_by": list(partition_by)}
-            if token is not None and token in old["tokens"]:
-                return last
-            df = make()
-            before, by = T.StructType.fromJson(old["schema"]), old["partition_by"] if keep else list(partition_by)
-            folder, rows = self._written(df, by)
-            now = datetime.datetime.now(datetime.UTC).isoformat()
-            changes = [f"+{n}" for n in df.columns if n not in before.names] if last else []
-            entry = {"version": last + 1, "operation": operation, "rows_affected": rows, "token": token, "committed_at": now, "columns": df.columns, "schema_changes": changes}
-            entry |= {"schema": df.schema.jsonValue(), "partition_by": by, "folders": [*(old["folders"] if keep else []), folder], "tokens": [*old["tokens"], *([token] if token is not None else [])]}
-            if self._claim(last + 1, entry):
-                return last + 1
-            fs, at = self._fs(f"{self.path}/{folder}")
-            fs.delete(at, True)
-        raise OSError(f"{self.path}: other writers were first {self.attempts} times")
-
-    def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """A new version of these rows alone."""
-        return self._add(lambda: df, "replace", partition_by)
-
-    def append(self, df: DataFrame, partition_by: Sequence[str] = (), token: str | None = None) -> int:
-        """A new version with further rows, aligned to the table's schema: further columns are added, misfits become null.
-
-        A token is committed with the rows: an append with one that the table has adds nothing.
-        """
-        return self._add(lambda: align(df, self.read().schema) if self.exists() else df, "append", partition_by, keep=True, token=token)
-
-    def merge(self, source: DataFrame, keys: Sequence[str], order: Sequence[str], partition_by: Sequence[str] = (), **options) -> int:
-        """Merges a batch (its rows of one key coalesced in order) into a new version; creates the table if missing."""
-        batch = coalesced_by_key(source, keys, order)
-        return self._add(lambda: merged(self.read(), batch, keys, **options) if self.exists() else batch, "merge", partition_by)
-
-    def append_token(self, df: DataFrame, token: str) -> bool:
-        """Appends once for each token; says whether it did."""
-        before = self.versions()
-        return self.append(df, token=token) not in before
-
-    def history(self) -> DataFrame:
-        """One row for each version: what was done, rows written, token, time, columns and columns added."""
-        names = T.StructType.fromDDL(HISTORY).names
-        return self.spark.createDataFrame([tuple(c[n] for n in names) for c in map(self._commit, self.versions())], HISTORY)
-
-    def vacuum(self, keep: int) -> None:
-        """Deletes all but the newest versions, and the folders that only those had."""
-        gone, kept = self.versions()[:-keep], self.versions()[-keep:]
-        needed = {f for v in kept for f in self._commit(v)["folders"]}
-        for v in gone:
-            for name in [*(f for f in self._commit(v)["folders"] if f not in needed), f"_commits/{v}"]:
-                fs, at = self._fs(f"{self.path}/{name}")
-                fs.delete(at, True)
-
-    def cluster(self, columns: Sequence[str], files: int) -> int:
-        """A new version laid out by ranges of columns and sorted inside files."""
-        return self._add(lambda: self.read().repartitionByRange(files, *columns).sortWithinPartitions(*columns), "cluster")
-
-
-def table_statistics(named: dict[str, VersionedTable]) -> DataFrame:
-    """One row for each table: versions, rows and columns of the newest."""
-    spark = next(iter(named.values())).spark
-    rows = [(name, len(t.versions()), t.read().count() if t.exists() else 0, len(t.read().columns) if t.exists() else 0) for name, t in named.items()]
-    return spark.createDataFrame(rows, "table string, versions int, rows long, columns int")
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+    def _files(self) -> DataFrame:
+        return self.spark.read.option("mergeSchema", True).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        """All rows; columns that only some writes had are null in the others."""
+        return self._files().drop(BATCH, BUCKET)
+
+    def _write(self, df: DataFrame, by: Sequence[str], operation: str, token: str | None, before: Sequence[str]) -> Written:
+        seen = Observation()
+        out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out.partitionBy(*by).parquet(self.path)
+        new = [c for c in df.columns if c not in (*before, BATCH, BUCKET)] if before else []
+        self.history.append(Written(operation, seen.get.get("rows", 0), tuple(new), token))
+        return self.history[-1]
+
+    def append(self, df: DataFrame, token: str | None = None) -> Written:
+        """Adds rows, aligned to the table's columns: further columns are added, misfits become null. Once for each token."""
+        had = self.read().schema if self.exists() else None
+        rows = align(df, had) if had else df
+        batch = token if token is not None else f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        return self._write(rows.withColumn(BATCH, F.lit(f"b {batch}")), [BATCH, *self.partition_by], "append", token, had.names if had else ())
+
+    def merge(self, source: DataFrame, order: Sequence[str], **options) -> Written:
+        """merged() with a batch whose rows of one key are first coalesced in order. Buckets without its keys stay as they are."""
+        bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets)).cast("int")
+        had = self.read().schema if self.exists() else None
+        batch = coalesced_by_key(align(source, T.StructType([f for f in had if f.name in source.columns])) if had else source, self.keys, order)
+        batch = working.staged(batch.withColumn(BUCKET, bucket), "batch")
+        rows = batch
+        if had:
+            met = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most as many as there are buckets
+            old = self._files().where(F.col(BUCKET).isin(met)).drop(BUCKET)
+            rows = working.staged(merged(old, batch.drop(BUCKET), self.keys, **options).withColumn(BUCKET, bucket), "merged")
+            left = {r[0] for r in rows.select(BUCKET).distinct().collect()}
+            for gone in sorted(set(met) - left):  # a merge that deletes may leave a bucket without rows
+                at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{BUCKET}={gone}")
+                at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        return self._write(rows.repartition(BUCKET), [BUCKET], "merge", None, had.names if had else ())
+
+
+def write_history(folder: Folder) -> DataFrame:
+    """One row for each write of a Folder in this session: version, operation, rows_affected, schema_changes."""
+    rows = [(n, w.operation, w.rows, [f"+{c}" for c in w.new_columns]) for n, w in enumerate(folder.history, 1)]
+    return folder.spark.createDataFrame(rows, "version int, operation string, rows_affected long, schema_changes array<string>")
+
+
+def table_statistics(named: dict[str, Folder]) -> DataFrame:
+    """One row for each table: writes of this session, rows and columns."""
+    parts = [t.read().agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), F.lit(len(t.history)).alias("versions"), "rows", F.lit(len(t.read().columns)).alias("columns")) for name, t in named.items()]
+    return reduce(DataFrame.unionByName, parts)

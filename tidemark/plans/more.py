@@ -95,9 +95,9 @@ def path_parts(spark, d):
 
 @QUERIES.add("SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS o_totalprice FROM orders")
 def versioned_merge(spark, d):
-    """A table written, merged in a new version and read back."""
-    t = new_table(spark)
+    """A table laid out by its keys, merged into and read back."""
+    t = new_table(spark, keys=["o_orderkey"])
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    t.replace(o)
-    t.merge(o.where("o_orderkey % 10 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_orderkey"], ["o_totalprice"])
+    t.merge(o, ["o_totalprice"])
+    t.merge(o.where("o_orderkey % 10 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_totalprice"])
     return t.read()

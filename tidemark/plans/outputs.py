@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import errors
-from ..operators import entities, plugins, routing, sinks, tables
+from ..operators import entities, plugins, routing, sinks, tables, working
 from ..sources import generators, writers
 from .registry import Queries, new_table, table
 
@@ -38,9 +38,9 @@ def inventory_sink(spark, d):
 
 @QUERIES.add("SELECT 'm' || event_id AS media_id, 'Unknown error' AS error_message, 'failed_permanent' AS status, event_id % 5 + CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS retry_count FROM events WHERE event_id % 3 = 1")
 def failed_sink(spark, d):
-    t, rows = new_table(spark), sinks.failed_rows(_results(spark, d), _now())
-    t.merge(rows, ["media_id"], ["failed_at"])
-    t.merge(rows.where("media_id LIKE '%0' OR media_id LIKE '%2' OR media_id LIKE '%4' OR media_id LIKE '%6' OR media_id LIKE '%8'").withColumn("retry_count", F.col("retry_count") + 1), ["media_id"], ["failed_at"])
+    t, rows = new_table(spark, keys=["media_id"]), sinks.failed_rows(_results(spark, d), _now())
+    t.merge(rows, ["failed_at"])
+    t.merge(rows.where("media_id LIKE '%0' OR media_id LIKE '%2' OR media_id LIKE '%4' OR media_id LIKE '%6' OR media_id LIKE '%8'").withColumn("retry_count", F.col("retry_count") + 1), ["failed_at"])
     return t.read().select("media_id", "error_message", "status", "retry_count")
 
 
@@ -52,8 +52,8 @@ def tracking_rows(spark, d):
 @QUERIES.add("SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(coalesce(CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) END, DATE '2026-02-01') AS VARCHAR) AS event_date FROM events WHERE event_type <> 'error'")
 def domain_event_sink(spark, d):
     e = table(spark, d, "events").select(F.col("event_id").cast("string"), F.nullif("event_type", F.lit("error")).alias("event_type"), F.col("user_id").cast("string").alias("project_id"), F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("ingested_at"), F.lit("{}").alias("raw_data"))
-    t = new_table(spark)
-    t.append(sinks.domain_event_rows(e, F.lit(_NOW).cast("timestamp")), ["event_date"])
+    t = new_table(spark, partition_by=["event_date"])
+    t.append(sinks.domain_event_rows(e, F.lit(_NOW).cast("timestamp")))
     return t.read().select("event_id", "event_type", F.col("event_date").cast("string").alias("event_date"))
 
 
@@ -68,7 +68,7 @@ UNION ALL SELECT 'contacts', 2 * count(*), CAST(2 * count(*) AS BIGINT) FROM sup
 UNION ALL SELECT 'task_templates', count(*), CAST(sum(CASE WHEN s_suppkey % 2 = 0 THEN 2 ELSE 1 END) AS BIGINT) FROM supplier""")
 def entity_sinks(spark, d):
     """Two batches into three tables: merged, appended, and merged where the modified date differs."""
-    targets = {name: new_table(spark) for name in ("projects", "contacts", "task_templates")}
+    targets = {name: sinks.entity_table(spark, working.new_path(spark, name), name) for name in ("projects", "contacts", "task_templates")}
     k = F.col("s_suppkey")
     for v in (1, 2):
         s = table(spark, d, "supplier").withColumn("v", F.lit(v))
@@ -86,12 +86,12 @@ def entity_sinks(spark, d):
 @QUERIES.add("SELECT event_id AS id, event_type AS kind, 'none' AS note, CASE WHEN event_id % 2 = 0 THEN user_id END AS owner FROM events")
 def plugin_sink(spark, d):
     """Two batches through a column mapping; the second has a further column, and a repeated batch adds nothing."""
-    t, e = new_table(spark), table(spark, d, "events").select("event_id", "event_type", "user_id")
+    t, e = new_table(spark, partition_by=["kind"]), table(spark, d, "events").select("event_id", "event_type", "user_id")
     first, second = e.where("event_id % 2 = 1"), e.where("event_id % 2 = 0")
-    plain = sinks.mapped_writer(t, {"id": "event_id", "kind": "event_type"}, ["kind"], {"note": "none"})
+    plain = sinks.mapped_writer(t, {"id": "event_id", "kind": "event_type"}, {"note": "none"})
     plain(first, 0)
     plain(first, 0)
-    sinks.mapped_writer(t, {"id": "event_id", "kind": "event_type", "owner": "user_id"}, ["kind"], {"note": "none"})(second, 1)
+    sinks.mapped_writer(t, {"id": "event_id", "kind": "event_type", "owner": "user_id"}, {"note": "none"})(second, 1)
     return t.read().select("id", "kind", "note", "owner")
 
 
@@ -108,7 +108,7 @@ def message_sink(spark, d):
 
 @QUERIES.add("SELECT event_id, event_type FROM events WHERE event_id % 10 = 0")
 def payload_files(spark, d):
-    path = f"{new_table(spark).path}-payloads"
+    path = working.new_path(spark, "payloads")
     writers.payload_files(table(spark, d, "events").where("event_id % 10 = 0"), path, ["event_id", "event_type"])
     return spark.read.schema("event_id long, event_type string").json(path)
 
@@ -192,25 +192,34 @@ def dlq_resolve(spark, d):
     return sinks.resolved(e.select("event_id"), status, ["event_id"])
 
 
-@QUERIES.add("SELECT 1 AS version, 'append' AS operation, (SELECT count(*) FROM nation) AS rows_affected, '' AS schema_changes UNION ALL SELECT 2, 'append', (SELECT count(*) FROM region), '+r_name' UNION ALL SELECT 3, 'merge', (SELECT count(*) FROM nation) + (SELECT count(*) FROM region), ''")
+@QUERIES.add("SELECT 1 AS version, 'append' AS operation, (SELECT count(*) FROM events) AS rows_affected, '' AS schema_changes UNION ALL SELECT 2, 'append', (SELECT count(*) FROM events WHERE event_type = 'click'), '+value' UNION ALL SELECT 3, 'append', (SELECT count(*) FROM events WHERE event_type = 'view'), ''")
 def write_history(spark, d):
-    t = new_table(spark)
-    t.append(table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), "n_name"))
-    t.append(table(spark, d, "region").select((F.col("r_regionkey") + 1000).alias("k"), "r_name"))
-    t.merge(t.read().limit(3), ["k"], ["k"])
-    return t.history().select("version", "operation", "rows_affected", F.array_join("schema_changes", ",").alias("schema_changes"))
+    """Each write with its rows, counted by the write itself, and the columns that it added."""
+    t, e = new_table(spark), table(spark, d, "events")
+    t.append(e.select("event_id", "event_type"))
+    t.append(e.where("event_type = 'click'").select("event_id", "event_type", "value"))
+    t.append(e.where("event_type = 'view'").select("event_id"))
+    return tables.write_history(t).withColumn("schema_changes", F.array_join("schema_changes", ","))
 
 
-@QUERIES.add("SELECT 'nation' AS \"table\", 2 AS versions, (SELECT 2 * count(*) FROM nation) AS rows, 4 AS columns UNION ALL SELECT 'region', 1, (SELECT count(*) FROM region), 2")
+@QUERIES.add("SELECT 'events' AS \"table\", 2 AS versions, (SELECT count(*) + count(*) FILTER (event_id % 2 = 0) FROM events) AS rows, 4 AS columns UNION ALL SELECT 'orders', 1, (SELECT count(*) FROM orders), 2")
 def table_statistics(spark, d):
-    named = {"nation": new_table(spark), "region": new_table(spark)}
-    n = table(spark, d, "nation")
-    named["nation"].append(n)
-    named["nation"].append(n.withColumn("extra", F.lit(1)))
-    named["region"].append(table(spark, d, "region"))
+    named = {"events": new_table(spark), "orders": new_table(spark)}
+    e = table(spark, d, "events").select("event_id", "user_id", "ts")
+    named["events"].append(e)
+    named["events"].append(e.where("event_id % 2 = 0").withColumn("extra", F.lit(1)))
+    named["orders"].append(table(spark, d, "orders").select("o_orderkey", "o_totalprice"))
     return tables.table_statistics(named)
 
 
+@QUERIES.add("SELECT count(*) AS written, count(*) FILTER (event_type = 'error') AS failed, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events")
+def observed_counts(spark, d):
+    """Counters that ride on a write: no second pass over the rows."""
+    e, path = table(spark, d, "events").select("event_id", "event_type"), working.new_path(spark, "counted")
+    counts = sinks.counted(e, lambda rows: rows.write.parquet(path), written=F.count(F.lit(1)), failed=F.count_if(F.col("event_type") == "error"), id_sum=F.sum("event_id"))
+    return spark.createDataFrame([counts], "written long, failed long, id_sum long")
+
+
 @QUERIES.add("SELECT event_id FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) r FROM events) WHERE r > 50")
 def cache_eviction(spark, d):
     return sinks.evicted(table(spark, d, "events").select("event_id", "ts"), "ts", "event_id", 500).select("event_id")
@@ -250,22 +259,22 @@ _LOW, _HIGH = (f"(CASE {_DAMAGE} " + " ".join(f"WHEN '{k}' THEN {v[i]}" for k, v
 
 
 @QUERIES.add(f"""SELECT 'CLM-' || upper(left(md5('7|claim|' || id), 8)) AS claim_id, {_pick(generators.FIRST, 'first', 'id')} || ' ' || {_pick(generators.LAST, 'last', 'id')} AS policyholder, {_DAMAGE} AS damage,
-{_LOW} + {_draw('loss', f'{_HIGH} - {_LOW}', 'id')} AS loss, CAST(DATE '2026-01-31' - CAST({_draw('lost', 30, 'id')} + 1 AS INTEGER) AS VARCHAR) AS lost_on FROM (SELECT CAST(range AS VARCHAR) AS id FROM range(500))""")
+{_LOW} + {_draw('loss', f'{_HIGH} - {_LOW}', 'id')} AS loss, CAST(DATE '2026-01-31' - CAST({_draw('lost', 30, 'id')} + 1 AS INTEGER) AS VARCHAR) AS lost_on FROM (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer)""")
 def generated_claims(spark, d):
-    return generators.claims(spark, 500, 7).select("claim_id", "policyholder", "damage", F.col("loss").cast("long").alias("loss"), F.col("lost_on").cast("string").alias("lost_on"))
+    return generators.claims(table(spark, d, "customer").select(F.col("c_custkey").alias("id")), 7).select("claim_id", "policyholder", "damage", F.col("loss").cast("long").alias("loss"), F.col("lost_on").cast("string").alias("lost_on"))
 
 
 _FILE = {c: v[0] for c, v in generators.FILES.items()}
 
 
 @QUERIES.add(f"""SELECT 'media_' || left(md5('7|media|' || id || '|' || i), 12) AS media_id, category, category || '_' || i || CASE category WHEN 'photo' THEN '.jpg' ELSE '.pdf' END AS file_name FROM
-(SELECT id, i, {_weighted(_FILE, 'category', 'id', 'i')} AS category FROM (SELECT id, CAST(unnest(range(1, {_draw('files', 5, 'id')} + 2)) AS VARCHAR) AS i FROM (SELECT CAST(range AS VARCHAR) AS id FROM range(500))))""")
+(SELECT id, i, {_weighted(_FILE, 'category', 'id', 'i')} AS category FROM (SELECT id, CAST(unnest(range(1, {_draw('files', 5, 'id')} + 2)) AS VARCHAR) AS i FROM (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer)))""")
 def generated_attachments(spark, d):
-    return generators.attachments(generators.claims(spark, 500, 7), 7).select("media_id", "category", "file_name")
+    return generators.attachments(generators.claims(table(spark, d, "customer").select(F.col("c_custkey").alias("id")), 7), 7).select("media_id", "category", "file_name")
 
 
 @QUERIES.add(f"""SELECT left(md5('7|event|' || id), 24) AS event_id, {_weighted(generators.EVENTS, 'type', 'id')} AS event_type, 'proj_' || left(md5('7|project|' || {_draw('of', 20, 'id')}), 12) AS project_id,
-CAST(TIMESTAMP '2026-01-01 00:00:00' + INTERVAL 1 SECOND * (CASE WHEN n % 100 >= 90 THEN n - n % 100 + 90 ELSE n END // 2) AS VARCHAR) AS ingested_at FROM (SELECT range AS n, CAST(range AS VARCHAR) AS id FROM range(1000))""")
+CAST(TIMESTAMP '2026-01-01 00:00:00' + INTERVAL 1 SECOND * (CASE WHEN n % 100 >= 90 THEN n - n % 100 + 90 ELSE n END // 2) AS VARCHAR) AS ingested_at FROM (SELECT o_orderkey AS n, CAST(o_orderkey AS VARCHAR) AS id FROM orders)""")
 def synthetic_events(spark, d):
-    e = generators.events(spark, 1000, 7, 20, per_second=2, burst_every=100, burst=10)
+    e = generators.events(table(spark, d, "orders").select(F.col("o_orderkey").alias("id")), 7, 20, per_second=2, burst_every=100, burst=10)
     return e.withColumn("ingested_at", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss"))

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import SparkSession
 
-from ..operators import tables
+from ..operators import tables, working
 from ..sources import readers
 
 
@@ -25,7 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return readers.parquet_table(spark, sf_dir, name)
 
 
-def new_table(spark: SparkSession) -> tables.VersionedTable:
-    """An empty table in the shared folder: that of spark.checkpoint.dir, else the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
-    return tables.VersionedTable(spark, f"{folder.rstrip('/')}/versioned-{uuid.uuid4().hex}")
+def new_table(spark: SparkSession, **layout) -> tables.Folder:
+    """An empty table in the shared folder, which goes when the session's JVM ends."""
+    return tables.Folder(spark, working.new_path(spark, "table"), **layout)

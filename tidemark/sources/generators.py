@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FIRST = ("Ada", "Ben", "Cleo", "Dan", "Eva", "Finn", "Gia", "Hal")
@@ -48,13 +48,13 @@ def weighted(weights: Mapping[str, int], seed: int, tag: str, *parts: Column) ->
     return out
 
 
-def claims(spark: SparkSession, n: int, seed: int, day: str = "2026-01-31") -> DataFrame:
-    """n claims: id, claim_id, project_id, policyholder, place, damage, loss, deductible, lost_on, reported_on."""
+def claims(ids: DataFrame, seed: int, day: str = "2026-01-31") -> DataFrame:
+    """A claim for each row of ids (column id): id, claim_id, project_id, policyholder, place, damage, loss, deductible, lost_on, reported_on."""
     k = F.col("id")
     damage = one_of(DAMAGE, seed, "damage", k)
     low, high = (F.coalesce(*[F.when(damage == d, v[i]) for d, v in LOSSES.items() if d], F.lit(LOSSES[""][i])) for i in (0, 1))
     lost = F.date_sub(F.lit(day).cast("date"), (drawn(30, seed, "lost", k) + 1).cast("int"))
-    return spark.range(n).select(
+    return ids.select(
         "id",
         F.concat(F.lit("CLM-"), F.upper(F.left(digest(seed, "claim", k), F.lit(8)))).alias("claim_id"),
         F.concat(F.lit("proj_"), F.left(digest(seed, "project", k), F.lit(12))).alias("project_id"),
@@ -79,8 +79,8 @@ def attachments(of: DataFrame, seed: int, base_url: str = "http://localhost:8765
     return named.withColumn("download_url", F.concat_ws("/", F.lit(base_url), F.lit("files"), "project_id", "media_id", "file_name"))
 
 
-def events(spark: SparkSession, n: int, seed: int, projects: int, weights: Mapping[str, int] = EVENTS, start: str = "2026-01-01 00:00:00", per_second: int = 1, burst_every: int = 0, burst: int = 0) -> DataFrame:
-    """n events: event_id, event_type, project_id, ingested_at. per_second of them share a second.
+def events(ids: DataFrame, seed: int, projects: int, weights: Mapping[str, int] = EVENTS, start: str = "2026-01-01 00:00:00", per_second: int = 1, burst_every: int = 0, burst: int = 0) -> DataFrame:
+    """An event for each row of ids (column id, whole numbers): event_id, event_type, project_id, ingested_at. per_second of them share a second.
 
     burst_every, burst: of each burst_every events, the last `burst` come at one time.
     """
@@ -91,4 +91,4 @@ def events(spark: SparkSession, n: int, seed: int, projects: int, weights: Mappi
         place = F.when(held >= burst_every - burst, k - held + burst_every - burst).otherwise(k)
     at = F.timestamp_add("SECOND", F.floor(place / per_second).cast("int"), F.lit(start).cast("timestamp_ntz"))
     project = F.concat(F.lit("proj_"), F.left(digest(seed, "project", drawn(projects, seed, "of", k)), F.lit(12)))
-    return spark.range(n).select(F.left(digest(seed, "event", k), F.lit(24)).alias("event_id"), weighted(weights, seed, "type", k).alias("event_type"), project.alias("project_id"), at.alias("ingested_at"))
+    return ids.select(F.left(digest(seed, "event", k), F.lit(24)).alias("event_id"), weighted(weights, seed, "type", k).alias("event_type"), project.alias("project_id"), at.alias("ingested_at"))

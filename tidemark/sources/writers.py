@@ -28,8 +28,8 @@ def as_messages(df: DataFrame, topic: Column | str, key: Column | None = None, v
 def send(messages: DataFrame, target: dict) -> None:
     """A batch of messages to a configured target: kafka (if its connector is present), files or table.
 
-    files writes JSON below a folder for each topic; table appends to a versioned table, once for
-    each token if one is given.
+    files writes JSON below a folder for each topic; table appends to a Folder, once for each token
+    if one is given.
     """
     kind = target["kind"]
     if kind == "kafka":
