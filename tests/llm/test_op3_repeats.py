@@ -107,3 +107,14 @@ def test_periodic_texts_have_few_anchors(spark):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in repeats.remove(docs).collect()}
     assert [got[i] for i in range(len(texts))] == expected([t.encode() for t in texts], 200)
     assert len(anchors.find(b"a" * 4_000_000, 200)[0]) < 1000
+
+
+def test_very_many_rows_of_one_id_and_text(spark):
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string").crossJoin(spark.range(20_000).select()).select("doc_id", "text")
+    found = repeats.spans(df)
+    gathered = repeats.runs(found).groupBy("key").count().collect()
+    assert [r["count"] for r in gathered] == [1]
+    out = repeats.remove(df).groupBy("n_bytes", "n_removed", "n_spans").count().collect()
+    assert [tuple(r) for r in out] == [(900, 900, 1, 20_000)]

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import anchors, shared
@@ -290,6 +290,19 @@ def cut(text: bytes, ranges: np.ndarray) -> tuple[bytes, int, int]:
     return b"".join(kept), int((stops - starts).sum()), len(starts)
 
 
+def runs(found: DataFrame) -> DataFrame:
+    """key, start, stop of each maximal run: ranges that touch or overlap are one, so a key has fewer than its text has bytes.
+
+    Rows that repeat an id and a text share a key and its ranges. These are first made one, before any shuffle.
+    """
+    each = found.groupBy("key", "start").agg(F.max("stop").alias("stop"))
+    by = Window.partitionBy("key").orderBy("start")
+    reach = F.max("stop").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    first = F.when(reach.isNull() | (F.col("start") > reach), 1).otherwise(0)
+    numbered = each.withColumn("__first", first).withColumn("__run", F.sum("__first").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return numbered.groupBy("key", "__run").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("__run")
+
+
 def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row for each row of docs: doc_id, kept (bytes), n_bytes, n_removed, n_spans.
 
@@ -299,7 +312,7 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     and contexts, and byte by byte between different contexts.
     """
     found = spans(docs, length)
-    lists = shared.written(found.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")), "ranges")
+    lists = shared.written(runs(found).groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")), "ranges")
     shared.drop_written(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
