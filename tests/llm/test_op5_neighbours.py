@@ -80,3 +80,19 @@ def test_too_little_recall_is_an_error(spark, monkeypatch):
     rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.001])], "vec_id long, embedding array<double>")
     with pytest.raises(RuntimeError):
         neighbours.near_duplicates(rows)
+
+
+@pytest.mark.parametrize("lone", [0, 3_000, 12_000])
+def test_an_audit_sees_lost_links(spark, lone):
+    """Sixty pairs of which half are lost, among any number of vectors without links."""
+    rng = np.random.default_rng(lone)
+    pairs = rng.normal(size=(60, 64))
+    vectors = np.concatenate([pairs, pairs + rng.normal(size=(60, 64)) * 0.01, rng.normal(size=(lone, 64))])
+    rows = neighbours.packed(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>"))
+    nodes = rows.select("node", "vec", "vec_id")
+    node = {r.vec_id: r.node for r in nodes.collect()}
+    found = lambda kept: spark.createDataFrame([(node[i + k], node[i]) for i in range(kept) for k in (0, 60)], "node long, component long")
+    assert neighbours.audit(nodes, found(60), 0.95) == 1.0
+    assert abs(neighbours.audit(nodes, found(30), 0.95) - 0.5) <= 0.1
+    alone = nodes.where("vec_id >= 60")
+    assert neighbours.audit(alone, found(0), 0.95) is None

@@ -31,6 +31,8 @@ LIST, SAMPLE, ROUNDS = 16, 12, 3
 MISSED = 0.005
 #: Vectors audited, the recall at which no further pass is made, and the one below which there is no result.
 AUDITED, RECALL, LEAST_RECALL, PASSES = 512, 0.98, 0.9, 16
+#: Of a kind of vectors, drawn ones that must have links, or else so many are drawn.
+SEEN, MOST_AUDITED = 32, 4096
 #: Angles closer than this to a bound are decided by the vectors themselves.
 SLACK = 1e-6
 _LOG = logging.getLogger(__name__)
@@ -185,15 +187,29 @@ def refine(edges: DataFrame, vectors: DataFrame, threshold: float, floor: float)
     return edges
 
 
-def audit(vectors: DataFrame, found: DataFrame, threshold: float, audited: int = AUDITED) -> float:
-    """The mean share of a drawn vector's exact links whose other end is in its component; 1.0 without any link.
+def audit(vectors: DataFrame, found: DataFrame, threshold: float, audited: int = AUDITED, most: int = MOST_AUDITED) -> float | None:
+    """An estimate of the mean share of a vector's exact links whose other end is in its component, over all vectors that have links.
 
-    Half the vectors are drawn from those in components, half from all others, so that neither a
-    large group nor the many without links outweigh the rest.
+    Vectors of components and those outside are drawn apart, and each kind weighs as much as it has
+    vectors: a vector outside that has links lost them all, and many lone vectors cannot hide it. A
+    kind of which fewer than SEEN drawn vectors have links is drawn again, up to `most` vectors. None
+    if no drawn vector has links: nothing is known then but that such vectors are rare.
     """
-    both = vectors.select("node", "vec").join(found.select("node", F.col("component").alias("own")), "node", "left")
-    half = lambda cond: both.where(cond).orderBy(F.xxhash64("node")).limit(audited // 2).collect()
-    drawn = half("own IS NOT NULL") + half("own IS NULL")
+    both = shared.written(vectors.select("node", "vec").join(found.select("node", F.col("component").alias("own")), "node", "left"), "audited")
+    inside, draw, seen = F.col("own").isNotNull(), {True: audited // 2, False: audited // 2}, {}
+    sizes = {r[0]: r[1] for r in both.groupBy(inside).count().collect()}
+    for _ in range(2):
+        for kind, n in draw.items():
+            drawn = both.where(inside if kind else ~inside).orderBy(F.xxhash64("node")).limit(n).select("node", "vec").collect()
+            seen[kind] = (len(drawn), *_shares(vectors, found, drawn, threshold))
+        draw = {k: most for k in draw if seen[k][1] < SEEN and sizes.get(k, 0) > seen[k][0]}
+    weigh = {k: sizes.get(k, 0) / max(1, seen[k][0]) for k in seen}
+    linked = sum(weigh[k] * seen[k][1] for k in seen)
+    return sum(weigh[k] * seen[k][2] for k in seen) / linked if linked else None
+
+
+def _shares(vectors: DataFrame, found: DataFrame, drawn: list, threshold: float) -> tuple[int, float]:
+    """How many drawn vectors have exact links, and the sum of the shares of these that are in their components."""
     queries: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for d in {len(r[1]) for r in drawn}:
         own = [r for r in drawn if len(r[1]) == d]
@@ -212,8 +228,8 @@ def audit(vectors: DataFrame, found: DataFrame, threshold: float, audited: int =
     for x in ("a", "b"):
         links = links.join(found.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")), x, "left")
     each = links.groupBy("a").agg(F.avg(F.coalesce((F.col("of_a") == F.col("of_b")).cast("int"), F.lit(0))).alias("share"))
-    share = each.agg(F.avg("share")).first()[0]
-    return 1.0 if share is None else share
+    n, total = each.agg(F.count("*"), F.sum("share")).first()
+    return n, total or 0.0
 
 
 def angles(members: DataFrame, edges: DataFrame) -> DataFrame:
@@ -299,7 +315,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, floor: flo
             linked = edges.where(F.col("sim") >= threshold).select("a", "b")
             found = shared.written(graph.components(linked), "components")
             recall = audit(nodes, found, threshold)
-            _LOG.info("pass %d: recall %.4f of %d drawn vectors", k + 1, recall, AUDITED)
+            if recall is None:
+                _LOG.info("pass %d: none of the drawn vectors has links", k + 1)
+                break
+            _LOG.info("pass %d: recall %.4f", k + 1, recall)
             if recall >= RECALL:
                 break
         else:
