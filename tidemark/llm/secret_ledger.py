@@ -158,11 +158,13 @@ def op9_secret_ledger(spark, sf_dir: str) -> DataFrame:
 
     Null and empty texts have no findings: counts 0 and empty lists. Repeated rows each get their
     row, also with a null doc_id; an empty table gives no rows. Spans that begin alike come in the
-    order of their kinds. Very long texts are scanned whole; other columns are ignored. The table
-    is the first version that its ledger sees, so each of its blobs is scanned once.
+    order of their kinds. Very long texts are scanned whole; other columns are ignored. The ledger
+    sees two versions of the table: first without the documents whose crc32(doc_id) is odd, then all.
+    What the first held is not scanned again.
     """
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = join_back(docs, history([docs]))
+    earlier = docs.where(shared.bucket_of_id(F.col("doc_id")) % 2 == 0)
+    found = join_back(docs, history([earlier, docs]))
     listed = F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     def number(kind: str):
