@@ -178,7 +178,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_documents: int = FIT_DOCUMENTS)
 
     Ids labelled both ways go by the majority, ties count as 1; null labels and ids are left out.
     Without labels of both kinds the model is a constant: the share of label 1, or 0.5 without any.
-    Of each document FIT_PASSAGES passages at most are encoded.
+    Of each document FIT_PASSAGES passages at most are encoded. Equal rows count once; should ids be
+    shared by so many other texts that more than twice fit_documents rows are drawn, fewer are taken.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
     counts = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
@@ -187,15 +188,20 @@ def fit(docs: DataFrame, labels: DataFrame, fit_documents: int = FIT_DOCUMENTS)
         return {"constant": float(next(iter(counts), 0.5))}
     if n > fit_documents:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < math.ceil(fit_documents / n * (1 << 20)))
-    drawn = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("y", "text")
+    drawn = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")).join(F.broadcast(known), "doc_id").select("y", "text", "key")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 bags = [features(spaced((t.as_py() or "").encode(), FIT_PASSAGES))[0].astype(np.float16).tobytes() for t in batch.column(1)]
-                yield pa.RecordBatch.from_pydict({"y": batch.column(0), "x": pa.array(bags, pa.binary())})
-
-    rows = drawn.mapInArrow(encode, "y int, x binary").collect()
+                yield pa.RecordBatch.from_pydict({"y": batch.column(0), "x": pa.array(bags, pa.binary()), "key": batch.column(2)})
+
+    with shared.scratch():
+        encoded = shared.written(drawn.mapInArrow(encode, "y int, x binary, key long").dropDuplicates(["key"]), "features")
+        held = encoded.count()
+        if held > 2 * fit_documents:
+            encoded = encoded.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < math.ceil(fit_documents / held * (1 << 20)))
+        rows = encoded.select("y", "x").collect()
     rows.sort(key=lambda r: (r[0], bytes(r[1])))
     if len({r[0] for r in rows}) < 2:
         return {"constant": float(rows[0][0]) if rows else 0.5}
