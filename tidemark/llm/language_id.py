@@ -23,6 +23,8 @@ from . import pieces, shared
 #: The model is fitted on about this many labelled documents of each language at most, drawn by a
 #: hash of id and text; this bounds its vocabulary, of which nothing is left out.
 FIT_DOCUMENTS = 1_000
+#: Characters counted of one of these.
+FIT_CHARACTERS = 1 << 17
 ORDERS = (5, 4, 3, 2, 1)
 #: Share of each language's probability that is spread evenly over all items of a table.
 UNSEEN = 0.1
@@ -132,14 +134,18 @@ def scored(rows: pa.Table, languages: list[str]) -> tuple[dict[str, int], np.nda
 
 
 def drawn(docs: DataFrame, fit_documents: int) -> tuple[DataFrame, list[str]]:
-    """Labelled rows, at most about fit_documents of each language, and the languages."""
+    """Labelled rows, at most about fit_documents of each language and FIT_CHARACTERS characters of each row, and the languages."""
     labelled = docs.select("doc_id", "text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}  # one row a language
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
     out = F.lit(False)
     for lang, n in sizes.items():
         out = out | ((F.col("lang") == lang) & (place < math.ceil(min(1.0, fit_documents / n) * (1 << 20))))
-    return labelled.where(out), sorted(sizes)
+    # Of a longer text, pieces from all over it.
+    n, parts = F.length("text"), 64
+    piece = lambda i: F.substring(F.col("text"), (F.floor(i * n / parts) + 1).cast("int"), F.lit(FIT_CHARACTERS // parts))
+    bounded = F.when(n > FIT_CHARACTERS, F.array_join(F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), piece), " ")).otherwise(F.col("text"))
+    return labelled.where(out).withColumn("text", bounded), sorted(sizes)
 
 
 def fit(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Model:
