@@ -1,12 +1,13 @@
 """Streaming forms over files, compared with their batch results."""
 
 import datetime
+import time
 
 from pyspark.sql import functions as F
 
 from tidemark.operators import flatten, routing, tables
 from tidemark.sources import generators, readers
-from tidemark.streaming import pipelines
+from tidemark.streaming import counters, pipelines
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -101,3 +102,20 @@ def test_cycles(spark, tmp_path):
     query = pipelines.counted_cycles(stream, "ts", "k").writeStream.outputMode("complete").format("memory").queryName("cycles").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted((r.k, r.n) for r in spark.table("cycles").select("k", "n").where(F.col("n") > 0).collect()) == [("a", 2), ("b", 1)]
+
+
+def test_counters_ride_on_the_batches(spark, tmp_path):
+    heard = counters.Counters()
+    spark.streams.addListener(heard)
+    try:
+        for part in ([("a", 1), ("b", 2)], [("a", None), ("c", 5)]):
+            stream = files(spark, tmp_path / "in", [part], "k string, n int")
+            counted = counters.counting(stream, "written", rows=F.count(F.lit(1)), lacking=F.count_if(F.col("n").isNull()), total=F.sum("n"))
+            pipelines.batched(counted, lambda b, i: b.write.mode("append").parquet(str(tmp_path / "out")), str(tmp_path / "cp")).awaitTermination()
+        until = time.time() + 20
+        while heard.totals["written"]["rows"] < 4 and time.time() < until:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(heard)
+    assert dict(heard.totals["written"]) == {"rows": 4, "lacking": 1, "total": 8} and spark.read.parquet(str(tmp_path / "out")).count() == 4
+    assert [v["rows"] for _, v in heard.cycles["written"]] == [2, 2]

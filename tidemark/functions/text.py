@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -108,3 +110,13 @@ def redacted_message(c: Column, most: int = 500) -> Column:
     out = F.regexp_replace(out, "(?i)bearer\\s+[a-zA-Z0-9\\-_.]+", "bearer [REDACTED]")
     out = F.regexp_replace(out, "(?i)api[_-]?key[=:]\\s*[^\\s\"'&]+", "api_key=[REDACTED]")
     return truncated(redacted_url(out), most)
+
+
+def json_object(data: Column) -> Column:
+    """JSON text as a variant, parsed once a row; an empty object where it is null, broken or repeats a key."""
+    return F.coalesce(F.try_parse_json(data), F.parse_json(F.lit("{}")))
+
+
+def at_paths(value: Column, paths: Mapping[str, tuple[str, str]]) -> list[Column]:
+    """Columns of a variant, given at run time: name -> (path like a.b[0].c, type). Missing values and misfits are null."""
+    return [F.try_variant_get(value, path if path.startswith("$") else f"$.{path}", kind).alias(name) for name, (path, kind) in paths.items()]

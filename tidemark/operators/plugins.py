@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ordered
+
 HANDLERS: dict[str, Callable[[DataFrame], dict[str, DataFrame]]] = {}
 
 
@@ -117,3 +119,19 @@ def issues(df: DataFrame, required: list[str], least_fields: int) -> DataFrame:
     filled = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in df.columns], F.lit(0))
     found = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in required]
     return df.withColumn("issues", F.array_compact(F.array(*found, F.when(filled < least_fields, F.lit("too_few_fields")))))
+
+
+def with_lookup(messages: DataFrame, answers: DataFrame, keys: Sequence[str], at: str, fetched_at: str, take: Sequence[str], ttl_seconds: int, into: str = "lookup_result") -> DataFrame:
+    """messages with a struct of an answer's columns, and lookup: hit, expired or missing.
+
+    answers: one row for each answer of an external service, with the keys that it was asked for (its
+    connection, endpoint and parameters, as far as they differ) and the time when it was fetched. A
+    message takes the newest answer not after it, if that is younger than its time to live then; an
+    older one has run out and gives nothing. With two answers of one time, either counts. Messages
+    without a time find nothing; null keys meet null keys. No key makes a task of its own.
+    """
+    found = ordered.as_of(messages, answers, keys, F.col(at), F.col(fetched_at), [*dict.fromkeys([*take, fetched_at])], into="__found")
+    age = F.timestamp_diff("SECOND", F.col("__found")[fetched_at], F.col(at))
+    state = F.when(F.col("__found").isNull(), "missing").when(age < ttl_seconds, "hit").otherwise("expired")
+    answer = F.when(state == "hit", F.struct(*[F.col("__found")[c].alias(c) for c in take]))
+    return found.select(*messages.columns, answer.alias(into), state.alias("lookup"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 def folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, else the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
-    return named.rstrip("/")
+    return re.sub("^file:/(?=[^/])", "file:///", named.rstrip("/"))
 
 
 def new_path(spark: SparkSession, tag: str) -> str:

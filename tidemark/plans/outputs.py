@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..functions import errors
+from ..functions import errors, text
 from ..operators import entities, plugins, routing, sinks, tables, working
-from ..sources import generators, writers
+from ..sources import actions, generators, paged, writers
 from .registry import Queries, new_table, table
 
 QUERIES = Queries()
@@ -278,3 +280,46 @@ CAST(TIMESTAMP '2026-01-01 00:00:00' + INTERVAL 1 SECOND * (CASE WHEN n % 100 >=
 def synthetic_events(spark, d):
     e = generators.events(table(spark, d, "orders").select(F.col("o_orderkey").alias("id")), 7, 20, per_second=2, burst_every=100, burst=10)
     return e.withColumn("ingested_at", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@QUERIES.add("""SELECT e.event_id, CASE WHEN r.ts IS NULL THEN 'missing' WHEN e.ts - r.ts < INTERVAL 6 HOUR THEN 'hit' ELSE 'expired' END AS lookup,
+CASE WHEN e.ts - r.ts < INTERVAL 6 HOUR THEN r.value END AS answer FROM events e ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase') r ON r.user_id = e.user_id AND r.ts <= e.ts""")
+def ttl_lookup(spark, d):
+    """Each event with its user's newest purchase, which holds for six hours."""
+    e = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    answers = e.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("fetched"), F.col("value").alias("answer"))
+    out = plugins.with_lookup(e.select("event_id", "user_id", "ts"), answers, ["user_id"], "ts", "fetched", ["answer"], 6 * 3600)
+    return out.select("event_id", "lookup", F.col("lookup_result.answer").alias("answer"))
+
+
+@QUERIES.add("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 1 END AS first, CASE WHEN event_id % 5 = 0 THEN event_type END AS kind, CASE WHEN event_id % 5 = 3 THEN event_id END AS n,
+CASE event_id % 5 WHEN 0 THEN '{"a":{"b":[1,{"c":"' || event_type || '"}]}}' WHEN 3 THEN '{"a":"x","n":' || event_id || '}' WHEN 4 THEN '[1,2]' ELSE '{}' END AS object FROM events""")
+def variant_paths(spark, d):
+    """Nested, broken, repeated, misfit and list JSON, parsed once a row, at paths that are given as text."""
+    k = F.col("event_id") % 5
+    nested = F.concat(F.lit('{"a":{"b":[1,{"c":"'), "event_type", F.lit('"}]}}'))
+    data = F.when(k == 0, nested).when(k == 1, "{broken").when(k == 2, '{"a":1,"a":2}').when(k == 3, F.concat(F.lit('{"n":'), F.col("event_id").cast("string"), F.lit(',"a":"x"}'))).otherwise("[1,2]")
+    e = table(spark, d, "events").select("event_id", text.json_object(data).alias("v"))
+    paths = {"first": ("a.b[0]", "int"), "kind": ("$.a.b[1].c", "string"), "n": ("n", "bigint")}
+    return e.select("event_id", *text.at_paths(F.col("v"), paths), F.to_json("v").alias("object"))
+
+
+@QUERIES.add("SELECT event_id, event_type FROM events")
+def paged_events(spark, d):
+    """The events through a service that answers in pages, read by ranges of time in parallel."""
+    folder, name = working.new_path(spark, "service"), f"service_{uuid.uuid4().hex}"
+    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    rows = table(spark, d, "events").select(at.alias("at"), F.col("event_id").cast("string").alias("id"), "event_type")
+    rows.repartitionByRange(8, "at", "id").sortWithinPartitions("at", "id").write.json(folder)
+    paged.register(spark, name, lambda: paged.FileService(folder, ("at", "id", "event_type"), "at", "id"), "at string, id string, event_type string", "at", "id")
+    return spark.read.format(name).option("page_size", 500).load().select(F.col("id").cast("long").alias("event_id"), "event_type")
+
+
+@QUERIES.add("SELECT CASE event_type WHEN 'error' THEN 'webhook' WHEN 'view' THEN 'log' ELSE 'publish' END AS kind, event_type AS target, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1, 2")
+def action_sink(spark, d):
+    """The actions that events ask for, written twice under one batch name and done once."""
+    kind = F.when(F.col("event_type") == "error", "webhook").when(F.col("event_type") == "view", "log").otherwise("publish")
+    rows, folder = table(spark, d, "events").select(kind.alias("kind"), F.col("event_type").alias("target"), F.col("event_id").cast("string").alias("payload")), working.new_path(spark, "actions")
+    for _ in range(2):
+        actions.write(rows, folder, "one")
+    return actions.done(spark, folder).groupBy("kind", "target").agg(F.count("*").alias("n"), F.sum(F.col("payload").cast("long")).alias("id_sum"))
