@@ -92,3 +92,22 @@ def test_a_very_long_text(spark):
     filler = " ".join(f"w{i % 977}" for i in range(500_000))
     docs = spark.createDataFrame([(1, f"{filler} {DOCS[0][1]} {filler}")], "doc_id long, text string")
     assert [(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()] == [(1, 1)]
+
+
+PENS = "Tom has {} red pens and {} blue pens in a box on the table and gives {} of them to each of the children who ask for one more pen"
+SHOP = "A shop sold {} kg of flour on the first day and {} kg of sugar on the next day so how much did the shop sell in {} weeks"
+FORMS = [("3", "4", "2"), ("3.5", "4.25", "0.5"), ("1,200", "3,456,789", "2"), ("three", "forty five", "two"), ("3 million", "twelve", "two hundred six"), ("1/2", "3/4", "1.5"), ("1,2,3", "5", "6.7.8")]
+
+
+def test_numbers_of_any_form_are_one_slot(spark):
+    bench = spark.createDataFrame([(1, PENS.format("3", "4", "2")), (2, SHOP.format("12", "5", "8"))], "item_id long, text string")
+    texts = [(10 * i + j, t.format(*form)) for j, t in ((1, PENS), (2, SHOP)) for i, form in enumerate(FORMS)]
+    texts += [(1000, "half a dozen people, one of whom was there, had nothing at all to say to the others"), (1001, "1.2,3/4.5 one two three four five")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = decontaminate.leaks(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found if r.coverage >= 0.9} == {(n, n % 10) for n, _ in texts[:-2]} and len(found) == len(texts) - 2
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    con.register("benchmark", bench.toPandas())
+    own = decontaminate.leaks(docs, bench).select("doc_id", "item_id", "n_windows", F.round("coverage", 6), "exact").collect()
+    assert sorted(map(tuple, own), key=str) == sorted(con.execute(decontaminate.oracle()).fetchall(), key=str)

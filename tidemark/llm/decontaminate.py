@@ -24,6 +24,14 @@ COVERAGE = 0.25
 BROADCAST_BYTES = 32 << 20
 
 NAME, NUMBER, UNIT = "¤", "¦", "¬"
+#: Stands for a point, comma or stroke between two digits, so that 12.5, 1,200 and 3/4 are one number each.
+POINT = "¸"
+#: Words that are numbers; up to four in a row, or after digits, are one.
+SPELLED = (
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen half"
+).split()
+_RUN = f"({NUMBER}[^ ]+) {NUMBER}([a-z]+)(?: {NUMBER}([a-z]+))?(?: {NUMBER}([a-z]+))?"
 #: Words that are units after a number.
 UNITS = (
     "percent dollar dollars euro euros pound pounds cent cents mg g kg gram grams kilogram kilograms ton tons ounce ounces lb lbs "
@@ -35,16 +43,18 @@ _SIGNS = (("%", " percent "), ("$", " dollars "), ("€", " euros "), ("£", " p
 
 def marked(text: Column) -> Column:
     """Lower-case words between single spaces; each name, number and unit after a number bears its mark."""
-    out = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + UNIT, "   ")
+    out = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + UNIT + POINT, "    ")
     # A capital after a lower-case letter, comma or the like begins a name; after a full stop it need not.
     out = F.regexp_replace(out, "([\\p{Ll},;:]) (\\p{Lu})", f"$1 {NAME}$2")
     out = F.lower(out)
     for sign, word in _SIGNS:
         out = F.replace(out, F.lit(sign), F.lit(word))
-    out = F.regexp_replace(out, "([0-9]+)", f" {NUMBER}$1 ")
-    out = F.regexp_replace(out, f"[^\\p{{L}}\\p{{N}}{NAME}{NUMBER}]+", " ")
-    out = F.regexp_replace(out, f"({NUMBER}[0-9]+) ({'|'.join(UNITS)})( |$)", f"$1 {UNIT}$2$3")
-    return F.trim(out)
+    out = F.regexp_replace(out, "(?<=[0-9])[.,/](?=[0-9])", POINT)
+    out = F.regexp_replace(out, f"([0-9{POINT}]+)", f" {NUMBER}$1 ")
+    out = F.trim(F.regexp_replace(out, f"[^\\p{{L}}\\p{{N}}{NAME}{NUMBER}{POINT}]+", " "))
+    out = F.regexp_replace(out, f"(^| )({'|'.join(SPELLED)})(?= |$)", f"$1{NUMBER}$2")
+    out = F.regexp_replace(out, _RUN, "$1$2$3$4")
+    return F.regexp_replace(out, f"({NUMBER}[^ ]+) ({'|'.join(UNITS)})( |$)", f"$1 {UNIT}$2$3")
 
 
 def _marks(word: Column) -> Column:
@@ -216,13 +226,18 @@ def oracle(width: int = WINDOW, coverage: float = COVERAGE, source: str = "docum
     marks = f"[{NAME}{NUMBER}{UNIT}]"
 
     def mark(text: str) -> str:
-        out = f"translate(coalesce({text}, ''), '{NAME + NUMBER + UNIT}', '   ')"
+        out = f"translate(coalesce({text}, ''), '{NAME + NUMBER + UNIT + POINT}', '    ')"
         out = f"lower(regexp_replace({out}, '([\\p{{Ll}},;:]) (\\p{{Lu}})', '\\1 {NAME}\\2', 'g'))"
         for sign, word in _SIGNS:
             out = f"replace({out}, '{sign}', '{word}')"
-        out = f"regexp_replace({out}, '([0-9]+)', ' {NUMBER}\\1 ', 'g')"
-        out = f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}{NAME}{NUMBER}]+', ' ', 'g')"
-        return f"trim(regexp_replace({out}, '({NUMBER}[0-9]+) ({'|'.join(UNITS)})( |$)', '\\1 {UNIT}\\2\\3', 'g'))"
+        for _ in range(2):  # the digit after a point may be the one before the next
+            out = f"regexp_replace({out}, '([0-9])[.,/]([0-9])', '\\1{POINT}\\2', 'g')"
+        out = f"regexp_replace({out}, '([0-9{POINT}]+)', ' {NUMBER}\\1 ', 'g')"
+        out = f"trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}{NAME}{NUMBER}{POINT}]+', ' ', 'g'))"
+        out = f"regexp_replace(replace(' ' || {out} || ' ', ' ', '  '), ' ({'|'.join(SPELLED)}) ', ' {NUMBER}\\1 ', 'g')"
+        out = f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
+        out = f"regexp_replace({out}, '{_RUN}', '\\1\\2\\3\\4', 'g')"
+        return f"regexp_replace({out}, '({NUMBER}[^ ]+) ({'|'.join(UNITS)})( |$)', '\\1 {UNIT}\\2\\3', 'g')"
 
     def windowed(name: str, ident: str) -> str:
         return f"""{name} AS (SELECT {ident}, pos, words[pos + 1 : pos + {width}] raw, tokens[pos + 1 : pos + {width}] tmpl, folded[pos + 1 : pos + {width}] plain
