@@ -215,9 +215,11 @@ def captures(rows: DataFrame) -> DataFrame:
     """
     names = [c for c in rows.columns if c != "record_id"]
     main = rows.where(F.col("type").isin(*CAPTURES)).select("record_id", F.struct(*names).alias("capture"))
-    side = rows.where(F.col("type").isin("request", "metadata"))
+    # Written: parsed once, and of a size that Spark knows when it plans the joins.
+    light = shared.written(rows.select("record_id", "type", "concurrent_to", "date", "header", "fields"), "records")
+    side = light.where(F.col("type").isin("request", "metadata"))
     said = side.select(F.col("record_id").alias("of"), "type", F.explode("concurrent_to").alias("to"))
-    heard = rows.where(F.col("type").isin(*CAPTURES)).select(F.explode("concurrent_to").alias("of"), F.col("record_id").alias("to"))
+    heard = light.where(F.col("type").isin(*CAPTURES)).select(F.explode("concurrent_to").alias("of"), F.col("record_id").alias("to"))
     through = said.where("type = 'metadata'").alias("m").join(said.where("type = 'request'").alias("r"), F.col("m.to") == F.col("r.of")).select("m.of", "r.to")
     ties = said.select("of", "to").unionByName(heard).unionByName(through).distinct()
     parts = side.select(F.col("record_id").alias("of"), "type", F.struct("record_id", "date", "header", "fields").alias("part"))
@@ -236,7 +238,7 @@ def op13_warc_captures(spark, sf_dir: str) -> DataFrame:
     """
     pages = shared.table(spark, sf_dir, "pages")
     manifest = write(marked(pages), shared.new_path(spark, "warc"))
-    each = captures(records(manifest, payloads=False))
+    each = captures(shared.written(records(manifest, payloads=False), "records"))
     page = F.get_json_object(F.col("metadata")[0]["fields"], "$.page_id").cast("long")
     c = F.col("capture")
     rows = shared.written(each.select("record_id", page.alias("page_id"), c["type"].alias("record_type"), c["refers_to"].alias("__refers"), c["payload_bytes"].alias("n"), c["payload_digest"].alias("own"), c["declared_digest"].alias("said")), "captures")
