@@ -307,10 +307,11 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = _joined(docs.select("doc_id", "text"), percent)
     gone = found.where("component_id <> doc_id").select(F.col("place").alias("__key"))
     kept = shared.without(docs, shared.row_key(docs), gone)
-    if not found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
-        once = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
-        kept = once.unionByName(kept.where("doc_id IS NULL"))
-    return kept
+    # Only rows that may be repeated meet each other; all others stay where they are.
+    twice = found.where("doc_id IS NOT NULL").groupBy(F.col("place").alias("__key")).count().where("count > 1").select("__key")
+    marked = shared.flagged(kept, shared.row_key(kept), shared.bitmap(twice, "__key"), "__twice")
+    again = F.col("__twice") & F.col("doc_id").isNotNull()
+    return marked.where(~again).unionByName(marked.where(again).dropDuplicates(["doc_id", "text"])).drop("__twice")
 
 
 def op8_token_groups(spark, sf_dir: str) -> DataFrame:
