@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -120,3 +121,14 @@ def test_ranges_are_encoded_as_the_whole_text(words):
         whole, parts = next(words.encode([text])), list(words.encode(pieces))
         for side in (0, 1):
             assert np.concatenate([p[side] for p in parts]).tolist() == whole[side].tolist()
+
+
+def test_the_faster_encoder_gives_the_same_ids(words):
+    rng = random.Random(4)
+    low = [chr(i) for i in range(1, 0x530) if unicodedata.category(chr(i)) != "Cs"]
+    odd = "aeE tns'TSLRDVM19.,!_-\n\t\r\x0b\x1c\x85\u00a0\u00ad\u0301\u037e\u0345"
+    texts = ["".join(rng.choice(odd if rng.random() < 0.6 else low) for _ in range(rng.randint(1, 30))) for _ in range(40_000)]
+    assert words.fast is not None
+    slow = words.bytes_of_a.encode_batch([" " + t for t in texts], add_special_tokens=False)
+    for text, one, other in zip(texts, slow, words.ids_of_a(texts), strict=True):
+        assert one.ids == other, text

@@ -14,6 +14,8 @@ counted and looked up is one row a block and pair, not one a link.
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -38,6 +40,10 @@ BLOCK = 1 << 19
 FAN = 8
 #: Both tokenizers end a token before a single space between words, and merge nothing over it.
 _CUT = re.compile(r"(?<=[\w.,;:!?]) (?=\w)")
+#: How a byte-level tokenizer that is set to do so parts a text before it merges. Fixed value.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts that the faster of two equal encoders does not take: letters that Unicode versions may differ on, and very long words.
+_RARE = re.compile("[\u0530-\U0010ffff]|\\S{1000}")
 
 _EDGES = "head_a array<int>, head_b array<int>, tail_a array<int>, tail_b array<int>, cut boolean, body string"
 _SUMS = ("n_a", "n_b", "n_groups", "n_links")
@@ -56,10 +62,22 @@ def ranges(text: str, size: int = 0) -> Iterator[str]:
     yield text[at:]
 
 
+def merged_by_rank(tokenizer_json: str) -> bool:
+    """Whether a tokenizer's ids are those of a merge by rank of PARTS: its ids number the bytes, then the merges in order."""
+    spec = json.loads(tokenizer_json)
+    model, level = spec["model"], spec["pre_tokenizer"] or {}
+    plain = spec["normalizer"] is None and spec["post_processor"] is None and level.get("type") == "ByteLevel" and level.get("use_regex") and not level.get("add_prefix_space")
+    if not plain or model["type"] != "BPE" or model["dropout"] or model["unk_token"] or model.get("ignore_merges"):
+        return False
+    made = ("".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"])
+    return all(model["vocab"].get(token) == 256 + i for i, token in enumerate(made))
+
+
 class Vocabulary:
     """The two tokenizers, the bytes of their tokens, and the text of an id in a list of groups."""
 
     def __init__(self, byte_path: str, piece_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads only contend for it
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -71,16 +89,29 @@ class Vocabulary:
         self.a = [bytes(shown[c] for c in e) if all(c in shown for c in e) else e.encode() for e in entries]
         names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
         self.b = [bytes([int(n[3:-1], 16)]) if self.pieces.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
+        self.fast = self._fast() if merged_by_rank(self.bytes_of_a.to_str()) else None
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.a, self.b))
         self.words = [f"{i}{end}" for n, ends in ((len(self.a), ",|"), (len(self.b), ",;")) for end in ends for i in range(n)]
 
+    def _fast(self):
+        """The same encoding by ranks, several times faster."""
+        from tiktoken import Encoding
+
+        special = self.bytes_of_a.get_added_tokens_decoder()
+        return Encoding("ranks", pat_str=PARTS, mergeable_ranks={b: i for i, b in enumerate(self.a) if i not in special}, special_tokens={})
+
+    def ids_of_a(self, texts: list[str]) -> Iterator[list[int]]:
+        rare = [i for i, t in enumerate(texts) if self.fast is None or _RARE.search(t)]
+        slow = dict(zip(rare, self.bytes_of_a.encode_batch([" " + texts[i] for i in rare], add_special_tokens=False), strict=True))
+        for i, text in enumerate(texts):
+            yield slow[i].ids if i in slow else self.fast.encode_ordinary(" " + text)
+
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
         """The ids of each text by either, and whether both give the bytes of a space and the text."""
-        first = self.bytes_of_a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        for text, a, b in zip(texts, first, self.pieces.encode(texts, num_threads=1), strict=True):
+        for text, a, b in zip(texts, self.ids_of_a(texts), self.pieces.encode(texts, num_threads=1), strict=True):
             whole = b" " + text.encode()
-            ok = b"".join(map(self.a.__getitem__, a.ids)) == whole and b"".join(map(self.b.__getitem__, b)) == whole
-            yield np.array(a.ids, np.int64), np.array(b, np.int64), ok
+            ok = b"".join(map(self.a.__getitem__, a)) == whole and b"".join(map(self.b.__getitem__, b)) == whole
+            yield np.array(a, np.int64), np.array(b, np.int64), ok
 
     def ends(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The places, in a and in b, of the tokens that end together. No token is without bytes."""
