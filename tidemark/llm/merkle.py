@@ -42,7 +42,8 @@ def leaf(docs: DataFrame, text: Column | None = None) -> Column:
 def _joined(nodes: DataFrame, zero: bool, carried: list[str]) -> DataFrame:
     """The nodes, or those of slot zero, with sibs: struct(p, d) of the siblings in order.
 
-    Every node offers its digest to the index of each sibling; the offers meet their nodes by an equijoin.
+    Every node offers its digest (as bytes, half of its text) to the index of each sibling; the offers
+    meet their nodes by an equijoin.
     """
     base = F.col("pos") - F.col("pos") % ARITY
     if zero:
@@ -50,14 +51,14 @@ def _joined(nodes: DataFrame, zero: bool, carried: list[str]) -> DataFrame:
     else:
         indices = F.filter(F.sequence(base, base + ARITY - 1), lambda t: t != F.col("pos"))
         askers, targets = nodes, nodes.withColumn("__to", F.explode(indices))
-    offers = targets.select(F.col("grp").alias("__grp"), "__to", F.struct(F.col("pos").alias("p"), F.col("digest").alias("d")).alias("__sib"))
+    offers = targets.select(F.col("grp").alias("__grp"), "__to", F.struct(F.col("pos").alias("p"), F.unhex("digest").alias("d")).alias("__sib"))
     both = askers.join(offers, (askers["grp"] == offers["__grp"]) & (askers["pos"] == offers["__to"]), "left")
     kept = [F.first(c).alias(c) for c in ("digest", *carried)]
     return both.groupBy("grp", "pos").agg(*kept, F.array_sort(F.collect_list("__sib")).alias("sibs"))  # 15 at most
 
 
 def _text(sibs: Column) -> Column:
-    return F.array_join(F.transform(sibs, lambda s: s["d"]), "")
+    return F.array_join(F.transform(sibs, lambda s: F.lower(F.hex(s["d"]))), "")
 
 
 class Tree:
@@ -91,12 +92,12 @@ class Tree:
             rows = _joined(leaves if k == 0 else self.levels[k], False, own)
             alone = (F.col("pos") == 0) & (F.size("sibs") == 0)
             step = F.struct(_text(F.filter("sibs", lambda s: s["p"] < F.col("pos"))).alias("left"), _text(F.filter("sibs", lambda s: s["p"] > F.col("pos"))).alias("right"))
-            rows = rows.select("grp", "pos", "digest", *own, step.alias("__step"), F.when(alone, F.lit(-1)).otherwise(F.floor(F.col("pos") / ARITY)).alias("__up"))
+            rows = rows.select("grp", "pos", "digest", *own, "sibs", F.when(alone, F.lit(-1)).otherwise(F.floor(F.col("pos") / ARITY)).alias("__up"))
             above = seed.select(F.col("grp").alias("__grp"), F.lit(-1).cast("bigint").alias("__at"), F.col("steps").alias("__steps"), *carried)
             if up is not None:
                 above = above.unionByName(up.select(F.col("grp").alias("__grp"), F.col("pos").alias("__at"), F.col("steps").alias("__steps"), *carried))
             both = rows.join(above, (F.col("grp") == F.col("__grp")) & (F.col("__up") == F.col("__at")))
-            steps = F.when(F.col("__up") < 0, F.col("__steps")).otherwise(F.concat(F.array("__step"), "__steps"))
+            steps = F.when(F.col("__up") < 0, F.col("__steps")).otherwise(F.concat(F.array(step), "__steps"))
             up = both.select("grp", "pos", "digest", *own, steps.alias("steps"), *carried)
             if k:
                 up = shared.written(up, "paths")
