@@ -49,6 +49,8 @@ def test_batch_is_coalesced_like_a_dictionary(spark, batch):
 def test_appends_are_aligned_and_once_for_a_token(spark, tmp_path):
     table = tables.Folder(spark, f"file://{tmp_path}/t", partition_by=["id"])
     assert not table.exists()
+    assert table.append(spark.createDataFrame([], "id int, odd string")).rows == 0 and not table.exists()
+    table.history.clear()
     table.append(spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"))
     for _ in range(2):
         table.append(spark.createDataFrame([("3", "c", 1.5), ("x", "d", 2.5)], "id string, name string, extra double"), token="checkpoint#7")
@@ -79,7 +81,8 @@ def test_a_merge_that_deletes_leaves_no_rows_behind(spark, tmp_path):
     df = spark.createDataFrame([(i, i) for i in range(8)], "n int, id int")
     table.merge(df, ["n"])
     table.merge(df.where("id < 8"), ["n"], when_matched="delete")
-    assert not list((tmp_path / "t").rglob("*.parquet"))
+    assert not list((tmp_path / "t").rglob("*.parquet")) and not table.exists()
+    assert table.merge(df, ["n"]).rows == 8
 
 
 def test_layout_columns():

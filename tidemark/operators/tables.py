@@ -208,8 +208,10 @@ class Folder:
     history: list[Written] = field(default_factory=list)
 
     def exists(self) -> bool:
-        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+        """Whether the table has rows; a write of none leaves nothing to read."""
+        parts = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/__*")
+        found = parts.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(parts)
+        return found is not None and len(found) > 0
 
     def _files(self) -> DataFrame:
         return self.spark.read.option("mergeSchema", True).parquet(self.path)
