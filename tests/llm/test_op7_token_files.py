@@ -53,6 +53,21 @@ def test_random_strings_of_all_scripts():
         assert np.frombuffer(words.encode(text), "<u2").tolist() == whole.ids, text
 
 
+def test_plain_texts_are_not_given_to_the_library():
+    """Marks, digits, capitals and letters of Latin-1 are cut here, and words of both cases are one: the library is slow for single words."""
+    tokenizer, rng = Tokenizer.from_file(WORD), random.Random(5)
+    words = token_files.WordIds(tokenizer, "<u2")
+    letters = "aeinorstßàéöñÿAEÉÖÑ"
+    texts = ["it's 'Twas ''S d'Été!?", "Foo.bar&&& FOO.BAR&&& 12,5% x_y\tz\r\nq ==='re", "÷×µªº «é»", "a<|endoftext|>b <|ENDOFTEXT|>"]
+    texts += ["".join(rng.choice(letters if rng.random() < 0.7 else "0189.,'&-_<|>$ \n\tstdlvmr") for _ in range(40)) for _ in range(5_000)]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    asked = []
+    words.tokenizer = type("Counted", (), {"encode": lambda self, word, **kw: asked.append(word) or tokenizer.encode(word, **kw)})()
+    assert [np.frombuffer(words.encode(t), "<u2").tolist() for t in texts] == want
+    assert set(asked) == {"a<|endoftext|>b", "<|ENDOFTEXT|>", "«é»", "÷×µªº"}
+    assert "foo.bar&&&" in words and "FOO.BAR&&&" not in words
+
+
 def test_empty_table(spark, nothing):
     manifest = token_files.write(nothing, shared.new_path(spark, "t"), WORD)
     assert manifest.count() == 0 and token_files.read(manifest).count() == 0

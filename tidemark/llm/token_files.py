@@ -10,13 +10,13 @@ the files into memory, or reads them by ranges where the store is no file system
 
 from __future__ import annotations
 
+import functools
 import json
 import os
-import sys
+import re
 import unicodedata
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import pieces, shared
 
-#: Words kept with their ids in a worker's memory; the cache is emptied beyond that.
+#: Words kept with their ids in a worker's memory, from task to task; the cache is emptied beyond that.
 CACHE_WORDS = 400_000
 
 MANIFEST = "part int, dtype string, path string, n_docs long, n_ids long"
@@ -42,8 +42,13 @@ SEPARABLE = {
     "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
     "split": ("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "Removed", True),
 }
+#: Texts that are cut here: visible ASCII and the letters of Latin-1, all in NFC and of one lower case each, with
+#: white space; and the parts of their words in lower case, as SEPARABLE's split gives them.
+PLAIN = re.compile("[\t\n\r !-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\t\n\r a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 #: Bytes that byte-level tokenizers write as characters from 256 on; all others stay as they are.
 SHIFTED = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
+WRITTEN = [chr(SHIFTED.get(b, b)) for b in range(256)]
 
 
 def separable(tokenizer_json: str) -> bool:
@@ -54,6 +59,8 @@ def separable(tokenizer_json: str) -> bool:
         split, level = spec["pre_tokenizer"]["pretokenizers"]
         how = (split["pattern"]["Regex"], split["behavior"], split["invert"])
         plain = level["type"] == "ByteLevel" and not level["add_prefix_space"] and not level["use_regex"]
+        if any(t["content"].isalpha() or re.search(r"\s", t["content"]) for t in spec["added_tokens"]):
+            return False  # these may begin or end inside runs of letters, or go over spaces
         return kinds == SEPARABLE["normalizers"] and how == SEPARABLE["split"] and plain and spec["post_processor"] is None and spec["model"]["type"] == "BPE"
     except (KeyError, TypeError, ValueError):
         return False
@@ -72,26 +79,36 @@ class WordIds(dict):
 
     def __init__(self, tokenizer, dtype: str):
         super().__init__()
-        self.tokenizer, self.pieces, self.code = tokenizer, tokenizer.model.tokenize, {"<u2": "H", "<u4": "I"}[dtype]
+        self.tokenizer, self.pieces, self.dtype = tokenizer, tokenizer.model.tokenize, dtype
+        packed = np.arange(1 << 16 if dtype == "<u2" else tokenizer.get_vocab_size(with_added_tokens=True), dtype=dtype).tobytes()
+        self.code = [packed[i : i + int(dtype[-1])] for i in range(0, len(packed), int(dtype[-1]))]
+        # Tokens that the library finds before it cuts words.
+        self.added = re.compile("|".join(re.escape(t.content.lower()) for t in tokenizer.get_added_tokens_decoder().values()) or "(?!)")
 
     def packed(self, ids: list[int]) -> bytes:
-        out = array(self.code, ids)
-        if sys.byteorder == "big":
-            out.byteswap()
-        return out.tobytes()
+        return np.asarray(ids, self.dtype).tobytes()
+
+    def lower(self, text: str) -> str | None:
+        """A plain text in lower case; None for others, and for those that hold added tokens."""
+        if PLAIN.fullmatch(text) and not self.added.search(low := text.lower()):
+            return low
+        return None
+
+    def part(self, low: str) -> bytes:
+        """The ids of one part in lower case."""
+        written = low if low.isascii() else "".join(map(WRITTEN.__getitem__, low.encode()))
+        return b"".join([self.code[t.id] for t in self.pieces(written)])
 
     def __missing__(self, word: str) -> bytes:
-        letters = word.isalpha()
-        if letters and (word.isascii() or max(word) < "\u0100"):  # in NFC; lower case is one character for one
-            low = word.lower()
-            if low == word:
-                ids = self.packed([t.id for t in self.pieces(word if word.isascii() else word.encode().decode("latin-1").translate(SHIFTED))])
-            else:
-                ids = self[low]
+        if word.isascii() and word.isalpha() and word.islower():
+            ids = self.part(word)
+        elif (low := self.lower(word)) is not None:
+            parts = PARTS.findall(low)
+            ids = self.part(low) if parts == [low] else b"".join(map(self.__getitem__, parts))
         elif len(word) > 1 and word[-1] in ".,;:!?" and stays_letters(word[:-1]):
             ids = self[word[:-1]] + self[word[-1]]
         else:
-            ids = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids) if word else b""
+            ids = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         self[word] = ids
         return ids
 
@@ -100,10 +117,21 @@ class WordIds(dict):
         for piece in pieces.cut(text):
             if len(self) > CACHE_WORDS:
                 self.clear()
-            out.append(b"".join(map(self.__getitem__, piece.replace("\n", " ").split(" "))))
+            low = self.lower(piece)  # so that words of both cases are one
+            out.append(b"".join(map(self.__getitem__, (piece if low is None else low).replace("\n", " ").split(" "))))
         return b"".join(out)
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(tokenizer_json: str, end_id: int) -> tuple:
+    """Tokenizer, type of its ids, and WordIds where they hold; one of each in a worker, for all its tasks."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(tokenizer_json)
+    dtype = "<u2" if max(end_id + 1, tokenizer.get_vocab_size(with_added_tokens=True)) <= 1 << 16 else "<u4"
+    return tokenizer, dtype, WordIds(tokenizer, dtype), separable(tokenizer.to_str())
+
+
 def _open(path: str):
     return pafs.FileSystem.from_uri(path)
 
@@ -126,14 +154,11 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, pa
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
         part = TaskContext.get().partitionId()
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        top = max(end_id + 1, tokenizer.get_vocab_size(with_added_tokens=True))
-        dtype = "<u2" if top <= 1 << 16 else "<u4"
-        words, end, width = WordIds(tokenizer, dtype), np.asarray([end_id], dtype).tobytes(), int(dtype[-1])
-        by_word = separable(tokenizer.to_str())
+        with open(tokenizer_path, encoding="utf-8") as file:
+            tokenizer, dtype, words, by_word = _encoder(file.read(), end_id)
+        end, width = np.asarray([end_id], dtype).tobytes(), int(dtype[-1])
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}"
         store, path = _open(name)
         out, n, at = None, 0, 0
