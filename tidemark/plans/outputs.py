@@ -306,13 +306,19 @@ def variant_paths(spark, d):
 
 @QUERIES.add("SELECT event_id, event_type FROM events")
 def paged_events(spark, d):
-    """The events through a service that answers in pages, read by ranges of time in parallel."""
-    folder, name = working.new_path(spark, "service"), f"service_{uuid.uuid4().hex}"
-    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    rows = table(spark, d, "events").select(at.alias("at"), F.col("event_id").cast("string").alias("id"), "event_type")
-    rows.repartitionByRange(8, "at", "id").sortWithinPartitions("at", "id").write.json(folder)
-    paged.register(spark, name, lambda: paged.FileService(folder, ("at", "id", "event_type"), "at", "id"), "at string, id string, event_type string", "at", "id")
-    return spark.read.format(name).option("page_size", 500).load().select(F.col("id").cast("long").alias("event_id"), "event_type")
+    """The events through a service that answers in pages, read by ranges of time in parallel.
+
+    The service's key is the event's id and a number of its row, so that repeated rows have places of
+    their own; events without a time come first.
+    """
+    folder, name, parts = working.new_path(spark, "service"), f"service_{uuid.uuid4().hex}", max(8, spark.sparkContext.defaultParallelism)
+    at = F.coalesce(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), F.lit("0001-01-01T00:00:00.000000Z"))
+    key = F.concat_ws("-", F.col("event_id").cast("string"), F.monotonically_increasing_id().cast("string"))
+    rows = table(spark, d, "events").select(at.alias("at"), key.alias("id"), "event_id", "event_type")
+    rows.repartitionByRange(parts, "at", "id").sortWithinPartitions("at", "id").write.json(folder)
+    fields = ("at", "id", "event_id", "event_type")
+    paged.register(spark, name, lambda: paged.FileService(folder, fields, "at", "id"), "at string, id string, event_id long, event_type string", "at", "id")
+    return spark.read.format(name).options(page_size=500, parts=parts).load().select("event_id", "event_type")
 
 
 @QUERIES.add("SELECT CASE event_type WHEN 'error' THEN 'webhook' WHEN 'view' THEN 'log' ELSE 'publish' END AS kind, event_type AS target, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1, 2")

@@ -9,12 +9,12 @@ a restart begins after it, without loss or repeat.
 
 from __future__ import annotations
 
-import bisect
 import datetime
 import functools
+import itertools
 import json
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 import pyarrow.fs as pafs
@@ -22,6 +22,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 Place = tuple[str, str]
+#: Bytes of a file that are read at once.
+BLOCK = 1 << 16
 #: Before and after every (time, key).
 LOW, HIGH = ("", ""), ("\U0010ffff", "")
 
@@ -30,18 +32,25 @@ LOW, HIGH = ("", ""), ("\U0010ffff", "")
 class FileService:
     """A service of JSON lines below a folder's URI: files sorted by time, then key, which are two of their fields.
 
-    A page opens only files that reach into its range; their first and last lines say so.
+    A page opens only files that reach into its range; their first and last lines say so. Files are
+    never read whole: a page's first line is found by halving, or is where the page before ended, and
+    blocks are read from there until the page is full. So memory holds a page and a block, however
+    large the files are.
     """
 
     folder: str
     fields: Sequence[str]
     time: str
     key: str
+    #: Path -> a place, and where the first line after it begins.
+    _ends: dict[str, tuple[Place, int]] = field(default_factory=dict, repr=False)
 
-    def _place(self, line: bytes) -> Place:
-        row = json.loads(line)
+    def _place_of(self, row: dict) -> Place:
         return row[self.time], str(row[self.key])
 
+    def _place(self, line: bytes) -> Place:
+        return self._place_of(json.loads(line))
+
     @functools.cached_property
     def _files(self) -> list[tuple[Place, Place, str]]:
         store, inside = pafs.FileSystem.from_uri(self.folder)
@@ -57,26 +66,55 @@ class FileService:
                 out.append((self._place(head.splitlines()[0]), self._place(tail[-1]), info.path))
         return sorted(out)
 
-    @functools.lru_cache(maxsize=1)  # noqa: B019 - a service lives as long as a task
-    def _lines(self, path: str) -> list[tuple[Place, bytes]]:
-        store, _ = pafs.FileSystem.from_uri(self.folder)
-        with store.open_input_stream(path) as file:
-            return [(self._place(x), x) for x in file.read().splitlines() if x.strip()]
-
-    def __hash__(self) -> int:
-        return id(self)
+    def _lines(self, file, at: int) -> Iterator[tuple[int, int, bytes]]:
+        """Start, end and bytes of each line that begins at or after a byte of a file; blank lines are left out."""
+        start, held = max(0, at - 1), b""
+        skip = at > 0  # up to the end of the line that the byte before belongs to
+        while True:
+            block = file.read_at(BLOCK, start + len(held))
+            *lines, rest = (held + block).split(b"\n") if block else (held, b"")
+            for line in lines:
+                end = start + len(line) + 1
+                if not skip and line.strip():
+                    yield start, end, line
+                skip, start = False, end
+            if not block:
+                return
+            held = b"" if skip else rest
+            start += len(rest) if skip else 0
+
+    def _after(self, file, size: int, after: Place) -> int:
+        """Where the first line after a place begins, in a sorted file; the file's size if there is none."""
+        low, high, found = 0, size, size
+        while low < high:
+            middle = (low + high) // 2
+            start, end, line = next(self._lines(file, middle), (size, size, b""))
+            if start >= high:
+                high = middle
+            elif self._place(line) > after:
+                high, found = middle, start
+            else:
+                low = end
+        return found
 
     def page(self, after: Place, upto: Place, size: int) -> list[tuple]:
-        out: list[tuple[Place, bytes]] = []
+        store, _ = pafs.FileSystem.from_uri(self.folder)
+        out: list[tuple[Place, str, int, tuple]] = []
+        began: dict[str, int] = {}
         for first, last, path in self._files:  # by first place: a file that begins after a full page's end adds nothing
             if first > upto or (len(out) >= size and first > out[size - 1][0]):
                 break
             if last > after:
-                rows = self._lines(path)
-                low = bisect.bisect_right(rows, after, key=lambda r: r[0])
-                own = rows[low : bisect.bisect_right(rows, upto, key=lambda r: r[0])][: size + 1]
-                out = sorted([*out, *own], key=lambda r: r[0])[: size + 1]
-        return [tuple(map(json.loads(line).get, self.fields)) for _place, line in out[:size]]
+                with store.open_input_file(path) as file:
+                    known, at = self._ends.get(path, (LOW, 0))
+                    began[path] = at = at if known == after else self._after(file, file.size(), after)
+                    own = ((self._place_of(row := json.loads(line)), path, end, tuple(map(row.get, self.fields))) for _, end, line in self._lines(file, at))
+                    within = itertools.takewhile(lambda r: r[0] <= upto, (r for r in own if r[0] > after))
+                    out = sorted([*out, *itertools.islice(within, size)], key=lambda r: r[0])[:size]
+        if out:
+            began |= {path: end for _, path, end, _ in out}  # in order, so that each file's last row in the page counts
+            self._ends = {path: (out[-1][0], at) for path, at in began.items()}
+        return [row for *_, row in out]
 
     def newest(self) -> Place | None:
         return max((last for _first, last, _path in self._files), default=None)
