@@ -1,11 +1,13 @@
 """Merge, append, versions and idempotence."""
 
+import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import tables
+from tidemark.plans import outputs
 
 T = "id int, name string, created_at string"
 
@@ -85,6 +87,35 @@ def test_a_merge_that_deletes_leaves_no_rows_behind(spark, tmp_path):
     assert table.merge(df, ["n"]).rows == 8
 
 
+def test_appends_and_merges_of_one_table(spark, tmp_path):
+    table = tables.Folder(spark, f"file://{tmp_path}/t", keys=["id"], buckets=4)
+    df = spark.createDataFrame([(i, "a") for i in range(10)] + [(None, "n")], "id int, v string")
+    table.append(df)
+    table.append(df.where("id < 3").withColumn("more", F.lit(1)))
+    before = files(tmp_path / "t")
+    table.append(df.where("id < 0"))
+    assert files(tmp_path / "t") == before
+    table.merge(spark.createDataFrame([(2, "B"), (None, "N"), (50, "c")], "id int, v string"), ["id"])
+    assert rows(table.read().select("id", "v")) == sorted([(i, "B" if i == 2 else "a") for i in [*range(10), *range(3)]] + [(None, "n"), (None, "N"), (50, "c")], key=str)
+    table.merge(df, ["id"])
+    assert [r[:2] + (r[3],) for r in tables.write_history(table).collect()] == [(1, "append", []), (2, "append", ["+more"]), (3, "append", []), (4, "merge", []), (5, "merge", [])]
+    assert [w.rows for w in table.history[:3]] == [11, 3, 0] and table.read().count() == 17
+    with pytest.raises(ValueError, match="no token"):
+        table.append(df, token="x")
+
+
+@pytest.mark.parametrize("keep,counts", [("true", [5, 1, 2, 9]), ("event_type <> 'click'", [2, 0, 1, 3]), ("false", [0, 0, 0, 0])])
+def test_the_history_has_a_merge_of_the_whole_table(spark, tmp_path, keep, counts):
+    e = spark.createDataFrame([(1, "click", 1.0), (2, "view", 2.0), (3, "error", 3.0), (None, "view", None), (None, None, 4.0)], "event_id long, event_type string, value double")
+    e = e.where("event_id IS NOT NULL") if keep != "true" else e
+    e.where(keep).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    query, sql = outputs.QUERIES["write_history"]
+    with duckdb.connect() as duck:
+        duck.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+        want = duck.execute(sql).fetchall()
+    assert rows(query(spark, str(tmp_path))) == want == [(1, "append", counts[0], ""), (2, "append", counts[1], "+value"), (3, "append", counts[2], ""), (4, "merge", counts[3], "")]
+
+
 def test_layout_columns():
     assert tables.layout_columns("/x/Inventory_rows") == ["created_date", "status", "trace_id"]
     assert tables.layout_columns("/x/other") == ["created_date"] and tables.layout_columns("/x/inventory", ["a"]) == ["a"]

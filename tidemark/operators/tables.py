@@ -182,12 +182,13 @@ BATCH, BUCKET = "__batch", "__bucket"
 
 @dataclass(frozen=True)
 class Written:
-    """What one write did. rows is counted by the write itself."""
+    """What one write did. rows is counted by the write itself; columns are those written, of which no rows need be left."""
 
     operation: str
     rows: int
     new_columns: tuple[str, ...] = ()
     token: str | None = None
+    columns: tuple[str, ...] = ()
 
 
 @dataclass
@@ -195,8 +196,8 @@ class Folder:
     """A table as a folder of Parquet files, written by Spark's own writer alone.
 
     Without keys it is appended to: each append is a partition of its own, named by its token, so that
-    one that comes again replaces itself. With keys it is merged into: rows lie in buckets of their
-    keys, and a merge reads and writes only the buckets that its batch's keys meet. Snapshots,
+    one that comes again replaces itself. With keys rows lie in buckets of their keys: a merge reads and
+    writes only the buckets that its batch's keys meet, and an append adds files to them. Snapshots,
     concurrent writers, time travel, compaction and vacuum are a table format's work and not done here.
     """
 
@@ -220,32 +221,43 @@ class Folder:
         """All rows; columns that only some writes had are null in the others."""
         return self._files().drop(BATCH, BUCKET)
 
-    def _write(self, df: DataFrame, by: Sequence[str], operation: str, token: str | None, before: Sequence[str]) -> Written:
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def _write(self, df: DataFrame, by: Sequence[str], operation: str, token: str | None, before: Sequence[str], mode: str = "overwrite") -> Written:
         seen = Observation()
-        out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("partitionOverwriteMode", "dynamic")
         out.partitionBy(*by).parquet(self.path)
-        new = [c for c in df.columns if c not in (*before, BATCH, BUCKET)] if before else []
-        self.history.append(Written(operation, seen.get.get("rows", 0), tuple(new), token))
+        own = [c for c in df.columns if c not in (BATCH, BUCKET)]
+        known = {*before, *[c for w in self.history for c in w.columns]}
+        new = [c for c in own if c not in known] if known else []
+        self.history.append(Written(operation, seen.get.get("rows", 0), tuple(new), token, tuple(own)))
         return self.history[-1]
 
     def append(self, df: DataFrame, token: str | None = None) -> Written:
-        """Adds rows, aligned to the table's columns: further columns are added, misfits become null. Once for each token."""
+        """Adds rows, aligned to the table's columns: further columns are added, misfits become null. Once for each token.
+
+        A table with keys keeps a row's key alone, not what it was appended with, so its appends have no tokens.
+        """
+        if self.keys and token is not None:
+            raise ValueError("an append to a table with keys has no token")
         had = self.read().schema if self.exists() else None
         rows = align(df, had) if had else df
+        if self.keys:
+            return self._write(rows.withColumn(BUCKET, self._bucket()).repartition(BUCKET), [BUCKET], "append", None, had.names if had else (), mode="append")
         batch = token if token is not None else f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         return self._write(rows.withColumn(BATCH, F.lit(f"b {batch}")), [BATCH, *self.partition_by], "append", token, had.names if had else ())
 
     def merge(self, source: DataFrame, order: Sequence[str], **options) -> Written:
         """merged() with a batch whose rows of one key are first coalesced in order. Buckets without its keys stay as they are."""
-        bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets)).cast("int")
         had = self.read().schema if self.exists() else None
         batch = coalesced_by_key(align(source, T.StructType([f for f in had if f.name in source.columns])) if had else source, self.keys, order)
-        batch = working.staged(batch.withColumn(BUCKET, bucket), "batch")
+        batch = working.staged(batch.withColumn(BUCKET, self._bucket()), "batch")
         rows = batch
         if had:
             met = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most as many as there are buckets
             old = self._files().where(F.col(BUCKET).isin(met)).drop(BUCKET)
-            rows = working.staged(merged(old, batch.drop(BUCKET), self.keys, **options).withColumn(BUCKET, bucket), "merged")
+            rows = working.staged(merged(old, batch.drop(BUCKET), self.keys, **options).withColumn(BUCKET, self._bucket()), "merged")
             left = {r[0] for r in rows.select(BUCKET).distinct().collect()}
             for gone in sorted(set(met) - left):  # a merge that deletes may leave a bucket without rows
                 at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{BUCKET}={gone}")
